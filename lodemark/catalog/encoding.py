@@ -294,12 +294,12 @@ def row_predicates(spark, d):
 
 
 @query("report_expressions", with_sql(BASE_SQL, SCORED_SQL, select="""
-SELECT ROW_ID, round(PREDICTED_PROBABILITY / 3, 4) AS P4, coalesce(N_RETURNED, 0) AS RETURNED,
+SELECT ROW_ID, round(sqrt(PREDICTED_PROBABILITY), 4) AS P4, coalesce(N_RETURNED, 0) AS RETURNED,
        CASE WHEN PREDICTED_PROBABILITY < 0.2 THEN 1 ELSE 0 END AS LOW_FLAG, MODEL_VERSION || '/' || RISK_BAND AS TAG FROM scored"""))
 def report_expressions(spark, d):
     p = F.col("PREDICTED_PROBABILITY")
     return X.scored(spark, d).select(
-        "ROW_ID", F.round(p / 3, 4).alias("P4"), F.coalesce("N_RETURNED", F.lit(0)).alias("RETURNED"),
+        "ROW_ID", F.round(F.sqrt(p), 4).alias("P4"), F.coalesce("N_RETURNED", F.lit(0)).alias("RETURNED"),
         F.when(p < 0.2, 1).otherwise(0).alias("LOW_FLAG"), F.concat("MODEL_VERSION", F.lit("/"), "RISK_BAND").alias("TAG"))
 
 

@@ -51,7 +51,7 @@ def _cuts_sql(sizes: dict[str, int]) -> str:
          (SELECT min(P) FROM (SELECT P FROM raw ORDER BY P DESC LIMIT 2500)) AS MD
 )""", select="""
 SELECT CAST(RECORD_TS AS DATE) AS DT, CASE WHEN P >= HI THEN 'HIGH' WHEN P >= MD THEN 'MEDIUM' ELSE 'LOW' END AS RISK_BAND,
-       count(*) AS N, round(avg(P), 6) AS AVG_PROB, sum(CASE WHEN P >= HI THEN 1 ELSE 0 END) AS N_FLAGGED
+       count(*) AS N, round(avg(P), 12) AS AVG_PROB, sum(CASE WHEN P >= HI THEN 1 ELSE 0 END) AS N_FLAGGED
 FROM raw, cuts GROUP BY 1, 2"""))
 def daily_band_report(spark, d):
     """The scoring path end to end: latest row per entity, encode, score, exact cutoffs, bands, daily counts."""
@@ -61,7 +61,7 @@ def daily_band_report(spark, d):
     cuts = R.cutoffs(scored, "P", {"high": X.USE_CASE.scoring.n_high, "medium": X.USE_CASE.scoring.n_medium})
     p = F.col("P")
     return (scored.groupBy(F.to_date("RECORD_TS").alias("DT"), risk_band(p, cuts["high"], cuts["medium"]).alias("RISK_BAND"))
-            .agg(F.count("*").alias("N"), F.round(F.avg(p), 6).alias("AVG_PROB"),
+            .agg(F.count("*").alias("N"), F.round(F.avg(p), 12).alias("AVG_PROB"),
                  F.sum(at_least(p, cuts["high"])).alias("N_FLAGGED")))
 
 

@@ -135,6 +135,8 @@ def _equals(value: Column) -> Callable[[Column], Column]:
 
 def sliced(df: DataFrame, column: str, edges: Sequence[float], out: str = "SLICE") -> DataFrame:
     """Adds the slice number of a double column: a binary search over sorted edges, on the JVM."""
+    if not edges:
+        return df.withColumn(out, F.lit(0.0))
     splits = [-math.inf, *edges, math.inf]
     return Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep").transform(df)
 
