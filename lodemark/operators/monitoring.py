@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodemark.functions.columns import col
-from lodemark.operators.ranking import order_statistics, sliced
-from lodemark.settings import BINARY, MULTICLASS, REGRESSION, score_column
+from lodemark.operators.ranking import order_statistics
+from lodemark.settings import MULTICLASS, REGRESSION, score_column
 
 SHARE_FLOOR = 1e-6  # keeps the logarithm finite when a bin is empty on one side
 
@@ -58,58 +59,69 @@ def prediction_mix(baseline: DataFrame, monitor: DataFrame) -> DataFrame:
     return side("baseline", baseline).unionByName(side("latest batch", latest_batch(monitor)))
 
 
-def baseline_deciles(baseline: DataFrame, column: str, bins: int = 10) -> list[float]:
-    """Inner bin edges: exact order statistics of the baseline."""
-    found = order_statistics(baseline, [(column, lambda n, i=i: max(-(-i * n // bins), 1)) for i in range(1, bins)])
-    return sorted({f.value for f in found if f is not None})
+@dataclass(frozen=True)
+class Reference:
+    """Score bins of the baseline: inner edges (a bin includes its upper edge) and the share of rows in each bin."""
 
+    edges: tuple[float, ...]
+    shares: tuple[float, ...]
 
-def day_window(monitor: DataFrame, duration: str = "1 day") -> Column:
-    return F.window("SCORED_AT", duration)
 
+def baseline_bins(baseline: DataFrame, score: str, bins: int = 10) -> Reference:
+    """Exact quantiles of the baseline as edges; equal ones collapse."""
+    found = order_statistics(baseline, [(score, lambda n, i=i: max(-(-i * n // bins), 1)) for i in range(1, bins)])
+    edges = tuple(sorted({f.value for f in found if f is not None}))
+    counts = baseline.agg(F.count(col(score)).alias("n"), *_bin_counts(score, edges)).first()
+    total = max(counts["n"], 1)
+    return Reference(edges, tuple(counts[f"BIN_{b}"] / total for b in range(len(edges) + 1)))
 
-def drift_windows(monitor: DataFrame, baseline: DataFrame, task: str, duration: str = "1 day") -> DataFrame:
-    """Per tumbling window and version: rows, mean and spread of the score, PSI against the baseline's deciles, and
-    accuracy where labels are in (mean absolute error for regression).
 
-    Scores are counted per bin before anything else, so a window is a handful of rows whatever its size.
-    """
-    score = score_column(task)
-    edges = baseline_deciles(baseline, score)
-    binned = lambda rows: sliced(rows.where(col(score).isNotNull()), score, [_after(e) for e in edges], "BIN")
-    shares = (binned(baseline).groupBy("BIN").agg(F.count("*").alias("n"))
-              .agg(F.collect_list(F.struct("BIN", "n")).alias("bins"), F.sum("n").alias("total")).first())
-    expected = {r["BIN"]: r["n"] / shares["total"] for r in shares["bins"]}
+def _bin_counts(score: str, edges: Sequence[float]) -> list[Column]:
+    lows, highs = [None, *edges], [*edges, None]
+    out = []
+    for b, (low, high) in enumerate(zip(lows, highs)):
+        inside = col(score).isNotNull()
+        if low is not None:
+            inside = inside & (col(score) > F.lit(low))
+        if high is not None:
+            inside = inside & (col(score) <= F.lit(high))
+        out.append(F.count_if(inside).alias(f"BIN_{b}"))
+    return out
+
 
+def drift_aggregates(reference: Reference, task: str) -> list[Column]:
+    """What is kept per window: all of it combines on the map side, in batch and in a stream."""
+    score = score_column(task)
     labeled = F.col("ACTUAL_LABEL").isNotNull()
     if task == REGRESSION:
-        quality = F.sum(F.when(labeled, F.abs(F.col(score) - F.col("ACTUAL_LABEL")))).alias("q")
+        quality = F.avg(F.when(labeled, F.abs(F.col(score) - F.col("ACTUAL_LABEL")))).alias("MEAN_ABS_ERROR")
     else:
-        quality = F.sum(F.when(labeled, (F.col("PREDICTION") == F.col("ACTUAL_LABEL")).cast("double"))).alias("q")
-    per_bin = binned(monitor).groupBy(day_window(monitor, duration).alias("w"), "MODEL_VERSION", "BIN").agg(
-        F.count("*").alias("n"), F.sum(score).alias("s"), F.sum(col(score) * col(score)).alias("ss"),
-        F.count_if(labeled).alias("l"), quality)
-    counts = {b: F.sum(F.when(F.col("BIN") == float(b), F.col("n")).otherwise(0)) for b in range(len(edges) + 1)}
-    totals = per_bin.groupBy("w", "MODEL_VERSION").agg(
-        F.sum("n").alias("N"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.sum("l").alias("N_LABELED"),
-        F.sum("q").alias("q"), *[c.alias(f"b{b}") for b, c in counts.items()])
-    mean = F.col("s") / F.col("N")
-    variance = F.greatest((F.col("ss") - F.col("N") * mean * mean) / (F.col("N") - 1), F.lit(0.0))
+        quality = F.avg(F.when(labeled, (F.col("PREDICTION") == F.col("ACTUAL_LABEL")).cast("double"))).alias("ACCURACY")
+    return [F.count("*").alias("N"), F.avg(score).alias("MEAN_SCORE"), F.stddev_samp(score).alias("STD_SCORE"),
+            F.count_if(labeled).alias("N_LABELED"), quality, *_bin_counts(score, reference.edges)]
+
+
+def stability_index(reference: Reference) -> Column:
+    """Population stability index of a window's bin counts against the baseline's shares."""
+    total = F.lit(0)
+    for b in range(len(reference.shares)):
+        total = total + F.col(f"BIN_{b}")
     psi = F.lit(0.0)
-    for b in counts:
-        was = F.lit(max(expected.get(float(b), 0.0), SHARE_FLOOR))
-        share = F.greatest(F.col(f"b{b}") / F.col("N"), F.lit(SHARE_FLOOR))
-        psi = psi + (share - was) * F.log(share / was)
-    name = "MEAN_ABS_ERROR" if task == REGRESSION else "ACCURACY"
-    return totals.select(F.col("w.start").alias("WINDOW_START"), "MODEL_VERSION", "N", mean.alias("MEAN_SCORE"),
-                         F.when(F.col("N") > 1, F.sqrt(variance)).alias("STD_SCORE"), psi.alias("PSI"),
-                         "N_LABELED", F.try_divide(F.col("q"), F.col("N_LABELED")).alias(name))
+    for b, share in enumerate(reference.shares):
+        was = F.lit(max(share, SHARE_FLOOR))
+        now = F.greatest(F.try_divide(F.col(f"BIN_{b}"), total), F.lit(SHARE_FLOOR))
+        psi = psi + (now - was) * F.log(now / was)
+    return psi
 
 
-def _after(edge: float) -> float:
-    """A bin holds values up to and including its edge."""
-    import math
-    return math.nextafter(edge, math.inf)
+def drift_windows(monitor: DataFrame, reference: Reference, task: str, duration: str = "1 day",
+                  ts: str = "SCORED_AT") -> DataFrame:
+    """Per tumbling window and model version: rows, mean and spread of the score, PSI, and accuracy where labels are in
+    (mean absolute error for regression). Works on a table and on a stream with a watermark."""
+    grouped = monitor.groupBy(F.window(ts, duration).alias("w"), "MODEL_VERSION").agg(*drift_aggregates(reference, task))
+    bins = [f"BIN_{b}" for b in range(len(reference.shares))]
+    return grouped.select(F.col("w.start").alias("WINDOW_START"), *[c for c in grouped.columns if c not in ("w", *bins)],
+                          stability_index(reference).alias("PSI"))
 
 
 def schema_parity(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -130,5 +142,5 @@ def feature_parity(columns: Sequence[str], keys: Sequence[str], encoded: Sequenc
 MONITOR_FIXED = (
     "PREDICTED_PROBABILITY", "PREDICTED_VALUE", "PREDICTION", "RISK_BAND", "PROBABLE_CAUSES",
     "ACTUAL_LABEL", "SCORED_AT", "LABEL_MATURE_AT", "MODEL_VERSION",
-    "RUN_ID", "ROW_ID", "USE_CASE_NAME", "RECORD_TS",
+    "RUN_ID", "FEED_ROW_ID", "USE_CASE_NAME",
 )

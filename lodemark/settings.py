@@ -37,6 +37,7 @@ class DataSpec:
     median_impute: tuple[str, ...] = ()
     watermark: str = "RECORD_TS"
     passthrough: tuple[str, ...] = ()
+    row_id: tuple[str, ...] = ()   # what identifies a feed row; keys and watermark unless given
 
     @property
     def features(self) -> tuple[str, ...]:
@@ -47,6 +48,10 @@ class DataSpec:
         """Feed columns kept next to the encoded features: keys, watermark, descriptive columns."""
         return tuple(dict.fromkeys((*self.keys, self.watermark, *self.passthrough)))
 
+    @property
+    def feed_row(self) -> tuple[str, ...]:
+        return self.row_id or (*self.keys, self.watermark)
+
 
 @dataclass(frozen=True)
 class SplitSpec:
@@ -75,7 +80,7 @@ class ScoringSpec:
     horizon_days: int = 90
     top_features: int = 15
     causes_per_row: int = 3
-    business_columns: dict[str, str] = field(default_factory=dict)
+    business_columns: dict[str, str] = field(default_factory=dict)   # feed column -> business column, key first
 
 
 @dataclass(frozen=True)

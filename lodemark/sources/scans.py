@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +54,10 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared folder and read back: reused by several jobs, and safe when executors go."""
+    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
