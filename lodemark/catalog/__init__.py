@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("encoding", "ranking", "labeling", "evaluation")
+MODULES = ("encoding", "ranking", "labeling", "evaluation", "monitoring", "tables", "modeling")
 
 
 def query(name: str, sql: str | None = None):

@@ -337,10 +337,10 @@ def watermark_advance(spark, d):
 
 
 @query("late_feed_rows", with_sql(EVENT_FEED_SQL, select="""
-SELECT ROW_ID, RECORD_TS FROM event_feed WHERE RECORD_TS <= TIMESTAMP '2024-01-15 00:00:00' AND ROW_ID % 7 = 0"""))
+SELECT ROW_ID, RECORD_TS FROM event_feed WHERE RECORD_TS <= TIMESTAMP '2024-01-15 00:00:00' AND EVENT_TYPE = 'click'"""))
 def late_feed_rows(spark, d):
     events = X.event_feed(spark, d)
-    scored = events.where("ROW_ID % 7 <> 0")
+    scored = events.where("EVENT_TYPE <> 'click'")
     return late_rows(events, scored, "RECORD_TS", "2024-01-15 00:00:00", ["ROW_ID"]).select("ROW_ID", "RECORD_TS")
 
 

@@ -12,8 +12,9 @@ from lodemark.operators.joins import latest_per_key
 from lodemark.operators.ranking import newest_fraction
 from lodemark.operators.splits import without
 from lodemark.sources import fixtures as X
-from lodemark.sources.fixtures import (BASE_SQL, FEED_SQL, MONITOR_SQL, NOW, OUTCOME_VERSIONS_SQL, OUTCOMES_SQL, SCORED_2_SQL,
-                                       SCORED_SQL, with_sql)
+from lodemark.sources.fixtures import (BASE_SQL, FEED_SQL, MONITOR_SQL, NOW, OUTCOME_VERSIONS_SQL, OUTCOMES_SQL, SCORED_SQL,
+                                       with_sql)
+from lodemark.sources.scans import staged
 
 ALL = (BASE_SQL, FEED_SQL, OUTCOMES_SQL, SCORED_SQL, MONITOR_SQL)
 
@@ -132,7 +133,7 @@ COMPARED = ("ENTITY_ID", "Y_BIN", "CHAMPION_PREDICTED_PROBABILITY", "CHAMPION_PR
 
 def comparison(spark, d):
     champion = L.labeled_scores(X.monitor(spark, d), ["ENTITY_ID"], "binary", "LR_R1")
-    return L.champion_comparison(retrain(spark, d), champion, ["ENTITY_ID"]).select(*COMPARED)
+    return staged(L.champion_comparison(retrain(spark, d), champion, ["ENTITY_ID"]).select(*COMPARED))
 
 
 def holdout(spark, d):

@@ -205,13 +205,13 @@ def hpo_cohort_split(spark, d):
     return rows.groupBy(fits.alias("FITS")).agg(F.count("*").alias("N"), F.max("COHORT").alias("LAST_COHORT"))
 
 
-@query("hpo_row_split", with_sql(BASE_SQL, FEED_SQL, """
-, one AS (SELECT * FROM history WHERE COHORT = 199907)""", select="""
-SELECT ROW_ID, row_number() OVER (ORDER BY md5('0|' || ROW_ID)) <= (SELECT CAST(floor(count(*) * (1 - 0.2e0)) AS BIGINT) FROM one) AS FITS
-FROM one"""))
+@query("hpo_row_split", with_sql(BASE_SQL, FEED_SQL, select="""
+SELECT ROW_ID, row_number() OVER (ORDER BY md5('0|' || ROW_ID)) <= (SELECT CAST(floor(count(*) * (1 - 0.2e0)) AS BIGINT) FROM history) AS FITS
+FROM history"""))
 def hpo_row_split(spark, d):
-    rows = X.history(spark, d).where("COHORT = 199907")
-    return rows.select("ROW_ID", S.search_fit_rows(rows, "COHORT", 0.2, ["ROW_ID"]).alias("FITS"))
+    """All rows share one value of the timestamp column, so the split is by rows."""
+    rows = X.history(spark, d).withColumn("ONE", F.lit(1))
+    return rows.select("ROW_ID", S.search_fit_rows(rows, "ONE", 0.2, ["ROW_ID"]).alias("FITS"))
 
 
 @query("anti_join_train_rows", with_sql(BASE_SQL, SCORED_SQL, select="""

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from lodemark.functions.columns import col
 from lodemark.operators.encode import Contract
 from lodemark.operators.joins import latest_per_key
 from lodemark.settings import LABEL_TYPE, UseCase
+from lodemark.sources.scans import batch_bounds
 
 RUNS = ("USE_CASE_NAME string, PREFIX string, MODEL_NAME string, MODEL_VERSION string, ALGORITHM string, CONFIG_JSON string, "
         "METRICS_JSON string, EXTRA_JSON string, CREATED_AT timestamp_ntz")
@@ -30,7 +32,7 @@ CONTRACTS = ("ORDER_IDX int, ENCODED_NAME string, SOURCE_NAME string, FEATURE_RO
              "USE_CASE_NAME string, MODEL_VERSION string")
 COMMITS = "USE_CASE_NAME string, RUN_ID string, LAST_RECORD_TS timestamp_ntz, UPDATED_AT timestamp_ntz, KIND string"
 LOG = ("RUN_TS timestamp_ntz, USE_CASE_NAME string, PROCEDURE_NAME string, N_ROWS bigint, STATUS string, MESSAGE string")
-REMOVED = "FEED_ROW_ID string, MODEL_VERSION string, RUN_ID string"
+REMOVED = "FEED_ROW_ID string, MODEL_VERSION string, RUN_ID string, N_ROWS bigint, ROLLBACK string"
 PARTITIONS = ("USE_CASE_NAME", "MODEL_VERSION", "RUN_ID")
 MESSAGE_CHARS = 2000
 
@@ -127,13 +129,14 @@ class Store:
 
     # -------------------------------------------------------------------------------------- scores, labels, monitor
     def write_scores(self, scored: DataFrame, run_id: str, watermark: str | None) -> tuple[int, object]:
-        """Writes the run's partition, still invisible; (rows, newest watermark) are observed while writing."""
-        seen = Observation()
-        newest = F.max(col(watermark)) if watermark else F.lit(None).cast("timestamp_ntz")
-        rows = scored.observe(seen, F.count(F.lit(1)).alias("n"), newest.alias("newest"))
-        tagged = rows.withColumns({"USE_CASE_NAME": F.lit(self.use_case.name), "RUN_ID": F.lit(run_id)})
+        """Writes the run's partition, still invisible; returns its (rows, newest watermark), read back from the files."""
+        tagged = scored.withColumns({"USE_CASE_NAME": F.lit(self.use_case.name), "RUN_ID": F.lit(run_id)})
         write_partitions(tagged, self.path("scores"), ["USE_CASE_NAME", "RUN_ID"])
-        return seen.get["n"], seen.get["newest"]
+        written = self.run_scores(run_id)
+        if watermark is None:
+            return written.count(), None
+        bounds = batch_bounds(written, watermark).first()
+        return bounds["N_ROWS"], bounds["NEW_WATERMARK"]
 
     def run_scores(self, run_id: str) -> DataFrame:
         """One run's rows, committed or not."""
@@ -160,16 +163,16 @@ class Store:
         rows = self._mine(self.read_any("scores"))
         rows = rows.join(self.commits().select("RUN_ID").distinct(), "RUN_ID", "left_semi")
         if self.exists("removed"):
-            gone = self.spark.read.schema(REMOVED).parquet(self.path("removed"))
+            gone = self.read("removed", REMOVED).select("RUN_ID", "FEED_ROW_ID", "MODEL_VERSION")
             rows = rows.join(gone, ["RUN_ID", "FEED_ROW_ID", "MODEL_VERSION"], "left_anti")
         return rows
 
     def labels_schema(self) -> str:
         return (f"FEED_ROW_ID string, ACTUAL_LABEL {LABEL_TYPE[self.use_case.task]}, LABELED_AT timestamp_ntz, "
-                f"USE_CASE_NAME string, RUN_ID string")
+                f"N_ROWS bigint, LABEL_BATCH string, USE_CASE_NAME string, RUN_ID string")
 
     def labels(self) -> DataFrame:
-        return self._mine(self.read("labels", self.labels_schema())).drop("USE_CASE_NAME")
+        return self._mine(self.read("labels", self.labels_schema())).drop("USE_CASE_NAME", "N_ROWS", "LABEL_BATCH")
 
     def monitor(self) -> DataFrame:
         """Scores with their label, NULL while none has arrived. Rows with the same id in a run share one label."""
@@ -177,22 +180,21 @@ class Store:
 
     def add_labels(self, updates: DataFrame, now: Column) -> int:
         """Appends (RUN_ID, FEED_ROW_ID, GT_LABEL) of rows that have no label yet; returns the monitor rows labeled."""
-        seen = Observation()
-        fresh = updates.groupBy("RUN_ID", "FEED_ROW_ID").agg(F.first("GT_LABEL").alias("ACTUAL_LABEL"), F.count("*").alias("_N"))
+        batch = uuid.uuid4().hex
+        fresh = updates.groupBy("RUN_ID", "FEED_ROW_ID").agg(F.first("GT_LABEL").alias("ACTUAL_LABEL"), F.count("*").alias("N_ROWS"))
         fresh = fresh.join(self.labels().select("RUN_ID", "FEED_ROW_ID"), ["RUN_ID", "FEED_ROW_ID"], "left_anti")
-        rows = fresh.observe(seen, F.coalesce(F.sum("_N"), F.lit(0)).alias("n")).select(
-            "FEED_ROW_ID", "ACTUAL_LABEL", now.cast("timestamp_ntz").alias("LABELED_AT"),
-            F.lit(self.use_case.name).alias("USE_CASE_NAME"), "RUN_ID")
+        rows = fresh.select("FEED_ROW_ID", "ACTUAL_LABEL", now.cast("timestamp_ntz").alias("LABELED_AT"), "N_ROWS",
+                            F.lit(batch).alias("LABEL_BATCH"), F.lit(self.use_case.name).alias("USE_CASE_NAME"), "RUN_ID")
         rows.write.mode("append").partitionBy("USE_CASE_NAME", "RUN_ID").parquet(self.path("labels"))
-        return seen.get["n"]
+        return added(self.read("labels", self.labels_schema()), "LABEL_BATCH", batch, "N_ROWS")
 
     def roll_back(self, version: str) -> int:
         """Takes the unlabeled rows of a version out of the monitor; labeled ones stay."""
-        seen = Observation()
-        gone = unlabeled_rows(self.monitor(), version).select("FEED_ROW_ID", "MODEL_VERSION", "RUN_ID").distinct()
-        gone = gone.observe(seen, F.count(F.lit(1)).alias("n"))
-        gone.write.mode("append").parquet(self.path("removed"))
-        return seen.get["n"]
+        batch = uuid.uuid4().hex
+        gone = unlabeled_rows(self.monitor(), version).groupBy("FEED_ROW_ID", "MODEL_VERSION", "RUN_ID").agg(
+            F.count("*").alias("N_ROWS"))
+        gone.withColumn("ROLLBACK", F.lit(batch)).write.mode("append").parquet(self.path("removed"))
+        return added(self.read("removed", REMOVED), "ROLLBACK", batch, "N_ROWS")
 
     # ------------------------------------------------------------------------------------------------- baselines
     def save_baseline(self, baseline: DataFrame, version: str):
@@ -239,6 +241,11 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]):
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
 
+def added(table: DataFrame, batch_column: str, batch: str, rows: str) -> int:
+    """Monitor rows one append stands for."""
+    return table.where(F.col(batch_column) == batch).agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+
+
 def latest_run(runs: DataFrame, use_case: str, version: str | None = None) -> DataFrame:
     """The newest run of a use case, optionally of one version; equal times go to the higher version."""
     rows = runs.where(F.col("USE_CASE_NAME") == use_case)
