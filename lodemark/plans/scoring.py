@@ -45,9 +45,9 @@ def deploy(store: Store, version: str | None = None) -> Deployment:
         raise ValueError(f"use case is {store.use_case.task}, but {run['model_version']} was trained as {run['config']['task']}")
     version, extra = run["model_version"], run["extra"]
     contract = store.contract(version)
-    if store.exists("scores"):
+    if store.has_scores():
         data = store.use_case.data
-        parity = feature_parity(store.read_any("scores").columns, (*data.keys, *data.carried), contract.encoded)
+        parity = feature_parity(store.scores_schema().names, data.carried, contract.encoded)
         if parity["extra"] or parity["missing"]:
             raise ValueError(f"monitor columns do not match the contract of {version}: {parity}")
     high = extra.get("risk_cut_high")

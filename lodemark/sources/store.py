@@ -30,7 +30,8 @@ RUNS = ("USE_CASE_NAME string, PREFIX string, MODEL_NAME string, MODEL_VERSION s
         "METRICS_JSON string, EXTRA_JSON string, CREATED_AT timestamp_ntz")
 CONTRACTS = ("ORDER_IDX int, ENCODED_NAME string, SOURCE_NAME string, FEATURE_ROLE string, CREATED_AT timestamp_ntz, "
              "USE_CASE_NAME string, MODEL_VERSION string")
-COMMITS = "USE_CASE_NAME string, RUN_ID string, LAST_RECORD_TS timestamp_ntz, UPDATED_AT timestamp_ntz, KIND string"
+COMMITS = ("USE_CASE_NAME string, RUN_ID string, LAST_RECORD_TS timestamp_ntz, UPDATED_AT timestamp_ntz, KIND string, "
+           "SCHEMA_JSON string")
 LOG = ("RUN_TS timestamp_ntz, USE_CASE_NAME string, PROCEDURE_NAME string, N_ROWS bigint, STATUS string, MESSAGE string")
 REMOVED = "FEED_ROW_ID string, MODEL_VERSION string, RUN_ID string, N_ROWS bigint, ROLLBACK string"
 PARTITIONS = ("USE_CASE_NAME", "MODEL_VERSION", "RUN_ID")
@@ -40,6 +41,7 @@ MESSAGE_CHARS = 2000
 class Store:
     def __init__(self, spark: SparkSession, root: str, use_case: UseCase):
         self.spark, self.root, self.use_case = spark, root.rstrip("/"), use_case
+        self._written: dict[str, T.StructType] = {}   # schemas of runs written here, recorded by their commit
 
     # ------------------------------------------------------------------------------------------------- plumbing
     def path(self, table: str) -> str:
@@ -132,6 +134,7 @@ class Store:
         """Writes the run's partition, still invisible; returns its (rows, newest watermark), read back from the files."""
         tagged = scored.withColumns({"USE_CASE_NAME": F.lit(self.use_case.name), "RUN_ID": F.lit(run_id)})
         write_partitions(tagged, self.path("scores"), ["USE_CASE_NAME", "RUN_ID"])
+        self._written[run_id] = tagged.schema
         written = self.run_scores(run_id)
         if watermark is None:
             return written.count(), None
@@ -140,13 +143,26 @@ class Store:
 
     def run_scores(self, run_id: str) -> DataFrame:
         """One run's rows, committed or not."""
-        return self._mine(self.read_any("scores")).where(F.col("RUN_ID") == run_id)
+        schema = self._written.get(run_id) or self.scores_schema()
+        return self._mine(self.read("scores", schema)).where(F.col("RUN_ID") == run_id)
+
+    def scores_schema(self) -> T.StructType:
+        """Columns of the newest scoring run: a seed has fewer, and reading by one schema gives NULL for the rest."""
+        known = self.commits().where("SCHEMA_JSON IS NOT NULL")
+        row = known.orderBy(F.col("KIND") == "SEED", F.desc("UPDATED_AT"), F.desc("RUN_ID")).select("SCHEMA_JSON").first()
+        if row is None:
+            raise ValueError(f"{self.use_case.name} has no committed scores yet")
+        return T.StructType.fromJson(json.loads(row[0]))
+
+    def has_scores(self) -> bool:
+        return not self.commits().where("SCHEMA_JSON IS NOT NULL").isEmpty()
 
     def commits(self) -> DataFrame:
         return self._mine(self.read("commits", COMMITS))
 
     def commit(self, run_id: str, last_record_ts, now, kind: str = "SCORE"):
-        self._append_row("commits", COMMITS, (self.use_case.name, run_id, last_record_ts, now, kind))
+        schema = self._written.get(run_id)
+        self._append_row("commits", COMMITS, (self.use_case.name, run_id, last_record_ts, now, kind, schema and schema.json()))
 
     def watermark(self):
         row = current_watermark(self.commits()).first()
@@ -160,7 +176,7 @@ class Store:
 
     def scores(self) -> DataFrame:
         """Committed scores that were not rolled back. Partition pruning skips uncommitted runs."""
-        rows = self._mine(self.read_any("scores"))
+        rows = self._mine(self.read("scores", self.scores_schema()))
         rows = rows.join(self.commits().select("RUN_ID").distinct(), "RUN_ID", "left_semi")
         if self.exists("removed"):
             gone = self.read("removed", REMOVED).select("RUN_ID", "FEED_ROW_ID", "MODEL_VERSION")
@@ -206,7 +222,7 @@ class Store:
 
     def seed_monitor(self, baseline: DataFrame, now_value, now: Column):
         """Starts the monitor as a labeled copy of the baseline, once; an existing monitor keeps its history."""
-        if self.exists("scores") and not self._mine(self.read_any("scores")).isEmpty():
+        if self.has_scores():
             return
         self.write_scores(baseline.drop("ACTUAL_LABEL"), "seed", None)
         self.add_labels(baseline.select(F.lit("seed").alias("RUN_ID"), "FEED_ROW_ID", F.col("ACTUAL_LABEL").alias("GT_LABEL")), now)
