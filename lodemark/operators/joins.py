@@ -51,7 +51,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     hot = hot_keys(left, keys, hot_rows)
     if not hot:
         return left.join(right, keys, how)
-    schema = T.StructType([T.StructField(k, left.schema[k].dataType) for k in keys]).add("_SALTS", "int")
+    schema = T.StructType([T.StructField(k, left.schema[k].dataType) for k in keys]).add("_SALTS", T.IntegerType())
     salts = F.broadcast(left.sparkSession.createDataFrame(
         [(*values, n) for values, n in hot if None not in values], schema))
     spread = F.pmod(F.xxhash64(*[col(c) for c in left.columns], F.spark_partition_id()), F.lit(1 << 31))
