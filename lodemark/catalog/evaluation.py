@@ -10,6 +10,7 @@ from lodemark.operators import metrics as M
 from lodemark.operators import targets as T
 from lodemark.sources import fixtures as X
 from lodemark.sources.fixtures import BASE_SQL, SCORED_2_SQL, SCORED_SQL, with_sql
+from lodemark.sources.scans import staged
 
 PLACES = 6
 
@@ -18,6 +19,15 @@ def rounded(df, *kept):
     return df.select(*[F.col(c) if c in kept else F.round(F.col(c).cast("double"), PLACES).alias(c) for c in df.columns])
 
 
+def judged(spark, d, version: str = "LR_R1"):
+    """What a binary metric set reads, scored once and written: the metrics pass over it several times."""
+    return staged(X.scored(spark, d, version).select("ROW_ID", "Y_BIN", "PREDICTED_PROBABILITY", "PREDICTION"))
+
+
+def judged_classes(spark, d):
+    return staged(multi(spark, d).select("ROW_ID", "Y_MULTI", "PICK", "CONFIDENCE"))
+
+
 @query("target_profile_binary", with_sql(BASE_SQL, select="""
 SELECT count(*) AS N_ROWS, round(avg(Y_BIN), 6) AS BASE_RATE, round((1 - avg(Y_BIN)) / greatest(avg(Y_BIN), 1e-9), 6) AS IMBALANCE FROM base"""))
 def target_profile_binary(spark, d):
@@ -159,7 +169,7 @@ def tied_ranking_metrics(spark, d):
 @query("decile_metrics", with_sql(BASE_SQL, SCORED_SQL, select=f"""
 SELECT round(recall_at_decile, 6) AS recall_at_decile, round(lift_at_decile, 6) AS lift_at_decile FROM ({decile_sql(R1)})"""))
 def decile_metrics(spark, d):
-    return rounded(M.decile_metrics(X.scored(spark, d), "Y_BIN", "PREDICTED_PROBABILITY", ["ROW_ID"]))
+    return rounded(M.decile_metrics(judged(spark, d), "Y_BIN", "PREDICTED_PROBABILITY", ["ROW_ID"]))
 
 
 PRECISE_SQL = """
@@ -170,7 +180,7 @@ SELECT avg(CAST(Y_MULTI = PICK AS DOUBLE)) AS precision_at_decile FROM (
 @query("multiclass_decile_precision", with_sql(BASE_SQL, SCORED_SQL, MULTI_SQL, select=f"""
 SELECT round(precision_at_decile, 6) AS precision_at_decile FROM ({PRECISE_SQL})"""))
 def multiclass_decile_precision(spark, d):
-    return rounded(M.decile_precision(multi(spark, d), "Y_MULTI", "PICK", "CONFIDENCE", ["ROW_ID"]))
+    return rounded(M.decile_precision(judged_classes(spark, d), "Y_MULTI", "PICK", "CONFIDENCE", ["ROW_ID"]))
 
 
 @query("metric_set_multiclass", with_sql(BASE_SQL, SCORED_SQL, MULTI_SQL, REPORT_SQL, select=f"""
@@ -178,7 +188,7 @@ SELECT (SELECT round(avg(CAST(Y_MULTI = PICK AS DOUBLE)), 6) FROM multi) AS accu
        round(avg(PRECISION), 6) AS precision_macro, round(avg(RECALL), 6) AS recall_macro,
        (SELECT round(precision_at_decile, 6) FROM ({PRECISE_SQL})) AS precision_at_decile FROM report"""))
 def metric_set_multiclass(spark, d):
-    return rounded(M.score_metrics(multi(spark, d), "Y_MULTI", "PICK", "CONFIDENCE", ["ROW_ID"], "multiclass"))
+    return rounded(M.score_metrics(judged_classes(spark, d), "Y_MULTI", "PICK", "CONFIDENCE", ["ROW_ID"], "multiclass"))
 
 
 BINARY_NAMES = ("pr_auc", "roc_auc", "accuracy", "precision", "recall", "f1", "recall_at_decile", "lift_at_decile")
@@ -192,8 +202,7 @@ def binary_set_sql(source: str) -> str:
 SELECT {", ".join(f"round({n}, 6) AS {n}" for n in BINARY_NAMES)}, (SELECT round(avg(Y_BIN), 6) FROM scored) AS base_rate, 0.45e0 AS threshold
 FROM ({binary_set_sql(R1.replace('PREDICTION AS yhat', 'CASE WHEN PREDICTED_PROBABILITY >= 0.45e0 THEN 1 ELSE 0 END AS yhat'))})"""))
 def metric_set_binary(spark, d):
-    rows = X.scored(spark, d).select("ROW_ID", "Y_BIN", "PREDICTED_PROBABILITY")
-    return rounded(M.threshold_metrics(rows, "Y_BIN", "PREDICTED_PROBABILITY", 0.45, ["ROW_ID"]))
+    return rounded(M.threshold_metrics(judged(spark, d), "Y_BIN", "PREDICTED_PROBABILITY", 0.45, ["ROW_ID"]))
 
 
 COMPARE_SQL = f"""
@@ -203,7 +212,7 @@ COMPARE_SQL = f"""
 
 
 def compared(spark, d):
-    one = lambda v: M.score_metrics(X.scored(spark, d, v), "Y_BIN", "PREDICTION", "PREDICTED_PROBABILITY", ["ROW_ID"], "binary")
+    one = lambda v: M.score_metrics(judged(spark, d, v), "Y_BIN", "PREDICTION", "PREDICTED_PROBABILITY", ["ROW_ID"], "binary")
     return M.compare_models({v: one(v) for v in ("LR_R1", "LR_R2")})
 
 
@@ -249,7 +258,7 @@ def promotion_gate_regression(spark, d):
 SELECT D_F > 5 AND D_P > -10 AS promote, round(D_F, 4) AS f1_macro_delta_pct, round(D_P, 4) AS precision_at_decile_delta_pct
 FROM (SELECT (n_f1 - o_f1) / greatest(o_f1, 1e-9) * 100 AS D_F, (n_p - o_p) / greatest(o_p, 1e-9) * 100 AS D_P FROM sides)"""))
 def promotion_gate_multiclass(spark, d):
-    rows = multi(spark, d).withColumn("FLAT", F.lit("O"))
+    rows = judged_classes(spark, d).withColumn("FLAT", F.lit("O"))
     sets = {v: M.score_metrics(rows, "Y_MULTI", c, "CONFIDENCE", ["ROW_ID"], "multiclass") for v, c in (("A", "PICK"), ("B", "FLAT"))}
     gate = M.promotion_gate(M.compare_models(sets), "A", "B", "multiclass", 5.0, 10.0)
     return gate.select("promote", *[F.round(c, 4).alias(c) for c in gate.columns if c != "promote"])

@@ -15,6 +15,7 @@ from lodemark.operators.outcomes import OutcomeRule, synthetic_outcomes
 from lodemark.settings import SplitSpec
 from lodemark.sources import fixtures as X
 from lodemark.sources.fixtures import BASE_SQL, EVENT_FEED_SQL, FEED_SQL, SCORED_SQL, with_sql
+from lodemark.sources.scans import staged
 
 LATEST_SQL = """
 , latest AS (
@@ -57,7 +58,7 @@ def daily_band_report(spark, d):
     """The scoring path end to end: latest row per entity, encode, score, exact cutoffs, bands, daily counts."""
     intercept, weights = X.MODELS["LR_R1"]
     encoded = encode(X.latest_feed(spark, d), X.CONTRACT, ["ROW_ID", "RECORD_TS"], X.IMPUTE)
-    scored = encoded.select("ROW_ID", "RECORD_TS", F.round(logistic(linear_margin(weights, intercept)), 6).alias("P"))
+    scored = staged(encoded.select("ROW_ID", "RECORD_TS", F.round(logistic(linear_margin(weights, intercept)), 6).alias("P")))
     cuts = R.cutoffs(scored, "P", {"high": X.USE_CASE.scoring.n_high, "medium": X.USE_CASE.scoring.n_medium})
     p = F.col("P")
     return (scored.groupBy(F.to_date("RECORD_TS").alias("DT"), risk_band(p, cuts["high"], cuts["medium"]).alias("RISK_BAND"))
@@ -122,7 +123,8 @@ SELECT ROW_ID, SCORED_AT FROM scored
 QUALIFY row_number() OVER (ORDER BY SCORED_AT DESC, md5('11|' || ROW_ID))
         <= (SELECT CAST(round_even(count(*) * 0.3e0, 0) AS BIGINT) FROM scored)"""))
 def newest_fraction(spark, d):
-    return R.newest_fraction(X.scored(spark, d), "SCORED_AT", 0.3, ["ROW_ID"], 11).select("ROW_ID", "SCORED_AT")
+    rows = staged(X.scored(spark, d).select("ROW_ID", "SCORED_AT"))
+    return R.newest_fraction(rows, "SCORED_AT", 0.3, ["ROW_ID"], 11)
 
 
 SIZES = {"CUT_HIGH": 500, "CUT_MEDIUM": 2500}
@@ -145,7 +147,7 @@ SELECT ROW_ID, round(PREDICTED_PROBABILITY, 2) AS SCORE FROM scored
 QUALIFY row_number() OVER (ORDER BY round(PREDICTED_PROBABILITY, 2) DESC, md5('0|' || ROW_ID))
         <= (SELECT greatest(count(*) // 10, 1) FROM scored)"""))
 def top_decile_rows(spark, d):
-    rows = X.scored(spark, d).select("ROW_ID", F.round("PREDICTED_PROBABILITY", 2).alias("SCORE"))
+    rows = staged(X.scored(spark, d).select("ROW_ID", F.round("PREDICTED_PROBABILITY", 2).alias("SCORE")))
     return R.top_decile(rows, "SCORE", ["ROW_ID"])
 
 

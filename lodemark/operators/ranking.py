@@ -25,7 +25,7 @@ from lodemark.operators.joins import salted_join
 
 GRID = 1000             # histogram bins per narrowing round
 ACCURACY = 20000        # of the approximate quantiles that place the bins
-EXACT_ROWS = 50_000     # an interval this small is ranked exactly in one aggregate
+EXACT_ROWS = 250_000    # an interval this small is ranked exactly in one aggregate (2 MB of doubles)
 SLICE_ROWS = 2_000_000  # rows per slice of a running total
 MAX_SLICES = 10_000
 LOOKUP_ROWS = 400_000   # a lookup of up to this many distinct values (counted first) is broadcast
@@ -39,6 +39,7 @@ class OrderStatistic:
     below: int     # rows strictly smaller
     ties: int      # rows equal to it
     rows: int      # non-null rows
+    total: int     # all rows
 
 
 @dataclass
@@ -46,6 +47,7 @@ class _Search:
     column: str
     rank: int
     rows: int
+    total: int
     low: float
     high: float
     inside: int
@@ -53,80 +55,95 @@ class _Search:
     found: OrderStatistic | None = None
 
     def settle(self, value, below, ties):
-        self.found = OrderStatistic(float(value), self.below + int(below), int(ties), self.rows)
+        self.found = OrderStatistic(float(value), self.below + int(below), int(ties), self.rows, self.total)
 
+    @property
+    def interval(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
 
-def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, RankRule]],
+
+def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, RankRule]], of_all: bool = False,
                      exact_rows: int = EXACT_ROWS, grid: int = GRID) -> list[OrderStatistic | None]:
     """For each (column, rank rule): the value at 1-based ascending rank `rule(n)` among the n non-null rows.
 
-    NULL is ignored, and an empty column gives None. Pass a negated column for a rank from the top.
+    NULL is ignored, and an empty column gives None. Pass a negated column for a rank from the top. With `of_all` the
+    rule is given the number of all rows. Two jobs up to `exact_rows` rows; one or two more per further factor of `grid`.
     """
     if not wanted:
         return []
     columns = list(dict.fromkeys(c for c, _ in wanted))
     data = df.select(*[col(c).cast("double").alias(c) for c in columns])
-    head = data.agg(*[
-        F.struct(F.count(col(c)).alias("n"), F.min(col(c)).alias("low"), F.max(col(c)).alias("high")).alias(c)
-        for c in columns
+    head = data.agg(F.count("*").alias("_TOTAL"), *[
+        F.struct(F.count(col(c)).alias("n"), F.min(col(c)).alias("low"), F.max(col(c)).alias("high"),
+                 _marks(col(c), grid).alias("marks")).alias(c) for c in columns
     ]).first()
 
-    searches = []
+    searches, marks = [], {}
     for name, rule in wanted:
-        n = head[name]["n"]
-        if n == 0:
+        h = head[name]
+        if h["n"] == 0:
             searches.append(None)
             continue
-        searches.append(_Search(name, min(max(int(rule(n)), 1), n), n, head[name]["low"], head[name]["high"], n))
-
-    for search in filter(None, searches):
-        while search.inside > exact_rows and search.found is None:
-            _narrow(data, search, grid)
-    _pick_exact(data, [s for s in searches if s is not None and s.found is None])
+        rank = min(max(int(rule(head["_TOTAL"] if of_all else h["n"])), 1), h["n"])
+        searches.append(_Search(name, rank, h["n"], head["_TOTAL"], h["low"], h["high"], h["n"]))
+        marks[name, h["low"], h["high"]] = h["marks"]
+
+    live = [s for s in searches if s is not None]
+    while large := [s for s in live if s.found is None and s.inside > exact_rows]:
+        for interval in dict.fromkeys(s.interval for s in large):
+            _narrow(data, interval, [s for s in large if s.interval == interval], marks.get(interval), grid)
+    _pick_exact(data, [s for s in live if s.found is None])
     return [s and s.found for s in searches]
 
 
-def _narrow(data: DataFrame, search: _Search, grid: int):
-    if search.low == search.high:
-        return search.settle(search.low, 0, search.inside)
-    value = col(search.column)
-    inside = data.where((value >= search.low) & (value <= search.high)).select(value.alias("value"))
-    marks = inside.agg(F.percentile_approx("value", [i / grid for i in range(1, grid)], ACCURACY)).first()[0]
-    # a repeated mark is a heavy value: give it a bin of its own
-    edges = set(marks) | {math.nextafter(m, math.inf) for i, m in enumerate(marks) if marks[i - 1] == m or len(marks) < 3}
-    edges |= {math.nextafter(max(marks), math.inf), min(marks)}
-    bins = sliced(inside, "value", sorted(edges))
-    counted = (bins.groupBy("SLICE")
-               .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-               .orderBy("SLICE").collect())
-    passed = 0
-    for b in counted:
-        if passed + b["rows"] >= search.rank:
-            search.below += passed
-            search.rank -= passed
-            search.inside, search.low, search.high = b["rows"], b["low"], b["high"]
-            return None
-        passed += b["rows"]
-    raise AssertionError("rank lies outside the counted bins")
+def _marks(value: Column, grid: int) -> Column:
+    return F.percentile_approx(value, [i / grid for i in range(1, grid)], ACCURACY)
+
+
+def _narrow(data: DataFrame, interval: tuple[str, float, float], searches: list[_Search], marks: list[float] | None, grid: int):
+    """Cuts the interval into bins at its approximate quantiles, counts them, and moves each search into its bin."""
+    column, low, high = interval
+    if low == high:
+        for s in searches:
+            s.settle(low, 0, s.inside)
+        return
+    value = col(column)
+    inside = data.where((value >= low) & (value <= high)).select(value.alias("value"))
+    marks = marks or inside.agg(_marks(F.col("value"), grid)).first()[0]
+    # a repeated mark is a heavy value: it gets a bin of its own; the last edge keeps the search from standing still
+    edges = set(marks) | {math.nextafter(m, math.inf) for i, m in enumerate(marks) if m == marks[i - 1]}
+    edges.add(math.nextafter(marks[-1], math.inf))
+    bins = (sliced(inside, "value", sorted(edges)).groupBy("SLICE")
+            .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .orderBy("SLICE").collect())
+    for s in searches:
+        passed = 0
+        for b in bins:
+            if passed + b["rows"] >= s.rank:
+                s.below, s.rank = s.below + passed, s.rank - passed
+                s.inside, s.low, s.high = b["rows"], b["low"], b["high"]
+                break
+            passed += b["rows"]
 
 
 def _pick_exact(data: DataFrame, searches: list[_Search]):
+    """Ranks the few rows left in each interval; searches in one interval share its sorted array."""
     if not searches:
         return
+    spans = {interval: f"held{i}" for i, interval in enumerate(dict.fromkeys(s.interval for s in searches))}
     held = data.agg(*[
-        F.sort_array(F.collect_list(F.when((col(s.column) >= s.low) & (col(s.column) <= s.high), col(s.column))))
-        .alias(f"held{i}") for i, s in enumerate(searches)
+        F.sort_array(F.collect_list(F.when((col(c) >= low) & (col(c) <= high), col(c)))).alias(name)
+        for (c, low, high), name in spans.items()
     ])
-    valued = held.select("*", *[F.element_at(f"held{i}", s.rank).alias(f"value{i}") for i, s in enumerate(searches)])
+    names = [spans[s.interval] for s in searches]
+    valued = held.select("*", *[F.element_at(n, s.rank).alias(f"value{i}") for i, (n, s) in enumerate(zip(names, searches))])
     answers = valued.select(*[
-        F.struct(F.col(f"value{i}").alias("value"),
-                 (F.array_position(f"held{i}", F.col(f"value{i}")) - 1).alias("below"),
-                 F.size(F.filter(f"held{i}", _equals(F.col(f"value{i}")))).alias("ties")).alias(f"s{i}")
-        for i in range(len(searches))
+        F.struct(F.col(f"value{i}").alias("value"), (F.array_position(n, F.col(f"value{i}")) - 1).alias("below"),
+                 F.size(F.filter(n, _equals(F.col(f"value{i}")))).alias("ties")).alias(f"s{i}")
+        for i, n in enumerate(names)
     ]).first()
     for i, s in enumerate(searches):
-        a = answers[f"s{i}"]
-        s.settle(a["value"], a["below"], a["ties"])
+        s.settle(answers[f"s{i}"]["value"], answers[f"s{i}"]["below"], answers[f"s{i}"]["ties"])
 
 
 def _equals(value: Column) -> Callable[[Column], Column]:
@@ -223,18 +240,19 @@ def leading_filter(df: DataFrame, order: Order, size: RankRule) -> Column:
     signed = [(by if isinstance(by, Column) else as_ordinal(df, by)) * (-1.0 if way == "desc" else 1.0)
               for by, way in order]
     ordinals = df.select(*[s.alias(f"o{i}") for i, s in enumerate(signed)])
-    total = ordinals.count()
-    left = min(max(int(size(total)), 0), total)
-    if left == 0:
-        return F.lit(False)
-    if left == total:
-        return F.lit(True)
-    bounds = []
+    bounds, left = [], None
     for i in range(len(order)):
         scope = ordinals
         for j, b in enumerate(bounds):
             scope = scope.where(F.col(f"o{j}") == F.lit(b))
-        found = order_statistics(scope, [(f"o{i}", lambda n: left)])[0]
+        rule = size if left is None else (lambda n, left=left: left)
+        found = order_statistics(scope, [(f"o{i}", rule)], of_all=True)[0]
+        if left is None:
+            left = 0 if found is None else int(size(found.total))
+            if left <= 0:
+                return F.lit(False)
+            if left >= found.total:
+                return F.lit(True)
         bounds.append(found.value)
         left -= found.below
         if left >= found.ties:
