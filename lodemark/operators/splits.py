@@ -6,11 +6,12 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodemark.functions.columns import as_ordinal, col
-from lodemark.operators.ranking import leading_filter, leading_rows, order_statistics, seeded
+from lodemark.operators.joins import salted_join
+from lodemark.operators.ranking import leading_filter, leading_rows, order_statistics, running_totals, seeded
 from lodemark.settings import SplitSpec
 
 
@@ -23,11 +24,10 @@ class Split:
 
 
 def cohort_shares(df: DataFrame, ts: str) -> DataFrame:
-    """Rows per cohort and the running share of all rows; for reports, cohorts must be few."""
-    counts = df.groupBy(col(ts)).agg(F.count("*").alias("N"))
-    running = Window.orderBy(col(ts)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return counts.select(col(ts), "N", (F.sum("N").over(running) / F.sum("N").over(whole)).alias("CUM_SHARE"))
+    """Rows per cohort and the running share of all rows, in cohort order."""
+    counts = running_totals(df, ts, {"N": F.count("*")})
+    total = df.agg(F.count(col(ts)).alias("n")).scalar()
+    return counts.select(col(ts), "N", (F.col("RUN_N") / total).alias("CUM_SHARE"))
 
 
 def split_data(df: DataFrame, ts: str, keys: Sequence[str], spec: SplitSpec) -> Split:
@@ -99,4 +99,4 @@ def search_fit_rows(train: DataFrame, ts: str, fraction: float, keys: Sequence[s
 
 def without(df: DataFrame, held_out: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose keys are not in `held_out`."""
-    return df.join(held_out.select(*[col(k) for k in keys]).distinct(), list(keys), "left_anti")
+    return salted_join(df, held_out.select(*[col(k) for k in keys]).distinct(), keys, "left_anti")

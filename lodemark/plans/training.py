@@ -12,12 +12,11 @@ from lodemark.functions.columns import col
 from lodemark.operators import encode as E
 from lodemark.operators import learners
 from lodemark.operators.explain import feature_importance
-from lodemark.operators.metrics import metric_values
 from lodemark.operators.monitoring import training_summary
 from lodemark.operators.splits import search_fit_rows, split_data
 from lodemark.operators.targets import naive_baseline, prepare_target
 from lodemark.plans.shared import as_time, bands, cohort_times, evaluate, feed_row_id, monitor_columns, predicted, time_column
-from lodemark.settings import BINARY, LABEL_TYPE, REGRESSION, UseCase
+from lodemark.settings import BINARY, LABEL_TYPE
 from lodemark.sources.scans import shared_folder, staged
 from lodemark.sources.store import Store
 
@@ -103,10 +102,3 @@ def refuse_gaps(rows: DataFrame, contract: E.Contract):
     bad = [c for c, n in left.items() if n]
     if bad:
         raise ValueError(f"NULLs remain after imputation in {bad}")
-
-
-def metric_row(metrics: DataFrame) -> dict:
-    return metric_values(metrics)
-
-
-__all__ = ["Training", "train", "baseline_rows", "refuse_gaps", "UseCase", "REGRESSION"]
