@@ -151,7 +151,7 @@ def comparison_holdout(spark, d):
 
 
 @query("challenger_train_rows", with_sql(*ALL, CHAMPION_SQL, select="""
-SELECT ROW_SOURCE, count(*) AS N, sum(Y_BIN) AS POSITIVES FROM retrain
+SELECT ROW_SOURCE, count(*) AS N, CAST(sum(Y_BIN) AS BIGINT) AS POSITIVES FROM retrain
 WHERE ROW_SOURCE = 'HISTORY' OR ENTITY_ID NOT IN (SELECT ENTITY_ID FROM holdout) GROUP BY 1"""))
 def challenger_train_rows(spark, d):
     held = holdout(spark, d).select("ENTITY_ID", F.lit(L.PRODUCTION).alias("ROW_SOURCE"))

@@ -52,7 +52,7 @@ def _cuts_sql(sizes: dict[str, int]) -> str:
          (SELECT min(P) FROM (SELECT P FROM raw ORDER BY P DESC LIMIT 2500)) AS MD
 )""", select="""
 SELECT CAST(RECORD_TS AS DATE) AS DT, CASE WHEN P >= HI THEN 'HIGH' WHEN P >= MD THEN 'MEDIUM' ELSE 'LOW' END AS RISK_BAND,
-       count(*) AS N, round(avg(P), 12) AS AVG_PROB, sum(CASE WHEN P >= HI THEN 1 ELSE 0 END) AS N_FLAGGED
+       count(*) AS N, round(avg(P), 12) AS AVG_PROB, CAST(sum(CASE WHEN P >= HI THEN 1 ELSE 0 END) AS BIGINT) AS N_FLAGGED
 FROM raw, cuts GROUP BY 1, 2"""))
 def daily_band_report(spark, d):
     """The scoring path end to end: latest row per entity, encode, score, exact cutoffs, bands, daily counts."""
@@ -239,7 +239,7 @@ def feature_asof_lookup(spark, d):
 
 
 @query("daily_training_summary", with_sql(BASE_SQL, FEED_SQL, SCORED_SQL, X.BASELINE_SQL, select="""
-SELECT CAST(SCORED_AT AS DATE) AS DT, count(*) AS N, sum(CASE WHEN RISK_BAND = 'HIGH' THEN 1 ELSE 0 END) AS N_HIGH
+SELECT CAST(SCORED_AT AS DATE) AS DT, count(*) AS N, CAST(sum(CASE WHEN RISK_BAND = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS N_HIGH
 FROM baseline GROUP BY 1"""))
 def daily_training_summary(spark, d):
     return training_summary(X.baseline(spark, d), "binary")
