@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lodemark.functions.columns import col, midnight
 
 BEGINNING = "1900-01-01 00:00:00"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def load_source(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -44,20 +46,54 @@ def late_rows(feed: DataFrame, scored: DataFrame, ts: str, watermark: Column | s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it; a temporary one only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-        folder = tempfile.mkdtemp(prefix="lodemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """The folder every executor can reach: spark.checkpoint.dir, or a checkpoint folder set on the context.
+
+    Without either, a local session (one machine, as in tests) gets a temporary folder of its own; a cluster session is
+    refused, because its executors could not read back what one of them wrote to a local disk.
+    """
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
+        return folder
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lodemark-"))
+    return context.getCheckpointDir()
+
+
+class Scratch:
+    """Intermediate tables in the shared folder. drop() removes one early; the rest goes when the driver's JVM ends.
+
+    A written table needs none of the shuffle files it was made from, so those are removed as soon as the write is done.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, f"{shared_folder(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+        self._path(self.root, lambda fs, path: fs.deleteOnExit(path))
+
+    def _path(self, name: str, act):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        return act(path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path)
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path, before = f"{self.root}/{uuid.uuid4().hex}", self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            self._path(table._scratch_path, lambda fs, path: fs.delete(path, True))
 
 
 def staged(df: DataFrame) -> DataFrame:
     """The rows written once to the shared folder and read back: reused by several jobs, and safe when executors go."""
-    path = f"{shared_folder(df.sparkSession)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession).write(df)
