@@ -36,7 +36,7 @@ def hex_share(text: Column, first: int = 1) -> Column:
     return F.conv(F.substring(text, first, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
-def gapless_rank(df: DataFrame, group: Sequence[str], share: str, order: Sequence[str], rows: int, bucket_rows: int = 20_000,
+def gapless_rank(df: DataFrame, group: Sequence[str], share: str, order: Sequence[str], rows: int, bucket_rows: int = 2_000,
                  counted: DataFrame | None = None) -> DataFrame:
     """Adds `rank`, from 1 without gaps within each group, by the column `share` in [0, 1) and then `order`.
 

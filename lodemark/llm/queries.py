@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import langid, preference, quality, sharding, warc
+from lodemark.llm import jaccard, langid, preference, quality, sharding, warc
 from lodemark.llm.common import table
 from lodemark.sources.scans import Scratch
 
@@ -130,3 +130,23 @@ def op8_zip_archives(spark, sf_dir):
     archives = warc.write_archives(table(spark, sf_dir, "pages"), f"{scratch.root}/archives")
     return warc.read_records(warc.read_index(archives), payloads=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+@query("""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s FROM words),
+shingles AS (SELECT doc_id, hash(unnest(s)) AS h FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+met AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM met JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * shared >= 75 * (p.n + q.n - shared)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, edges.y FROM reach JOIN edges ON reach.y = edges.x)
+SELECT sizes.doc_id, n AS n_shingles, min(y) AS component_id FROM sizes JOIN reach ON sizes.doc_id = reach.x GROUP BY ALL""")
+def op9_jaccard_groups(spark, sf_dir):
+    found = jaccard.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.withColumnRenamed("id", "doc_id")
