@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import jaccard, langid, preference, quality, sharding, warc
-from lodemark.llm.common import table
+from lodemark.llm import jaccard, langid, packing, pieces, preference, quality, sharding, spans, warc
+from lodemark.llm.common import WORD, table
 from lodemark.sources.scans import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,38 @@ def op2_language_mixture(spark, sf_dir):
     return judged.select("doc_id", (langid.fold("doc_id") == 1).alias("held_out"), "lang_pred", "score", F.to_json("lang_shares").alias("lang_shares"))
 
 
+@query("""
+WITH pieces AS (
+  SELECT doc_id, text, unnest(p) AS piece, unnest(range(1, len(p) + 1)) AS i
+  FROM (SELECT doc_id, text, regexp_extract_all(text, '[^.!?\\n]+[.!?\\n]*[\\x09-\\x0D\\x20]*|[.!?\\n]+[\\x09-\\x0D\\x20]*') AS p FROM documents)),
+worded AS (SELECT *, regexp_extract_all(piece, '[^\\x20\\x09-\\x0D]+') AS w FROM pieces),
+numbered AS (SELECT *, sum(CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS number FROM worded),
+sents AS (
+  SELECT doc_id, number AS k, array_to_string(w, ' ') AS s, len(w) AS n,
+         sum(len(w)) OVER (PARTITION BY doc_id ORDER BY number) AS upto FROM numbered WHERE len(w) > 0),
+ends AS (
+  SELECT a.doc_id, a.k, min(b.k) AS j
+  FROM sents a JOIN sents b ON a.doc_id = b.doc_id AND b.k >= a.k
+   AND ((b.k > a.k AND b.upto - a.upto + a.n >= 20) OR b.upto - a.upto + a.n >= 40)
+  GROUP BY ALL),
+runs AS (
+  SELECT e.doc_id, e.k, e.j, string_agg(s.s, ' ' ORDER BY s.k) AS run
+  FROM ends e JOIN sents s ON e.doc_id = s.doc_id AND s.k BETWEEN e.k AND e.j GROUP BY ALL),
+later AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS nth FROM runs),
+gone AS (SELECT DISTINCT s.doc_id, s.k FROM later l JOIN sents s ON l.nth > 1 AND l.doc_id = s.doc_id AND s.k BETWEEN l.k AND l.j),
+cleaned AS (
+  SELECT n.doc_id, coalesce(string_agg(CASE WHEN g.k IS NULL THEN piece END, '' ORDER BY i), '') AS text
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND greatest(n.number, 1) = g.k GROUP BY ALL)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(c.text, '') END AS text,
+       coalesce(x.n, 0)::INTEGER AS n_sentences, coalesce(y.n, 0)::INTEGER AS n_removed
+FROM documents d LEFT JOIN cleaned c USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM sents GROUP BY ALL) x USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY ALL) y USING (doc_id)""")
+def op3_sentence_spans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.drop_repeated_spans(docs, "doc_id", "text").select("doc_id", "text", "n_sentences", "n_removed")
+
+
 TURNS_SQL = """
 turns AS (
   SELECT conv_id, list({'role': coalesce(role, 'user'), 'text': coalesce(text, '')}
@@ -117,6 +149,25 @@ def op5_compression_bands(spark, sf_dir):
     return quality.compression_bands(docs, "text", carry=["doc_id"])
 
 
+@query()
+def op6_best_fit_bins(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.regexp_count("text", F.lit(WORD)).alias("n_words"), F.md5("text").alias("cluster"))
+    return packing.pack(docs, "doc_id", F.col("n_words"), "source", F.col("cluster"), capacity=2048)
+
+
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op7_piece_codec(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, "text", MODEL, check=True)
+    decoded = pieces.decode(encoded, "ids", MODEL)
+    return decoded.select("doc_id", F.size("ids").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"), "parity",
+                          F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 @query("""
 WITH rows AS (
   SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),

@@ -176,7 +176,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("first", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")))
     archives = max(1, -(-total // archive_bytes))
     rows = rows.withColumn("archive", F.pmod(F.xxhash64("id", "url"), F.lit(archives)))
-    rows = rows.repartition(archives, "archive").sortWithinPartitions("archive", "id", "url")
+    rows = rows.repartition(4 * archives, "archive").sortWithinPartitions("archive", "id", "url")
 
     def save(number: int, members: list[bytes], lines: list[dict]) -> tuple[str, int]:
         buffer = io.BytesIO()
