@@ -5,24 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import langid, quality
+from lodemark.llm import jaccard, langid, packing, quality, spans
+from lodemark.llm.common import WORD
 from lodemark.sources.scans import Scratch
 
-DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+# Compression bands, the mixture's random-like rejects and the packing order have no SQL form; tests use a brute-force version.
 ORACLE_SQL = None
+CAPACITY = 2048
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.compression_bands(docs.select(*DOCUMENT), "text").where("kept").select(*DOCUMENT)
+    """Rejected documents go."""
+    return quality.compression_bands(docs, "text").where("kept").select(*docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or without a language that makes up half of them, go."""
     languages = langid.learn(docs.where(langid.fold("doc_id") != 1), "text", "lang")
-    judged = langid.infer(docs.select(*DOCUMENT), "text", languages)
-    return judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= 0.5)).select(*DOCUMENT)
+    judged = langid.infer(docs, "text", languages)
+    return judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= 0.5)).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules), ("language_id", language_id)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest id stays. Rows with one id stay or go together."""
+    groups = jaccard.similar_groups(docs, "doc_id", "text")
+    extra = groups.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sentences that occurred before go; a document that has none of its own goes with them."""
+    cleaned = spans.drop_repeated_spans(docs, "doc_id", "text")
+    kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in bins of CAPACITY words."""
+    rows = docs.select("doc_id", "source", F.regexp_count("text", F.lit(WORD)).alias("n_words"), F.md5("text").alias("cluster"))
+    return packing.pack(rows, "doc_id", F.col("n_words"), "source", F.col("cluster"), CAPACITY)
+
+
+STAGES = [("quality_rules", quality_rules), ("language_id", language_id), ("near_duplicates", near_duplicates),
+          ("repeated_passages", repeated_passages), ("best_fit_packing", best_fit_packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
