@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import jaccard, langid, packing, pieces, preference, quality, sharding, spans, warc
+from lodemark.llm import jaccard, langid, neighbours, packing, pieces, preference, quality, sharding, spans, warc
 from lodemark.llm.common import WORD, table
 from lodemark.sources.scans import Scratch
 
@@ -201,3 +201,9 @@ SELECT sizes.doc_id, n AS n_shingles, min(y) AS component_id FROM sizes JOIN rea
 def op9_jaccard_groups(spark, sf_dir):
     found = jaccard.similar_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op10_graph_neighbours(spark, sf_dir):
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
+    return found.withColumnRenamed("id", "vec_id")
