@@ -21,14 +21,14 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     seen = None
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = smallest(both).withColumn("m", F.least("m", "a"))
+        lowest = scratch.write(smallest(both).withColumn("m", F.least("m", "a")))
         large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = scratch.write(large.where("a <> b").distinct())
-        lowest = smallest(large)
-        small = large.join(lowest, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+        large = scratch.write(large.where("a <> b"))
+        lower = scratch.write(smallest(large))
+        small = large.join(lower, "a").select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
         after = scratch.write(small.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).where("a <> b").distinct())
         mark = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        scratch.drop(now, large)
+        scratch.drop(now, large, lowest, lower)
         now = after
         if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(now.select("b", "b").distinct())

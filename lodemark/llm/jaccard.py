@@ -36,16 +36,22 @@ def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [shingle_set(t) for t in batch.column(1).to_pylist()]
 
 
-def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = _sets(batch)
-        bands = []
-        for tokens in sets:
-            low = (tokens.view(np.uint64)[None, :] * _MIX[:, None]).min(axis=1, initial=np.uint64(2**64 - 1)) if len(tokens) else np.zeros(len(_MIX), np.uint64)
-            bands.append((low[::2] * np.uint64(0x9E3779B97F4A7C15) ^ low[1::2]).view(np.int64))
-        keys = [class_key(t) if len(t) else None for t in sets]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array([len(t) for t in sets], pa.int64()),
-                                          pa.array(bands, pa.list_(pa.int64()))], names=["id", "class", "n", "bands"])
+def _profile(common):
+    """Per text: its class, the size of its set, how many of its elements are rare, and its MinHash bands."""
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common_now = common.value
+        for batch in batches:
+            sets = _sets(batch)
+            bands = []
+            for tokens in sets:
+                low = (tokens.view(np.uint64)[None, :] * _MIX[:, None]).min(axis=1, initial=np.uint64(2**64 - 1)) if len(tokens) else np.zeros(len(_MIX), np.uint64)
+                bands.append((low[::2] * np.uint64(0x9E3779B97F4A7C15) ^ low[1::2]).view(np.int64))
+            keys = [class_key(t) if len(t) else None for t in sets]
+            rare = [int((common_now.levels_of(t) == 0).sum()) for t in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(keys, pa.int64()), pa.array([len(t) for t in sets], pa.int64()), pa.array(rare, pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64()))], names=["id", "class", "n", "rare", "bands"])
+    return describe
 
 
 # ---- how often each element occurs
@@ -95,17 +101,20 @@ class Frequent:
     elements: np.ndarray
     levels: np.ndarray
 
-    def order(self, tokens: np.ndarray) -> np.ndarray:
+    def levels_of(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.elements):
-            return tokens
+            return np.zeros(len(tokens), np.int32)
         short = (tokens.view(np.uint64) >> np.uint64(16)).astype(np.int64)
         at = np.minimum(np.searchsorted(self.elements, short), len(self.elements) - 1)
-        levels = np.where(self.elements[at] == short, self.levels[at], 0)
+        return np.where(self.elements[at] == short, self.levels[at], 0)
+
+    def order(self, tokens: np.ndarray) -> np.ndarray:
+        levels = self.levels_of(tokens)
         return tokens[np.argsort(levels, kind="stable")] if levels.any() else tokens
 
 
-def frequent(texts: DataFrame, total: int, scratch: Scratch) -> tuple[Frequent, float]:
-    """Counts every element of every set; returns the most frequent ones and the mean other entries of a list below them.
+def frequent(texts: DataFrame, total: int, scratch: Scratch) -> tuple[Frequent, int]:
+    """Counts every element of every set; returns the most frequent ones, and the pairs of entries in the lists of the others.
 
     A task sends its elements as packed blocks by range of value; a range holds about PART_TOKENS elements whatever the
     input. At most MAX_FREQUENT elements reach the driver: the count from which an element is frequent follows from that.
@@ -119,7 +128,7 @@ def frequent(texts: DataFrame, total: int, scratch: Scratch) -> tuple[Frequent,
     top = counts.where(level >= least).select("element", level.alias("level")).toArrow().sort_by("element")
     met = counts.where(level < least).agg(F.sum(F.col("n") * (F.col("n") - 1))).first()[0] or 0
     scratch.drop(counts)
-    return Frequent(top["element"].to_numpy(), top["level"].to_numpy()), met / max(total, 1)
+    return Frequent(top["element"].to_numpy(), top["level"].to_numpy()), met
 
 
 # ---- prefixes
@@ -200,10 +209,14 @@ def verified(pairs: DataFrame, texts: DataFrame, owners: DataFrame, percent: int
     return links
 
 
-def _early_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Each class with the first class of each of its bands: most members of a group of copies meet the same few classes."""
-    banded = classes.select("class", "n", F.posexplode("bands").alias("k", "band"))
-    hubs = banded.groupBy("k", "band").agg(F.min(F.struct("class", "n")).alias("hub"), F.count("*").alias("members")).where("members > 1")
+def _early_pairs(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Each class with one class of each of its bands, the one with the fewest rare elements.
+
+    That is the least edited copy of its group, to which most other copies are similar enough, so a group falls into few parts.
+    """
+    banded = classes.select("class", "n", "rare", F.posexplode("bands").alias("k", "band"))
+    hubs = banded.groupBy("k", "band").agg(F.min(F.struct("rare", "class", "n")).alias("hub"), F.count("*").alias("members"))
+    hubs = scratch.write(hubs.where("members > 1"))
     met = banded.join(hubs, ["k", "band"]).where(F.col("class") != F.col("hub.class")).where(_fits(F.col("n"), F.col("hub.n"), percent))
     return met.select(F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
 
@@ -232,8 +245,8 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, percent: int = 75)
     a null component. An empty table gives an empty one; other columns of df are not looked at.
 
     1. Rows with equal sets are one class, found by a map-side minimum over a digest of the set.
-    2. Classes meet the first class of each of four MinHash bands; verified links join large groups of copies at once, with
-       as many pairs as there are rows. Nothing is decided by a miss here.
+    2. Classes meet the least edited class of each of four MinHash bands; verified links join large groups of copies at once,
+       with as many pairs as there are rows. Nothing is decided by a miss here.
     3. Exact candidates: prefixes in rarest-first order, subsets for small sets and inverted lists for large ones. Keys with
        one class are dropped; under a key, only classes of different groups are paired, so a group of copies costs its rows.
     4. Candidates are verified by exact intersection, and the links of both steps give the components.
@@ -241,29 +254,26 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, percent: int = 75)
     scratch = Scratch(df.sparkSession)
     context = df.sparkSession.sparkContext
     texts = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    profile = scratch.write(texts.mapInArrow(_profile, "id long, class long, n long, bands array<long>"))
+    kept = texts.where("id IS NOT NULL AND text IS NOT NULL")
+    often, met = frequent(kept, (kept.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6, scratch)
+    common = context.broadcast(often)
+    profile = scratch.write(texts.mapInArrow(_profile(common), "id long, class long, n long, rare long, bands array<long>"))
     known = profile.where("class IS NOT NULL AND id IS NOT NULL")
-    classes = scratch.write(known.groupBy("class").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    classes = scratch.write(known.groupBy("class").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "rare", "bands")]))
     owners = classes.select("class", "id")
-    texts = texts.where("id IS NOT NULL AND text IS NOT NULL")
-    total, small = 0, {}
-    for n, rows in classes.groupBy(F.least("n", F.lit(2 * MAX_BOUNDARY)).alias("n")).count().collect():
-        small[n] = rows
-    total = profile.agg(F.sum("n")).first()[0] or 0
 
-    early = verified(scratch.write(_early_pairs(classes, percent)), texts, owners, percent, scratch)
+    early = verified(scratch.write(_early_pairs(classes, percent, scratch)), kept, owners, percent, scratch)
     groups = scratch.write(components(early, scratch))
 
-    often, met = frequent(texts, total, scratch)
-    light = boundary({n: c for n, c in small.items() if n < 2 * MAX_BOUNDARY}, percent, met)
-    common = context.broadcast(often)
-    postings = scratch.write(texts.mapInArrow(_postings(common, percent, light), "key long, class long, n int, first boolean"))
+    sizes = dict(classes.where(F.col("n") < 2 * MAX_BOUNDARY).groupBy("n").count().collect())
+    light = boundary(sizes, percent, met / max(profile.agg(F.sum("n")).first()[0] or 1, 1))
+    postings = scratch.write(kept.mapInArrow(_postings(common, percent, light), "key long, class long, n int, first boolean"))
     lists = postings.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.max("first").alias("any"))
-    lists = lists.where("low <> high AND any").select("key")
+    lists = scratch.write(lists.where("low <> high AND any").select("key"))
     shared = postings.join(lists, "key").join(groups.withColumnRenamed("node", "class"), "class", "left")
     shared = scratch.write(shared.select("key", "class", "n", "first", F.coalesce("component", "class").alias("group")).distinct())
-    scratch.drop(postings)
-    late = verified(scratch.write(_cross_pairs(shared, percent)), texts, owners, percent, scratch)
+    scratch.drop(postings, lists)
+    late = verified(scratch.write(_cross_pairs(shared, percent)), kept, owners, percent, scratch)
     scratch.drop(shared)
 
     repeated = known.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("high")).where("a <> high").select("id", "a")
@@ -271,6 +281,6 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, percent: int = 75)
     groups = scratch.write(components(early.unionAll(late).unionAll(repeated), scratch))
     member = profile.select("id", "n", "class").join(groups.withColumnRenamed("node", "class"), "class", "left")
     member = scratch.write(member.select("id", "n", F.coalesce("component", "class").alias("component")))
-    lowest = member.where("component IS NOT NULL AND id IS NOT NULL").groupBy("component").agg(F.min("id").alias("lowest"))
+    lowest = scratch.write(member.where("component IS NOT NULL AND id IS NOT NULL").groupBy("component").agg(F.min("id").alias("lowest")))
     named = member.join(lowest, "component", "left")
     return named.select("id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("lowest", "id")).alias("component_id"))
