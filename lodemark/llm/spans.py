@@ -56,8 +56,8 @@ def drop_repeated_spans(df: DataFrame, id_col: str, text_col: str, min_words: in
     the one with the smallest (id, text digest, position); all sentences under any other occurrence are removed. Runs may
     overlap, and a text may repeat its own runs. Sentences are compared by their words, with case and punctuation.
 
-    Counting the runs combines on the map side, and only repeated ones are joined back to their places; a run that a third
-    of all texts hold spreads over that join's tasks. A text's marks are gathered per text, never per run.
+    Counting the runs combines on the map side, and only repeated ones are joined back to their places. The counts are
+    written first, so that both sides of the join are dealt out anew and AQE splits a run that a third of all texts hold. A text's marks are gathered per text, never per run.
 
     A null text stays null, a text without words stays as it is. Fully repeated rows (equal id and text) are one occurrence
     and stay equal; a null id sorts first. An empty table gives an empty one. Input columns with the name of an output are
@@ -83,11 +83,11 @@ def drop_repeated_spans(df: DataFrame, id_col: str, text_col: str, min_words: in
 
     found = df.where(F.col(f"`{text_col}`").isNotNull()).select(*key, text)
     spans = scratch.write(found.mapInArrow(hashed, "h1 long, h2 long, id long, digest long, first int, last int"))
-    repeated = spans.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
+    repeated = scratch.write(spans.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"))
     hits = scratch.write(spans.join(repeated, ["h1", "h2"]))
     scratch.drop(spans)
     place = F.struct("id", "digest", "first")
-    origin = hits.groupBy("h1", "h2").agg(F.min(place).alias("origin"))
+    origin = scratch.write(hits.groupBy("h1", "h2").agg(F.min(place).alias("origin")))
     later = hits.join(origin, ["h1", "h2"]).where(~place.eqNullSafe(F.col("origin")))
     marks = later.groupBy("id", "digest").agg(F.collect_set(F.struct("first", "last")).alias("marks"))
 
