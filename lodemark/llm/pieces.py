@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -127,13 +128,13 @@ class Codec:
     With `check`, every part's ids are compared with those of the sentencepiece library; differing parts are kept in `wrong`.
     """
 
-    MEMORY = 400_000
+    MEMORY = 800_000
 
     def __init__(self, path: str, threads: int, check: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = ("true" if threads > 1 else "false"), str(threads)
         with open(path, "rb") as file:
             self.model = parse(file.read())
-        self.whole, self.parts, self.apart = build(self.model), Tokenizer(core(self.model)), words_apart(self.model)
+        self.apart = words_apart(self.model)
         self.charsmap = normalizers.Precompiled(self.model.charsmap) if self.model.charsmap else None
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path) if check else None
         self.simple = self.apart and self.charsmap is None and self.model.dummy_prefix and not self.model.trim_spaces
@@ -141,6 +142,14 @@ class Codec:
         self.wrong: set[str | tuple[str]] = set()
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in self.model.pieces]
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        return build(self.model)
+
+    @cached_property
+    def parts(self) -> Tokenizer:
+        return Tokenizer(core(self.model))
+
     def normal(self, text: str) -> str:
         model = self.model
         if self.charsmap:
@@ -161,16 +170,17 @@ class Codec:
         return [p[1:] if p[0] == SPACE else (p,) for p in (_PARTS.findall(text) if self.apart else [text])]
 
     def _learn(self, parts: list[str | tuple[str]]) -> None:
-        full = [p[0] if isinstance(p, tuple) else SPACE + p for p in parts]
+        full, ids = [p[0] if isinstance(p, tuple) else SPACE + p for p in parts], []
         for at in range(0, len(parts), 8192):
             for part, found in zip(parts[at:at + 8192], self.parts.encode_batch_fast(full[at:at + 8192], add_special_tokens=False)):
-                self.known[part] = np.array(found.ids, np.int32).tobytes()
+                ids.append(found.ids)
+                self.known[part] = array("i", ids[-1]).tobytes()
         if self.processor:
             prefix = SPACE if self.model.dummy_prefix else ""
             plain = [p.removeprefix(prefix).replace(SPACE, " ") for p in full]
             # An empty text has no ids there, so a lone marker is compared with its piece.
-            other = [ids if p else [self.processor.piece_to_id(SPACE)] for p, ids in zip(plain, self.processor.encode(plain, num_threads=1))]
-            self.wrong |= {p for p, ids in zip(parts, other) if np.array(ids, np.int32).tobytes() != self.known[p]}
+            other = [found if p else [self.processor.piece_to_id(SPACE)] for p, found in zip(plain, self.processor.encode(plain, num_threads=1))]
+            self.wrong |= {p for p, mine, found in zip(parts, ids, other) if mine != found}
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Ids as 32-bit integers, and whether all parts agree with the other library."""
@@ -199,7 +209,7 @@ def loaded(path: str, threads: int, check: bool = False) -> Codec:
 
 def _over(df: DataFrame, column: str, kind: str, work, carry: Sequence[str] | None, **outputs: str) -> DataFrame:
     carry = df.columns if carry is None else carry
-    rows = df.select(packed(carry), F.col(f"`{column}`").cast(kind).alias("value"))
+    rows = df.withColumn(column, F.col(f"`{column}`").cast(kind)).select(packed(list(dict.fromkeys([*carry, column]))))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, " + ", ".join(f"{n} {t}" for n, t in outputs.items())
     return unpacked(rows.mapInArrow(work, schema), carry, **{n: F.col(n) for n in outputs})
 
@@ -218,7 +228,7 @@ def encode(df: DataFrame, text_col: str, model_path: str, threads: int = 2, chec
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 rows = batch.slice(at, 2048)
-                texts = rows.column(1).to_pylist()
+                texts = rows.column(0).field(text_col).to_pylist()
                 found = codec.encode([t or "" for t in texts])
                 ends = np.cumsum([0, *(len(b) // 4 for b, _ in found)])
                 mask = pa.array([t is None for t in texts], pa.bool_())
@@ -239,7 +249,7 @@ def decode(df: DataFrame, ids_col: str, model_path: str, threads: int = 2, carry
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 rows = batch.slice(at, 2048)
-                texts = [None if i is None else codec.decode(i) for i in rows.column(1).to_pylist()]
+                texts = [None if i is None else codec.decode(i) for i in rows.column(0).field(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["row", "decoded"])
 
     return _over(df, ids_col, "array<int>", work, carry, decoded="string")
