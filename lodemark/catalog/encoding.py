@@ -264,7 +264,7 @@ def stable_buckets(spark, d):
             .agg(F.count("*").alias("N")))
 
 
-@query("row_digest", "SELECT o_orderkey AS ROW_ID, md5('7|' || o_orderkey || '|' || o_custkey) AS DIGEST FROM orders")
+@query("row_digest", "SELECT o_orderkey AS ROW_ID, md5('1:7' || length(CAST(o_orderkey AS VARCHAR)) || ':' || o_orderkey || length(CAST(o_custkey AS VARCHAR)) || ':' || o_custkey) AS DIGEST FROM orders")
 def row_digest(spark, d):
     return X.read(spark, d, "orders").select(
         F.col("o_orderkey").alias("ROW_ID"), digest(F.col("o_orderkey"), F.col("o_custkey"), seed=7).alias("DIGEST"))

@@ -9,6 +9,7 @@ from lodemark.functions.columns import cohort_of
 from lodemark.operators import labels as L
 from lodemark.operators import metrics as M
 from lodemark.operators.joins import latest_per_key
+from lodemark.operators.monitoring import latest_batch
 from lodemark.operators.ranking import newest_fraction
 from lodemark.operators.splits import without
 from lodemark.sources import fixtures as X
@@ -163,7 +164,7 @@ def challenger_train_rows(spark, d):
 SELECT HOLDOUT_ROWS, HOLDOUT_POSITIVES, HOLDOUT_CLASSES, TRAIN_ROWS,
        CASE WHEN HOLDOUT_ROWS < 100 THEN 'too few labeled rows to compare on'
             WHEN HOLDOUT_POSITIVES < 100000 THEN 'too few positives to compare on'
-            WHEN TRAIN_ROWS = 0 THEN 'no rows left to train the challenger on' END AS SKIP_REASON
+            WHEN TRAIN_ROWS = 0 THEN 'nothing is left to fit a challenger' END AS SKIP_REASON
 FROM (SELECT count(*) AS HOLDOUT_ROWS, count(*) FILTER (WHERE Y_BIN = 1) AS HOLDOUT_POSITIVES,
              count(DISTINCT Y_BIN) AS HOLDOUT_CLASSES, (SELECT count(*) FROM history) AS TRAIN_ROWS FROM holdout)"""))
 def retrain_gates(spark, d):
@@ -172,10 +173,10 @@ def retrain_gates(spark, d):
 
 @query("latest_batch_business_rows", with_sql(*ALL, select="""
 SELECT m.ENTITY_ID AS CUSTOMER, f.NATION AS COUNTRY, m.PREDICTED_PROBABILITY, m.RISK_BAND
-FROM monitor m JOIN feed f ON f.ROW_ID = m.ROW_ID WHERE m.SCORED_AT = TIMESTAMP '2000-07-01'
+FROM monitor m JOIN feed f ON f.ROW_ID = m.ROW_ID WHERE m.SCORED_AT = (SELECT max(SCORED_AT) FROM monitor)
 QUALIFY row_number() OVER (PARTITION BY m.ENTITY_ID ORDER BY m.SCORED_AT DESC, m.ROW_ID DESC) = 1"""))
 def latest_batch_business_rows(spark, d):
-    batch = X.monitor(spark, d).where("SCORED_AT = TIMESTAMP_NTZ '2000-07-01 00:00:00'")
+    batch = latest_batch(X.monitor(spark, d))
     rows = batch.join(X.feed(spark, d).select("ROW_ID", "NATION"), "ROW_ID")
     return latest_per_key(rows, ["ENTITY_ID"], "SCORED_AT", ["ROW_ID"]).select(
         F.col("ENTITY_ID").alias("CUSTOMER"), F.col("NATION").alias("COUNTRY"), "PREDICTED_PROBABILITY", "RISK_BAND")

@@ -204,7 +204,7 @@ def retraining_job(spark, d):
     rules = RetrainSpec(min_holdout_rows=1, min_holdout_positives=1, min_primary_lift_pct=-1e9, max_guardrail_drop_pct=1e9)
     store, feed = scored_store(spark, d, retrain=rules)
     done = retrain(store, X.history(spark, d), feed, "2001-06-15 10:30:00", "V2", outcomes=staged(X.outcomes(spark, d)))
-    extra = store.past_run("V2")["extra"]
+    extra = store.past_run("V2").extra
     labeled = store.monitor().where("RUN_ID <> 'seed' AND ACTUAL_LABEL IS NOT NULL")
     return labeled.agg(F.count("*").alias("N_LABELED"), F.lit(extra["comparison_rows"]).cast("bigint").alias("N_HOLDOUT"),
                        F.lit(extra["train_rows"]).cast("bigint").alias("N_TRAIN"), F.lit(done.status).alias("STATUS"))

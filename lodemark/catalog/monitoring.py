@@ -106,7 +106,8 @@ def drift_windows(spark, d):
 
 
 @query("drift_stream", with_sql(*ALL, BINS_SQL, select="""
-SELECT WINDOW_START, MODEL_VERSION, count(*) AS N, round(avg(S), 6) AS MEAN_SCORE, count(ACTUAL_LABEL) AS N_LABELED, round(any_value(PSI), 6) AS PSI
+SELECT WINDOW_START, MODEL_VERSION, count(*) AS N, round(avg(S), 6) AS MEAN_SCORE, round(stddev_samp(S), 6) AS STD_SCORE, count(ACTUAL_LABEL) AS N_LABELED,
+       round(avg(CASE WHEN ACTUAL_LABEL IS NOT NULL THEN CAST(PREDICTION = ACTUAL_LABEL AS DOUBLE) END), 6) AS ACCURACY, round(any_value(PSI), 6) AS PSI
 FROM windowed JOIN psi USING (WINDOW_START, MODEL_VERSION)
 WHERE WINDOW_START < (SELECT max(WINDOW_START) - INTERVAL 1 DAY FROM windowed) GROUP BY 1, 2"""))
 def drifted_stream(spark, d):
@@ -118,7 +119,7 @@ def drifted_stream(spark, d):
     stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/monitor")
     drift_stream(stream, reference, "binary", f"{folder}/report", f"{folder}/checkpoint").awaitTermination()
     report = spark.read.parquet(f"{folder}/report").withColumn("WINDOW_START", F.col("WINDOW_START").cast("timestamp_ntz"))
-    return _six_places(report).drop("STD_SCORE", "ACCURACY")
+    return _six_places(report)
 
 
 def _six_places(report):
@@ -213,10 +214,10 @@ def top_causes(spark, d):
 
 
 @query("causes_left_join", with_sql(BASE_SQL, SCORED_SQL, CONTRIBUTIONS_SQL, LONG_SQL, select="""
-SELECT s.ROW_ID, RISK_BAND, PROBABLE_CAUSES FROM scored s LEFT JOIN causes c ON c.ROW_ID = s.ROW_ID WHERE s.RECORD_TS >= TIMESTAMP '2001-01-01'"""))
+SELECT s.ROW_ID, RISK_BAND, PROBABLE_CAUSES FROM scored s LEFT JOIN causes c ON c.ROW_ID = s.ROW_ID"""))
 def causes_left_join(spark, d):
     rows = E.contribution_rows(explained(spark, d), ["ROW_ID"], X.CONTRACT.encoded, contract_rows(spark), "_explanation")
-    scored = X.scored(spark, d).where("RECORD_TS >= TIMESTAMP_NTZ '2001-01-01 00:00:00'").select("ROW_ID", "RISK_BAND")
+    scored = X.scored(spark, d).select("ROW_ID", "RISK_BAND")
     return scored.join(E.causes_by_key(rows, ["ROW_ID"], 2), "ROW_ID", "left")
 
 

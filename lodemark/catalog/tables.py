@@ -139,11 +139,13 @@ def label_backfill_repeat(spark, d):
 @query("business_upsert", with_sql(BASE_SQL, FEED_SQL, SCORED_SQL, select="""
 SELECT coalesce(c_custkey, ENTITY_ID) AS CUSTOMER, c_name AS NAME, coalesce(P, c_acctbal) AS SCORE,
        CASE WHEN ENTITY_ID IS NOT NULL THEN TIMESTAMP '2001-06-15 10:30:00' END AS SYS_UPD_DT
-FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') FULL JOIN (
+FROM (SELECT * FROM customer WHERE c_custkey IN (SELECT ENTITY_ID FROM history)) FULL JOIN (
   SELECT ENTITY_ID, max(PREDICTED_PROBABILITY) AS P FROM scored WHERE RECORD_TS >= TIMESTAMP '2000-01-01' GROUP BY 1) ON c_custkey = ENTITY_ID"""))
 def business_upsert(spark, d):
-    """Customers outside one segment are known: they keep their name; the others are added without one."""
-    target = X.read(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(
+    """Customers of the history are known and keep their name; those that first come with the feed are added without one."""
+    customers = X.read(spark, d, "customer")
+    seen = X.history(spark, d).select(F.col("ENTITY_ID").alias("c_custkey"))
+    target = customers.join(seen, "c_custkey", "left_semi").select(
         F.col("c_custkey").alias("CUSTOMER"), F.col("c_name").alias("NAME"), F.col("c_acctbal").alias("SCORE"),
         F.lit(None).cast("timestamp_ntz").alias("SYS_UPD_DT"))
     source = X.scored(spark, d).where("RECORD_TS >= TIMESTAMP_NTZ '2000-01-01 00:00:00'").groupBy(

@@ -38,8 +38,21 @@ def numeric_column(df: DataFrame, name: str) -> Column:
     return to_number(col(name), isinstance(df.schema[name].dataType, T.StringType))
 
 
+def without_nan(number: Column) -> Column:
+    """NaN counts as NULL wherever values are ranked."""
+    return F.when(~F.isnan(number), number)
+
+
+def as_ordinals(df: DataFrame, name: str) -> list[Column]:
+    """Doubles that together sort like the column. A BIGINT needs two, as one double holds only 53 bits of it."""
+    if isinstance(df.schema[name].dataType, T.LongType):
+        c = col(name)
+        return [F.shiftright(c, 31).cast("double"), c.bitwiseAND(F.lit(2**31 - 1)).cast("double")]
+    return [as_ordinal(df, name)]
+
+
 def as_ordinal(df: DataFrame, name: str) -> Column:
-    """A double that sorts like the column: numbers as they are, dates as days, timestamps as microseconds.
+    """A double that sorts like the column: numbers as they are, dates as days, timestamps as microseconds; NaN is NULL.
 
     TIMESTAMP_NTZ is read field by field: going through TIMESTAMP would let the session time zone reorder
     values around a clock change.
@@ -54,19 +67,24 @@ def as_ordinal(df: DataFrame, name: str) -> Column:
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return without_nan(c.cast("double"))
     if isinstance(dtype, T.NumericType):
         return c.cast("double")
     raise TypeError(f"{name}: {dtype.simpleString()} has no numeric order; order by a number, date or timestamp")
 
 
 def digest(*values, seed=None) -> Column:
+    """MD5 of the values and the seed, each written after its length in characters and NULL as a mark of its own, so that
+    two different lists of values never give the same text."""
     parts = [F.lit(str(seed))] if seed is not None else []
-    return F.md5(F.concat_ws("|", *parts, *[v.cast("string") for v in values]).cast("binary"))
+    texts = [*parts, *[v.cast("string") for v in values]]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]).cast("binary"))
 
 
 def shuffled_order(values: Sequence[Column], seed) -> tuple[Column, Column]:
     """A seeded, repeatable random order: two 52-bit halves of a digest, each exact as a double."""
-    text = digest(*values, seed=seed)
+    text = F.md5(F.concat_ws("|", F.lit(str(seed)), *[v.cast("string") for v in values]).cast("binary"))
     half = lambda start: F.conv(F.substring(text, start, 13), 16, 10).cast("double")
     return half(1), half(14)
 

@@ -50,7 +50,7 @@ class Contract:
 
     @staticmethod
     def from_frame(frame: DataFrame) -> Contract:
-        rows = frame.orderBy("ORDER_IDX").limit(MAX_ENCODED).collect()
+        rows = frame.orderBy("ORDER_IDX").collect()  # fit_contract bounds it
         return Contract(tuple(Feature(r["ENCODED_NAME"], r["SOURCE_NAME"], r["FEATURE_ROLE"]) for r in rows))
 
 
@@ -78,6 +78,8 @@ def fit_contract(df: DataFrame, data: DataSpec) -> Contract:
         for c in data.categorical:
             values = sorted(r["VALUE"] for r in seen if r["SOURCE_NAME"] == c)
             features += [Feature(f"{c}_{v}", c, CAT_OHE) for v in values]
+    if len(features) > MAX_ENCODED:
+        raise ValueError(f"more than {MAX_ENCODED} encoded columns; group rare values before encoding")
     return Contract(tuple(features))
 
 

@@ -7,14 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodemark.functions.columns import as_ordinal, col
 
 HOT_ROWS = 1_000_000    # rows from which a single key is worth splitting
-HOT_KEYS = 1000         # keys split at most; any other then holds less than 1/HOT_KEYS of the rows
 ROWS_PER_SALT = 500_000
-MAX_SALTS = 10_000
+SKETCH_KEYS, SKETCH_SIZE = 10_000, 100_000   # of the key sketch: every key with more than 1/SKETCH_KEYS of the rows is in it
+NULL_SALTS = 10_000     # rows with a NULL key match nothing and are spread this far
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -28,15 +27,20 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequen
     return df.withColumn("_RN", newest).where("_RN = 1").drop("_RN")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """(key values, salts) of the largest keys with more than `hot_rows` rows; NULL counts as a key here.
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[col(k) for k in keys])
 
-    One map-side combined count; at most HOT_KEYS rows reach the driver.
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Salts of the keys with more than `hot_rows` rows, by the key's hash.
+
+    A sketch of bounded size per task counts the keys while the key columns are read; no row is shuffled. It may miss only
+    keys with less than one SKETCH_KEYS-th of all rows, so the largest unsplit key shrinks with the cluster's share of work.
     """
-    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count("*").alias("_N"))
-    found = counts.where(F.col("_N") > hot_rows).orderBy(F.desc("_N")).limit(HOT_KEYS).collect()
+    hashed = df.select(key_hash(keys).alias("_H"))
+    found = hashed.agg(F.expr(f"approx_top_k(_H, {SKETCH_KEYS}, {SKETCH_SIZE})").alias("top")).first()["top"] or []
     per_salt = min(hot_rows, ROWS_PER_SALT)
-    return [(tuple(r[k] for k in keys), min(max(math.ceil(r["_N"] / per_salt), 2), MAX_SALTS)) for r in found]
+    return {r["item"]: max(math.ceil(r["count"] / per_salt), 2) for r in found if r["count"] > hot_rows}
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -51,16 +55,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     hot = hot_keys(left, keys, hot_rows)
     if not hot:
         return left.join(right, keys, how)
-    schema = T.StructType([T.StructField(k, left.schema[k].dataType) for k in keys]).add("_SALTS", T.IntegerType())
-    salts = F.broadcast(left.sparkSession.createDataFrame(
-        [(*values, n) for values, n in hot if None not in values], schema))
+    right = right.select(*[col(k).cast(left.schema[k].dataType).alias(k) if k in keys else col(k) for k in right.columns])
+    salts = F.broadcast(left.sparkSession.createDataFrame(list(hot.items()), "_H bigint, _SALTS int"))   # at most SKETCH_KEYS rows
     spread = F.pmod(F.xxhash64(*[col(c) for c in left.columns], F.spark_partition_id()), F.lit(1 << 31))
-    ways = F.when(_any_null(keys), F.lit(MAX_SALTS)).otherwise(F.coalesce(F.col("_SALTS"), F.lit(1)))
-    salted_left = (left.join(salts, keys, "left")
-                   .withColumn("_SALT", F.pmod(spread, ways).cast("int")).drop("_SALTS"))
-    salted_right = (right.join(salts, keys, "left")
+    ways = F.when(_any_null(keys), F.lit(NULL_SALTS)).otherwise(F.coalesce(F.col("_SALTS"), F.lit(1)))
+    salted_left = (left.withColumn("_H", key_hash(keys)).join(salts, "_H", "left")
+                   .withColumn("_SALT", F.pmod(spread, ways).cast("int")).drop("_SALTS", "_H"))
+    salted_right = (right.withColumn("_H", key_hash(keys)).join(salts, "_H", "left")
                     .withColumn("_SALT", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_SALTS"), F.lit(1)) - 1)))
-                    .drop("_SALTS"))
+                    .drop("_SALTS", "_H"))
     return salted_left.join(salted_right, [*keys, "_SALT"], how).drop("_SALT")
 
 

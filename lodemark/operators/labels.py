@@ -27,8 +27,7 @@ def refuse_ambiguous(outcomes: DataFrame, key: str, label: str, ts: str | None):
     if ts is None:
         extra = duplicate_keys(outcomes, key, label).first()[0]
         if extra:
-            raise ValueError(f"the outcome source has {extra} duplicate {key} value(s); make it unique or name a "
-                             f"timestamp column so the latest row wins")
+            raise ValueError(f"{extra} outcome row(s) repeat a {key}: keep one row per {key}, or set outcome_ts to take the newest")
 
 
 def known_outcomes(outcomes: DataFrame, key: str, label: str, task: str, ts: str | None = None) -> DataFrame:

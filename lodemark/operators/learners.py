@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel,
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,6 +25,7 @@ from lodemark.operators.explain import (causes_of_array, centred_contributions,
 from lodemark.operators.metrics import confusion_metrics, macro_metrics, ranking_metrics, regression_metrics
 from lodemark.operators.targets import balanced_weights
 from lodemark.settings import BINARY, BOOSTED, MULTICLASS, REGRESSION, UseCase
+from lodemark.sources.scans import staged
 
 FEATURES, LABEL, WEIGHT, VALIDATES = "_FEATURES", "_LABEL", "_WEIGHT", "_VALIDATES"
 
@@ -62,11 +63,10 @@ SEARCH_SPACE = {
     },
 }
 
-# Parameters that are not searched. Boosting rounds are far fewer than a single-machine learner would
-# take, because every Spark round is a pass over the data.
+# Parameters that are not searched. The boosting rounds are a maximum: a search stops by patience.
 FIXED_PARAMS = {
-    "xgboost": {"n_estimators": 100},
-    "lightgbm": {"n_estimators": 100},
+    "xgboost": {"n_estimators": 2000},
+    "lightgbm": {"n_estimators": 2000},
     "random_forest": {},
     "logistic_regression": {"max_iter": 2000, "class_weight": "balanced"},
 }
@@ -128,22 +128,48 @@ def assembler(contract: Contract) -> VectorAssembler:
 
 
 def fit(df: DataFrame, target: str, contract: Contract, algorithm: str, params: dict, seed: int, task: str,
-        rows: int, validates: Column | None = None) -> PipelineModel:
-    """Fits on encoded rows. With `validates` (rows kept for validation) a booster stops when they stop improving."""
+        rows: int, validates: Column | None = None, patience: int = 50) -> PipelineModel:
+    """Fits on encoded rows. With `validates` (rows kept for validation) a booster stops by patience on them."""
     data, has_weight = weighted(df, target, params, task)
     estimator = build_estimator(algorithm, params, seed, task, rows)
-    if validates is not None:
-        if algorithm in BOOSTED and task != MULTICLASS:
-            data = data.withColumn(VALIDATES, validates)
-            estimator = estimator.setValidationIndicatorCol(VALIDATES)
-        else:
-            data = data.where(~validates)
     if has_weight:
         estimator = estimator.setWeightCol(WEIGHT)
     stage = assembler(contract)
+    data = data.withColumn(VALIDATES, F.lit(False) if validates is None else validates)
     data = stage.transform(data.withColumn(LABEL, col(target).cast("double")))
-    keep = [c for c in (FEATURES, LABEL, WEIGHT, VALIDATES) if c in data.columns]
-    return PipelineModel([stage, estimator.fit(data.select(*keep))])
+    data = data.select(*[c for c in (FEATURES, LABEL, WEIGHT, VALIDATES) if c in data.columns])
+    fits = data.where(~F.col(VALIDATES)).drop(VALIDATES)
+    if validates is not None and algorithm in BOOSTED and task != MULTICLASS:
+        return PipelineModel([stage, fit_with_patience(estimator, fits, data.where(VALIDATES), patience)])
+    return PipelineModel([stage, estimator.fit(fits)])
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(rounds with the least loss before `patience` rounds bring no better one, whether that happened)."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        if k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(estimator, fits: DataFrame, held: DataFrame, patience: int):
+    """The booster with the rounds after which the held rows stop improving, up to the estimator's own maximum.
+
+    Spark cannot go on with a fitted booster, so the rounds are doubled until the stop lies within them, and the model is
+    fitted anew with the rounds found: about four times the work of the last fit, whatever the maximum.
+    """
+    most = estimator.getMaxIter()
+    rounds = min(2 * patience, most)
+    while True:
+        model = estimator.copy({estimator.maxIter: rounds}).fit(fits)
+        best, stopped = best_round(model.evaluateEachIteration(held) if isinstance(model, GBTClassificationModel)
+                                   else model.evaluateEachIteration(held, "squared"), patience)
+        if stopped or rounds == most:
+            return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(fits)
+        rounds = min(2 * rounds, most)
 
 
 def rounds_used(model: PipelineModel) -> int | None:
@@ -259,9 +285,10 @@ def search(train: DataFrame, validates: Column, target: str, contract: Contract,
 
     @inheritable_thread_target(train.sparkSession)
     def run(p: dict) -> tuple[float, int | None]:
-        model = fit(train, target, contract, spec.algorithm, {**fixed, **p}, use_case.split.seed, task, stats["n"], validates)
+        model = fit(train, target, contract, spec.algorithm, {**fixed, **p}, use_case.split.seed, task, stats["n"], validates,
+                    spec.early_stopping_rounds)
         rounds = rounds_used(model) if spec.algorithm in BOOSTED and task != MULTICLASS else None
-        return validation_score(score(model, held, task), target, task, use_case.metric), rounds
+        return validation_score(staged(score(model, held, task)), target, task, use_case.metric), rounds
 
     with ThreadPool(max(spec.parallelism, 1)) as pool:
         results = pool.map(run, draws)

@@ -173,8 +173,8 @@ def retrain_gates(holdout: DataFrame, train: DataFrame, target: str, task: str,
     if task == BINARY:
         reason = reason.when(F.col("HOLDOUT_POSITIVES") < min_positives, "too few positives to compare on")
     if task == MULTICLASS:
-        reason = reason.when(F.col("HOLDOUT_CLASSES") < 2, "the comparison set contains a single class")
-    reason = reason.when(F.col("TRAIN_ROWS") == 0, "no rows left to train the challenger on")
+        reason = reason.when(F.col("HOLDOUT_CLASSES") < 2, "all comparison rows are of one class")
+    reason = reason.when(F.col("TRAIN_ROWS") == 0, "nothing is left to fit a challenger")
     return counts.withColumn("SKIP_REASON", reason)
 
 

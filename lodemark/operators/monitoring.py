@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodemark.functions.columns import col
 from lodemark.operators.ranking import order_statistics
 from lodemark.settings import MULTICLASS, REGRESSION, score_column
+from lodemark.sources.scans import staged
 
 SHARE_FLOOR = 1e-6  # keeps the logarithm finite when a bin is empty on one side
 
@@ -68,7 +69,8 @@ class Reference:
 
 
 def baseline_bins(baseline: DataFrame, score: str, bins: int = 10) -> Reference:
-    """Exact quantiles of the baseline as edges; equal ones collapse."""
+    """Exact quantiles of the baseline as edges; equal ones collapse. The scores are written once, as several passes read them."""
+    baseline = staged(baseline.select(score))
     found = order_statistics(baseline, [(score, lambda n, i=i: max(-(-i * n // bins), 1)) for i in range(1, bins)])
     edges = tuple(sorted({f.value for f in found if f is not None}))
     counts = baseline.agg(F.count(col(score)).alias("n"), *_bin_counts(score, edges)).first()

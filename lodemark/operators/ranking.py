@@ -20,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodemark.functions.columns import as_ordinal, col, shuffled_order
+from lodemark.functions.columns import as_ordinal, as_ordinals, col, shuffled_order, without_nan
 from lodemark.operators.joins import salted_join
 
 GRID = 1000             # histogram bins per narrowing round
@@ -66,13 +66,13 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, RankRule]], of_a
                      exact_rows: int = EXACT_ROWS, grid: int = GRID) -> list[OrderStatistic | None]:
     """For each (column, rank rule): the value at 1-based ascending rank `rule(n)` among the n non-null rows.
 
-    NULL is ignored, and an empty column gives None. Pass a negated column for a rank from the top. With `of_all` the
+    NULL and NaN are ignored, and an empty column gives None. Pass a negated column for a rank from the top. With `of_all` the
     rule is given the number of all rows. Two jobs up to `exact_rows` rows; one or two more per further factor of `grid`.
     """
     if not wanted:
         return []
     columns = list(dict.fromkeys(c for c, _ in wanted))
-    data = df.select(*[col(c).cast("double").alias(c) for c in columns])
+    data = df.select(*[without_nan(col(c).cast("double")).alias(c) for c in columns])
     head = data.agg(F.count("*").alias("_TOTAL"), *[
         F.struct(F.count(col(c)).alias("n"), F.min(col(c)).alias("low"), F.max(col(c)).alias("high"),
                  _marks(col(c), grid).alias("marks")).alias(c) for c in columns
@@ -237,11 +237,11 @@ def leading_rows(df: DataFrame, order: Order, size: RankRule) -> DataFrame:
 
 def leading_filter(df: DataFrame, order: Order, size: RankRule) -> Column:
     """`leading_rows` as a condition on the rows of `df`. The order may name columns or give double expressions."""
-    signed = [(by if isinstance(by, Column) else as_ordinal(df, by)) * (-1.0 if way == "desc" else 1.0)
-              for by, way in order]
+    signed = [part * (-1.0 if way == "desc" else 1.0)
+              for by, way in order for part in ([by] if isinstance(by, Column) else as_ordinals(df, by))]
     ordinals = df.select(*[s.alias(f"o{i}") for i, s in enumerate(signed)])
     bounds, left = [], None
-    for i in range(len(order)):
+    for i in range(len(signed)):
         scope = ordinals
         for j, b in enumerate(bounds):
             scope = scope.where(F.col(f"o{j}") == F.lit(b))

@@ -12,9 +12,12 @@ from lodemark.settings import BINARY, REGRESSION
 MAX_CLASSES = 1000
 
 
-def prepare_target(df: DataFrame, target: str, task: str, drop_null: bool = False) -> tuple[DataFrame, list[str] | None]:
+def prepare_target(df: DataFrame, target: str, task: str, drop_null: bool = False,
+                   known: list[str] | None = None) -> tuple[DataFrame, list[str] | None]:
     """(rows with a numeric target, label list or None).
 
+    `known` are the labels of an earlier version: they keep their codes, and labels that are new follow them.
+
     Regression: double, and anything unreadable is an error. Classes: a target that is numeric (or all readable as
     numbers) is used as it is; otherwise codes follow the sorted labels. A NULL class becomes 0 unless dropped.
     """
@@ -25,6 +28,9 @@ def prepare_target(df: DataFrame, target: str, task: str, drop_null: bool = Fals
         if df.agg(F.count_if(number.isNull())).first()[0]:
             raise ValueError(f'non-numeric or missing values in regression target "{target}"')
         return df.withColumn(target, number), None
+    if known:
+        labels = [*known, *[x for x in class_labels(df, target) if x not in set(known)]]
+        return df.withColumn(target, class_code(col(target), labels)), labels
     if not isinstance(df.schema[target].dataType, T.NumericType):
         seen = df.agg(F.count(number).alias("numbers"), F.count(col(target)).alias("values")).first()
         if seen["numbers"] != seen["values"]:
@@ -46,6 +52,11 @@ def class_code(value: Column, labels: list[str]) -> Column:
     return F.coalesce((position - 1).cast("int"), F.lit(0))
 
 
+def label_text(code: Column, labels: list[str] | None) -> Column:
+    """The label a class code stands for; without a label list the code is the label."""
+    return F.get(F.array(*[F.lit(x) for x in labels]), code.cast("int")) if labels else code.cast("int").cast("string")
+
+
 def target_profile(df: DataFrame, target: str, task: str) -> DataFrame:
     """Regression: rows, mean, std. Binary: rows, base rate and the 1:N imbalance."""
     if task == REGRESSION:
@@ -77,7 +88,9 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
 
 
 def balanced_weights(df: DataFrame, target: str) -> dict[float, float]:
-    """Weight per class so that every class counts the same: rows / (classes * rows of the class)."""
-    counts = class_distribution(df, target).limit(MAX_CLASSES).collect()
+    """Weight per class so that every class counts the same: rows / (classes * rows of the class). Too many are refused."""
+    counts = class_distribution(df, target).limit(MAX_CLASSES + 1).collect()
+    if len(counts) > MAX_CLASSES:
+        raise ValueError(f'"{target}" has more than {MAX_CLASSES} classes')
     total = sum(r["N"] for r in counts)
     return {float(r["CLASS"]): total / (len(counts) * r["N"]) for r in counts}

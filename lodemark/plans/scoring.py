@@ -13,7 +13,6 @@ from lodemark.functions.columns import col
 from lodemark.operators import learners
 from lodemark.operators.encode import Contract, scoring_input
 from lodemark.operators.joins import latest_per_key
-from lodemark.operators.monitoring import feature_parity
 from lodemark.plans.shared import as_time, feed_row_id, monitor_columns, predicted, time_column
 from lodemark.settings import BINARY, REGRESSION, score_column
 from lodemark.sources.scans import incremental_rows, shared_folder
@@ -34,26 +33,25 @@ class Deployment:
     medium: float | None
     fills: dict
     means: dict
+    labels: list[str] | None = None
 
 
 def deploy(store: Store, version: str | None = None) -> Deployment:
-    """Loads a version (the newest run by default) and checks it fits the use case and the monitor table."""
+    """Loads a version (the newest run by default) and checks it fits the use case.
+
+    Its features may differ from those of earlier runs: every run keeps its schema and the monitor is read by all of them.
+    """
     run = store.past_run(version)
     if run is None:
         raise ValueError(f"no run found for version {version}; train it first")
-    if run["config"]["task"] != store.use_case.task:
-        raise ValueError(f"use case is {store.use_case.task}, but {run['model_version']} was trained as {run['config']['task']}")
-    version, extra = run["model_version"], run["extra"]
+    if run.task != store.use_case.task:
+        raise ValueError(f"use case is {store.use_case.task}, but {run.version} was trained as {run.task}")
+    version, extra = run.version, run.extra
     contract = store.contract(version)
-    if store.has_scores():
-        data = store.use_case.data
-        parity = feature_parity(store.scores_schema().names, data.carried, contract.encoded)
-        if parity["extra"] or parity["missing"]:
-            raise ValueError(f"monitor columns do not match the contract of {version}: {parity}")
     high = extra.get("risk_cut_high")
-    threshold = run["metrics"].get("threshold", high) if store.use_case.task == BINARY else None
+    threshold = run.metrics.get("threshold", high) if store.use_case.task == BINARY else None
     return Deployment(version, store.load_model(version), contract, threshold, high, extra.get("risk_cut_medium"),
-                      extra.get("impute_values", {}), extra.get("feature_means", {}))
+                      extra.get("impute_values", {}), extra.get("feature_means", {}), extra.get("class_labels"))
 
 
 def score_batch(store: Store, feed: DataFrame, now: datetime | str, version: str | None = None) -> str:
@@ -92,7 +90,7 @@ def write_run(store: Store, target: Deployment, batch: DataFrame, run_id: str, n
     use_case = store.use_case
     scored = predicted(learners.score(target.model, batch, use_case.task), use_case.task, target.threshold)
     rows = monitor_columns(scored, target.model, target.contract, target.means, use_case, target.high, target.medium,
-                           target.version, time_column(now), ["FEED_ROW_ID", *use_case.data.carried])
+                           target.version, time_column(now), ["FEED_ROW_ID", *use_case.data.carried], target.labels)
     n, newest = store.write_scores(rows, run_id, use_case.data.watermark)
     if use_case.scoring.business_columns:
         store.add_business(business_rows(store.run_scores(run_id), use_case, now), run_id)

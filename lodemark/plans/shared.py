@@ -14,6 +14,7 @@ from lodemark.operators import learners
 from lodemark.operators.encode import Contract
 from lodemark.operators.metrics import metric_values, score_metrics
 from lodemark.operators.ranking import cutoffs
+from lodemark.operators.targets import label_text
 from lodemark.settings import BINARY, MULTICLASS, REGRESSION, UseCase, score_column
 
 
@@ -49,11 +50,15 @@ def evaluate(scored: DataFrame, target: str, use_case: UseCase, keys: Sequence[s
 
 
 def monitor_columns(scored: DataFrame, model: PipelineModel, contract: Contract, means: dict[str, float], use_case: UseCase,
-                    high: float | None, medium: float | None, version: str, scored_at: Column, carried: Sequence[str]) -> DataFrame:
-    """Scored rows in the monitor's column contract: keys, features, score, prediction, band, causes, dates, version."""
+                    high: float | None, medium: float | None, version: str, scored_at: Column, carried: Sequence[str],
+                    labels: list[str] | None = None) -> DataFrame:
+    """Scored rows in the monitor's column contract: keys, features, score, prediction, band, causes, dates, version.
+
+    A class is stored as its label, never as its code: codes belong to a version, labels to the outcome.
+    """
     task = use_case.task
     if task == MULTICLASS:
-        prediction = F.col("YHAT").cast("string")
+        prediction = label_text(F.col("YHAT"), labels)
     else:
         prediction = F.col("YHAT").cast("double" if task == REGRESSION else "int")
     band = F.lit(None).cast("string") if task == REGRESSION else risk_band(F.col("SCORE"), high, medium)

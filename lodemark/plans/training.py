@@ -14,9 +14,9 @@ from lodemark.operators import learners
 from lodemark.operators.explain import feature_importance
 from lodemark.operators.monitoring import training_summary
 from lodemark.operators.splits import search_fit_rows, split_data
-from lodemark.operators.targets import naive_baseline, prepare_target
+from lodemark.operators.targets import label_text, naive_baseline, prepare_target
 from lodemark.plans.shared import as_time, bands, cohort_times, evaluate, feed_row_id, monitor_columns, predicted, time_column
-from lodemark.settings import BINARY, LABEL_TYPE
+from lodemark.settings import BINARY, LABEL_TYPE, MULTICLASS
 from lodemark.sources.scans import shared_folder, staged
 from lodemark.sources.store import Store
 
@@ -47,7 +47,7 @@ def train(store: Store, source: DataFrame, version: str, now: datetime | str) ->
     carried = list(dict.fromkeys([*data.keys, data.timestamp, data.target]))
     encoded = staged(E.encode(split.train, contract, carried))
     fills = E.fit_imputation(encoded, contract.encoded, data.median_impute)
-    train_rows = E.impute(encoded, fills).persist()
+    train_rows = staged(E.impute(encoded, fills))
     test_rows = staged(E.encode(split.test, contract, carried, fills))
     refuse_gaps(train_rows, contract)
 
@@ -65,10 +65,9 @@ def train(store: Store, source: DataFrame, version: str, now: datetime | str) ->
 
     means = learners.training_means(train_rows, contract)
     phi, sources = learners.contributions(model, contract, means, task)
-    explained = learners.score(model, train_rows, task).select(phi.alias("PHI")).persist()
+    explained = staged(learners.score(model, train_rows, task).select(phi.alias("PHI")))
     by_source = {s: F.get("PHI", F.lit(i)) for i, s in enumerate(sources)}
     importance = staged(feature_importance(explained, by_source, use_case.scoring.top_features))
-    explained.unpersist()
 
     store.save_model(model, version)
     store.save_contract(contract, version, time_column(now))
@@ -77,22 +76,22 @@ def train(store: Store, source: DataFrame, version: str, now: datetime | str) ->
         "risk_cut_high": cut["high"], "risk_cut_medium": cut["medium"], "capacity_threshold": cut["capacity"],
         "class_labels": labels, "split_strategy": split.strategy, "split_point": split.point}, as_time(now))
 
-    baseline = baseline_rows(final, model, contract, means, use_case, cut, version, data.timestamp, now, "baseline")
+    baseline = baseline_rows(final, model, contract, means, use_case, cut, version, data.timestamp, now, "baseline", labels)
     store.save_baseline(baseline, version)
     store.seed_monitor(baseline, as_time(now), time_column(now))
-    train_rows.unpersist()
     return Training(version, split.strategy, split.point, metrics, found.params, found.trials, importance,
                     training_summary(store.baseline(version), task), naive)
 
 
-def baseline_rows(scored, model, contract, means, use_case, cut, version, ts, now, tag) -> DataFrame:
+def baseline_rows(scored, model, contract, means, use_case, cut, version, ts, now, tag, labels=None) -> DataFrame:
     """Scored test rows with their labels, written once: the baseline drift is measured against."""
     keys = use_case.data.keys
     at = cohort_times(scored, ts, now)
-    target = col(use_case.data.target).cast(LABEL_TYPE[use_case.task]).alias("ACTUAL_LABEL")
+    target = col(use_case.data.target)
+    target = label_text(target, labels) if use_case.task == MULTICLASS else target.cast(LABEL_TYPE[use_case.task])
     identified = scored.withColumns({"_AT": at, "_LABEL_OUT": target, "FEED_ROW_ID": feed_row_id([*keys, ts], tag)})
     rows = monitor_columns(identified, model, contract, means, use_case, cut["high"], cut["medium"], version, F.col("_AT"),
-                           [*keys, "FEED_ROW_ID", "_LABEL_OUT"])
+                           [*keys, "FEED_ROW_ID", "_LABEL_OUT"], labels)
     return staged(rows.withColumnRenamed("_LABEL_OUT", "ACTUAL_LABEL"))
 
 

@@ -180,16 +180,15 @@ MONITOR_SQL = f"""
 
 
 def baseline(spark: SparkSession, sf_dir: str, version: str = "LR_R1") -> DataFrame:
-    """Scores of the last year before the feed starts."""
-    rows = history(spark, sf_dir).where("COHORT >= 199901")
-    return score_rows(rows, version).withColumns({
+    """Scores of all history before the feed starts."""
+    return score_rows(history(spark, sf_dir), version).withColumns({
         "PROBABLE_CAUSES": F.when(F.col("PRIORITY_1_URGENT") == 1, "PRIORITY"), "ACTUAL_LABEL": F.col("Y_BIN").cast("bigint")})
 
 
 BASELINE_SQL = f"""
 , baseline AS (
   SELECT *, CASE WHEN PRIORITY_1_URGENT = 1 THEN 'PRIORITY' END AS PROBABLE_CAUSES, CAST(Y_BIN AS BIGINT) AS ACTUAL_LABEL
-  FROM scored WHERE RECORD_TS < TIMESTAMP '{FEED_START}' AND COHORT >= 199901
+  FROM scored WHERE RECORD_TS < TIMESTAMP '{FEED_START}'
 )"""
 
 

@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,22 @@ COMMITS = ("USE_CASE_NAME string, RUN_ID string, LAST_RECORD_TS timestamp_ntz, U
 LOG = ("RUN_TS timestamp_ntz, USE_CASE_NAME string, PROCEDURE_NAME string, N_ROWS bigint, STATUS string, MESSAGE string")
 REMOVED = "FEED_ROW_ID string, MODEL_VERSION string, RUN_ID string, N_ROWS bigint, ROLLBACK string"
 PARTITIONS = ("USE_CASE_NAME", "MODEL_VERSION", "RUN_ID")
-MESSAGE_CHARS = 2000
+
+
+@dataclasses.dataclass(frozen=True)
+class PastRun:
+    """A logged run, with its JSON columns parsed."""
+
+    version: str
+    algorithm: str
+    task: str
+    metrics: dict
+    extra: dict
+
+    @classmethod
+    def of(cls, row: Row) -> PastRun:
+        parsed = {c: json.loads(row[f"{c}_JSON"] or "{}") for c in ("CONFIG", "METRICS", "EXTRA")}
+        return cls(row["MODEL_VERSION"], row["ALGORITHM"], parsed["CONFIG"]["task"], parsed["METRICS"], parsed["EXTRA"])
 
 
 class Store:
@@ -80,13 +95,9 @@ class Store:
             self.use_case.name, self.use_case.prefix, self.model_name, version, algorithm, config,
             json.dumps(metrics), json.dumps(extra, default=str), now))
 
-    def past_run(self, version: str | None = None) -> dict | None:
-        row = latest_run(self.runs(), self.use_case.name, version).first()
-        if row is None:
-            return None
-        return {"model_version": row["MODEL_VERSION"], "algorithm": row["ALGORITHM"], "created_at": row["CREATED_AT"],
-                "config": json.loads(row["CONFIG_JSON"]), "metrics": json.loads(row["METRICS_JSON"]),
-                "extra": json.loads(row["EXTRA_JSON"] or "{}")}
+    def past_run(self, version: str | None = None) -> PastRun | None:
+        found = latest_run(self.runs(), self.use_case.name, version).first()
+        return found and PastRun.of(found)
 
     @property
     def model_name(self) -> str:
@@ -147,12 +158,26 @@ class Store:
         return self._mine(self.read("scores", schema)).where(F.col("RUN_ID") == run_id)
 
     def scores_schema(self) -> T.StructType:
-        """Columns of the newest scoring run: a seed has fewer, and reading by one schema gives NULL for the rest."""
-        known = self.commits().where("SCHEMA_JSON IS NOT NULL")
-        row = known.orderBy(F.col("KIND") == "SEED", F.desc("UPDATED_AT"), F.desc("RUN_ID")).select("SCHEMA_JSON").first()
-        if row is None:
+        """Columns of all committed runs, the newest scoring run's first: a run that lacks one has NULL there.
+
+        One row per distinct schema reaches the driver; runs of one model version share theirs.
+        """
+        known = self.commits().where("SCHEMA_JSON IS NOT NULL").groupBy("SCHEMA_JSON").agg(
+            F.min(F.col("KIND") == "SEED").alias("SEED"), F.max(F.struct("UPDATED_AT", "RUN_ID")).alias("AT"))
+        rows = known.orderBy("SEED", F.desc("AT")).collect()
+        if not rows:
             raise ValueError(f"{self.use_case.name} has no committed scores yet")
-        return T.StructType.fromJson(json.loads(row[0]))
+        fields: dict[str, T.StructField] = {}
+        for row in rows:
+            for f in T.StructType.fromJson(json.loads(row["SCHEMA_JSON"])).fields:
+                fields.setdefault(f.name.upper(), f)
+        return T.StructType(list(fields.values()))
+
+    def newest_batch(self) -> DataFrame:
+        """Monitor rows of the newest committed scoring run; its id prunes the partitions of scores and labels."""
+        runs = self.commits().where("SCHEMA_JSON IS NOT NULL AND KIND <> 'SEED'")
+        newest = runs.orderBy(F.desc("UPDATED_AT"), F.desc("RUN_ID")).select("RUN_ID").first()
+        return self.monitor().where(F.col("RUN_ID") == (newest["RUN_ID"] if newest else "seed"))
 
     def has_scores(self) -> bool:
         return not self.commits().where("SCHEMA_JSON IS NOT NULL").isEmpty()
@@ -201,7 +226,7 @@ class Store:
         fresh = fresh.join(self.labels().select("RUN_ID", "FEED_ROW_ID"), ["RUN_ID", "FEED_ROW_ID"], "left_anti")
         rows = fresh.select("FEED_ROW_ID", "ACTUAL_LABEL", now.cast("timestamp_ntz").alias("LABELED_AT"), "N_ROWS",
                             F.lit(batch).alias("LABEL_BATCH"), F.lit(self.use_case.name).alias("USE_CASE_NAME"), "RUN_ID")
-        rows.write.mode("append").partitionBy("USE_CASE_NAME", "RUN_ID").parquet(self.path("labels"))
+        rows.hint("rebalance", "RUN_ID").write.mode("append").partitionBy("USE_CASE_NAME", "RUN_ID").parquet(self.path("labels"))
         return added(self.read("labels", self.labels_schema()), "LABEL_BATCH", batch, "N_ROWS")
 
     def roll_back(self, version: str) -> int:
@@ -242,7 +267,7 @@ class Store:
     def log(self, procedure: str, n_rows: int, status: str, message: str, now):
         """One status row; a failure to log never reaches the caller."""
         try:
-            self._append_row("log", LOG, (now, self.use_case.name, procedure, int(n_rows), status, str(message)[:MESSAGE_CHARS]))
+            self._append_row("log", LOG, (now, self.use_case.name, procedure, int(n_rows), status, str(message)))
         except Exception as e:  # noqa: BLE001
             print(f"could not write to the scoring log: {e}")
 

@@ -38,12 +38,16 @@ def drift_stream(scores: DataFrame, reference: Reference, task: str, out: str, c
                  lateness: str = "1 day", available_now: bool = True, every: str = "1 minute") -> StreamingQuery:
     """Appends a drift report per closed window and model version.
 
-    The watermark needs a TIMESTAMP, so SCORED_AT is read as one in the session time zone.
+    The watermark needs a TIMESTAMP, so SCORED_AT is read as one in UTC, whatever the session's time zone, and windows are
+    reported as TIMESTAMP_NTZ again. Rows later than `lateness` come too late for their closed window: Spark drops them and
+    counts them in the query's progress (numRowsDroppedByWatermark).
     """
-    stamped = scores.withColumn("SCORED_AT", F.col("SCORED_AT").cast("timestamp")).withWatermark("SCORED_AT", lateness)
+    in_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("SCORED_AT")).cast("timestamp")
+    stamped = scores.withColumn("SCORED_AT", in_utc).withWatermark("SCORED_AT", lateness)
     if "ACTUAL_LABEL" not in stamped.columns:
         stamped = stamped.withColumn("ACTUAL_LABEL", F.lit(None).cast("double"))
     report = drift_windows(stamped, reference, task, duration)
+    report = report.withColumn("WINDOW_START", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("WINDOW_START").cast("timestamp_ntz")))
     writer = report.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start()

@@ -45,7 +45,7 @@ def test_life_cycle(spark, data, world):
     assert score_batch(store, feed, "2001-01-01 05:00:00") == f"OK: {until('2001-01-01') - until('2000-06-01')} rows scored"
     monitor = store.monitor().where("RUN_ID <> 'seed'")
     assert monitor.count() == until("2001-01-01") and monitor.select("FEED_ROW_ID").distinct().count() == monitor.count()
-    high = store.past_run("V1")["extra"]["risk_cut_high"]
+    high = store.past_run("V1").extra["risk_cut_high"]
     assert monitor.where((F.col("PREDICTED_PROBABILITY") >= high) != (F.col("RISK_BAND") == "HIGH")).isEmpty()
     assert monitor.where("PREDICTION <> int(RISK_BAND = 'HIGH')").isEmpty()
     assert store.business("CUSTOMER").count() == monitor.select("ENTITY_ID").distinct().count()
@@ -60,9 +60,9 @@ def test_life_cycle(spark, data, world):
     assert 0 < first["newly_labeled"] <= until("2000-06-01")
     assert backfill_labels(store, outcomes, "2000-09-15 00:00:00")["newly_labeled"] == 0
     assert store.monitor().where("LABEL_MATURE_AT > timestamp_ntz'2000-09-15 00:00:00' AND ACTUAL_LABEL IS NOT NULL").isEmpty()
-    with pytest.raises(ValueError, match="duplicate ENTITY_ID"):
+    with pytest.raises(ValueError, match="repeat a ENTITY_ID"):
         backfill_labels(store, outcomes.unionByName(outcomes), "2000-09-15 00:00:00")
-    assert store.log_rows(20).where("STATUS = 'FAILED' AND MESSAGE LIKE '%duplicate%'").count() == 1
+    assert store.log_rows(20).where("STATUS = 'FAILED' AND MESSAGE LIKE '%repeat%'").count() == 1
 
     # too little data to decide: skipped, logged, nothing registered
     done = retrain(store, history, feed, "2001-04-15 00:00:00", "V2", outcomes=outcomes)
@@ -93,13 +93,18 @@ def test_failed_run_is_logged_and_raised(spark, world):
     assert store.log_rows(1).first()["STATUS"] == "FAILED"
 
 
-def test_contract_mismatch_is_refused(spark, world):
+def test_changed_vocabulary_goes_on_scoring(spark, world):
     store, _, feed, _ = world
-    other = Contract((*store.contract("V1").features, Feature("NEW", "NEW", "NUM")))
-    store.save_contract(other, "V9", F.lit("2001-01-01"))
-    store.log_run("V9", "logistic_regression", {}, {}, datetime(1990, 1, 1))
-    with pytest.raises(ValueError, match="'missing': \\['NEW'\\]"):
-        score_batch(store, feed, "2031-01-01 00:00:00", version="V9")
+    before, run = store.monitor().count(), store.past_run("V1")
+    store.save_contract(Contract((*store.contract("V1").features, Feature("SEGMENT_NEW", "SEGMENT", "CAT_OHE"))), "V9", F.lit("2001-01-01"))
+    store.save_model(store.load_model("V1"), "V9")
+    store.log_run("V9", run.algorithm, run.metrics, run.extra, datetime(1990, 1, 1))
+    assert score_batch(store, feed, "2031-01-01 00:00:00", version="V9").startswith("OK")
+    batch = store.newest_batch()
+    assert batch.where("SEGMENT_NEW = 0.0 AND MODEL_VERSION = 'V9'").count() == batch.count() > 0
+    assert store.monitor().where("SEGMENT_NEW IS NULL").count() == before
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(USE_CASE_NAME") >= 1 and "RUN_ID" in plan.split("PartitionFilters")[1][:300]
 
 
 def test_upsert_keeps_unmapped_columns(spark):

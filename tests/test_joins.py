@@ -14,8 +14,18 @@ def test_salted_join_equals_the_plain_join(spark):
         plain = left.join(right, ["k"], how)
         rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
         assert rows(salted) == rows(plain), how
-    hot = dict(J.hot_keys(left, ["k"], 50))
-    assert (1,) in hot and (None,) in hot and hot[(1,)] > 2
+    hashes = {r["k"]: r["h"] for r in left.select("k", J.key_hash(["k"]).alias("h")).distinct().collect()}
+    hot = J.hot_keys(left, ["k"], 50)
+    assert hot[hashes[1]] > 2 and hashes[None] in hot
+
+
+def test_every_hot_key_is_split_without_a_shuffle(spark):
+    left = spark.range(60_000).selectExpr("id", "cast(id % 2000 as int) AS k")
+    assert len(J.hot_keys(left, ["k"], 20)) == 2000 and set(J.hot_keys(left, ["k"], 20).values()) == {2}
+    right = spark.range(2000).selectExpr("cast(id as int) AS k", "id AS v")
+    plain = J.salted_join(left, right, ["k"], "inner", hot_rows=1000)._jdf.queryExecution().toString()
+    assert "_SALT" not in plain
+    assert J.salted_join(left, right, ["k"], "inner", hot_rows=20).where("v = k").count() == 60_000
 
 
 def test_hot_key_is_spread_over_partitions(spark):

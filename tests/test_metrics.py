@@ -47,8 +47,8 @@ def test_gates_name_the_first_reason(spark):
     reason = lambda *a: M.retrain_gates(*a).first()["SKIP_REASON"]
     assert reason(few, few, "y", "binary", 3, 1) == "too few labeled rows to compare on"
     assert reason(few, few, "y", "binary", 2, 2) == "too few positives to compare on"
-    assert reason(few.where("y = 1"), few, "y", "multiclass", 1, 0) == "the comparison set contains a single class"
-    assert reason(few, few.where("y > 1"), "y", "regression", 1, 0) == "no rows left to train the challenger on"
+    assert reason(few.where("y = 1"), few, "y", "multiclass", 1, 0) == "all comparison rows are of one class"
+    assert reason(few, few.where("y > 1"), "y", "regression", 1, 0) == "nothing is left to fit a challenger"
     assert reason(few, few, "y", "binary", 2, 1) is None
 
 
