@@ -139,9 +139,10 @@ def prefix(n: int, percent: int, extra: int = 1) -> int:
     return min(n, n - (percent * n + 99) // 100 + extra)
 
 
-def index_prefix(n: int, percent: int) -> int:
-    """The same for the smaller set of a pair, which must share more of its elements."""
-    return min(n, n - (2 * percent * n + 99 + percent) // (100 + percent) + 1)
+def room(n: Column, other: Column, percent: int) -> Column:
+    """The last place of the global order (from 0) at which a set of n may hold its first element shared with a set of size
+    `other` linked to it: the elements after it must suffice for the overlap. For a subset key, the place less one counts."""
+    return n - F.ceil(percent * (n + other) / F.lit(100 + percent))
 
 
 def boundary(sizes: dict[int, int], percent: int, met: float) -> int:
@@ -153,33 +154,34 @@ def boundary(sizes: dict[int, int], percent: int, met: float) -> int:
 
 
 def _postings(common, percent: int, light: int):
+    """Keys of each set with the class, its size, and the key's place in the global order."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common_now = common.value
         for batch in batches:
-            keys, classes, sizes, firsts = [np.empty(0, np.int64)], [], [], [np.empty(0, bool)]
+            keys, classes, sizes, places = [np.empty(0, np.int64)], [], [], [np.empty(0, np.int32)]
             for tokens in _sets(batch):
                 n = len(tokens)
                 if not n:
                     continue
-                ordered, mine, first = common_now.order(tokens), [], []
+                ordered, mine, place = common_now.order(tokens), [], []
                 if 100 * n > percent * light:
                     p = prefix(n, percent)
                     mine.append(ordered[:p])
-                    first.append(np.arange(p) < index_prefix(n, percent))
+                    place.append(np.arange(p, dtype=np.int32))
                 if n <= light:
                     head = ordered[:prefix(n, percent, 2)].view(np.uint64)
                     a, b = np.triu_indices(len(head), 1)
                     low, high = np.minimum(head[a], head[b]), np.maximum(head[a], head[b])
                     mine.append((low * np.uint64(0x9E3779B97F4A7C15) ^ high * np.uint64(0xD6E8FEB86659FD93)).view(np.int64))
-                    first.append(np.ones(len(a), bool))
+                    place.append((b - 1).astype(np.int32))
                 keys += mine
-                firsts += first
+                places += place
                 count = sum(map(len, mine))
                 classes.append(np.full(count, class_key(tokens)))
                 sizes.append(np.full(count, n, np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys)), pa.array(np.concatenate([np.empty(0, np.int64), *classes])),
-                 pa.array(np.concatenate([np.empty(0, np.int32), *sizes])), pa.array(np.concatenate(firsts))], names=["key", "class", "n", "first"])
+                 pa.array(np.concatenate([np.empty(0, np.int32), *sizes])), pa.array(np.concatenate(places))], names=["key", "class", "n", "pos"])
     return emit
 
 
@@ -210,7 +212,7 @@ def verified(pairs: DataFrame, texts: DataFrame, owners: DataFrame, percent: int
 
 
 def _early_pairs(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Each class with one class of each of its bands, the one with the fewest rare elements.
+    """Each class with the class that has the fewest rare elements among those it shares a band with.
 
     That is the least edited copy of its group, to which most other copies are similar enough, so a group falls into few parts.
     """
@@ -218,22 +220,29 @@ def _early_pairs(classes: DataFrame, percent: int, scratch: Scratch) -> DataFram
     hubs = banded.groupBy("k", "band").agg(F.min(F.struct("rare", "class", "n")).alias("hub"), F.count("*").alias("members"))
     hubs = scratch.write(hubs.where("members > 1"))
     met = banded.join(hubs, ["k", "band"]).where(F.col("class") != F.col("hub.class")).where(_fits(F.col("n"), F.col("hub.n"), percent))
-    return met.select(F.col("class").alias("a"), F.col("hub.class").alias("b")).distinct()
+    return met.groupBy(F.col("class").alias("a")).agg(F.min("hub")["class"].alias("b"))
 
 
 def _cross_pairs(shared: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share a key, fit in size and lie in different groups.
 
-    Groups that meet under a key are paired first, then their members: classes already linked are never paired.
+    Groups that meet under a key are paired first, then their members: classes already linked are never paired. Both sets must
+    have room after the key for the overlap that their two sizes ask for.
     """
-    groups = shared.groupBy("key", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("first").alias("first"))
-    left = groups.select("key", F.col("group").alias("g"), F.col("low").alias("l1"), F.col("high").alias("h1"), F.col("first").alias("f1"))
-    right = groups.select("key", F.col("group").alias("h"), F.col("low").alias("l2"), F.col("high").alias("h2"), F.col("first").alias("f2"))
-    met = left.join(right, "key").where("g < h AND (f1 OR f2)").where((100 * F.col("h1") >= percent * F.col("l2")) & (100 * F.col("h2") >= percent * F.col("l1")))
-    one = shared.select("key", F.col("group").alias("g"), F.col("class").alias("a"), F.col("n").alias("n1"), F.col("first").alias("f1"))
-    two = shared.select("key", F.col("group").alias("h"), F.col("class").alias("b"), F.col("n").alias("n2"), F.col("first").alias("f2"))
-    pairs = met.select("key", "g", "h").join(one, ["key", "g"]).join(two, ["key", "h"])
-    found = pairs.where(_fits(F.col("n1"), F.col("n2"), percent)).where("(n1 <= n2 AND f1) OR (n2 <= n1 AND f2)")
+    c = F.col
+    groups = shared.groupBy("key", "group").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("pos"))
+    left = groups.select("key", c("group").alias("g"), c("low").alias("l1"), c("high").alias("h1"), c("pos").alias("p1"))
+    right = groups.select("key", c("group").alias("h"), c("low").alias("l2"), c("high").alias("h2"), c("pos").alias("p2"))
+    met = left.join(right, "key").where("g < h").where((100 * c("h1") >= percent * c("l2")) & (100 * c("h2") >= percent * c("l1")))
+    met = met.where((c("p1") <= room(c("h1"), c("l2"), percent)) & (c("p2") <= room(c("h2"), c("l1"), percent)))
+    one = shared.select("key", c("group").alias("g"), c("class").alias("a"), c("n").alias("n1"), c("pos").alias("p1"))
+    two = shared.select("key", c("group").alias("h"), c("class").alias("b"), c("n").alias("n2"), c("pos").alias("p2"))
+    # Members of one group without room beside the smallest fitting set of the other are left out before they are paired.
+    one = met.select("key", "g", "h", "l2").join(one, ["key", "g"])
+    one = one.where(c("p1") <= room(c("n1"), F.greatest(c("l2"), F.ceil(percent * c("n1") / F.lit(100))), percent))
+    pairs = one.join(two, ["key", "h"])
+    found = pairs.where(_fits(c("n1"), c("n2"), percent))
+    found = found.where((c("p1") <= room(c("n1"), c("n2"), percent)) & (c("p2") <= room(c("n2"), c("n1"), percent)))
     return found.select("a", "b").distinct()
 
 
@@ -245,7 +254,7 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, percent: int = 75)
     a null component. An empty table gives an empty one; other columns of df are not looked at.
 
     1. Rows with equal sets are one class, found by a map-side minimum over a digest of the set.
-    2. Classes meet the least edited class of each of four MinHash bands; verified links join large groups of copies at once,
+    2. Each class meets the least edited class of its four MinHash bands; verified links join large groups of copies at once,
        with as many pairs as there are rows. Nothing is decided by a miss here.
     3. Exact candidates: prefixes in rarest-first order, subsets for small sets and inverted lists for large ones. Keys with
        one class are dropped; under a key, only classes of different groups are paired, so a group of copies costs its rows.
@@ -267,14 +276,15 @@ def similar_groups(df: DataFrame, id_col: str, text_col: str, percent: int = 75)
 
     sizes = dict(classes.where(F.col("n") < 2 * MAX_BOUNDARY).groupBy("n").count().collect())
     light = boundary(sizes, percent, met / max(profile.agg(F.sum("n")).first()[0] or 1, 1))
-    postings = scratch.write(kept.mapInArrow(_postings(common, percent, light), "key long, class long, n int, first boolean"))
-    lists = postings.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.max("first").alias("any"))
-    lists = scratch.write(lists.where("low <> high AND any").select("key"))
+    postings = scratch.write(kept.mapInArrow(_postings(common, percent, light), "key long, class long, n int, pos int"))
+    lists = postings.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min(F.col("pos") - room(F.col("n"), F.col("n"), percent)).alias("over"))
+    lists = scratch.write(lists.where("low <> high AND over <= 0").select("key"))
     shared = postings.join(lists, "key").join(groups.withColumnRenamed("node", "class"), "class", "left")
-    shared = scratch.write(shared.select("key", "class", "n", "first", F.coalesce("component", "class").alias("group")).distinct())
+    shared = scratch.write(shared.select("key", "class", "n", "pos", F.coalesce("component", "class").alias("group")).distinct())
     scratch.drop(postings, lists)
-    late = verified(scratch.write(_cross_pairs(shared, percent)), kept, owners, percent, scratch)
+    pairs = scratch.write(_cross_pairs(shared, percent))
     scratch.drop(shared)
+    late = verified(pairs, kept, owners, percent, scratch)
 
     repeated = known.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("high")).where("a <> high").select("id", "a")
     repeated = known.join(repeated, "id").select("a", F.col("class").alias("b"))
