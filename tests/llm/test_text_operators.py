@@ -214,7 +214,7 @@ def test_prefixes_are_long_enough():
         for b in range(a, 160):
             need = -(-75 * (a + b) // 175)
             if need <= a:
-                assert jaccard.index_prefix(a, 75) >= a - need + 1 and jaccard.prefix(b, 75) >= b - need + 1
+                assert jaccard.prefix(a, 75) >= a - need + 1 and jaccard.prefix(b, 75) >= b - need + 1
                 assert min(a, jaccard.prefix(a, 75, 2)) >= min(a, a - need + 2)
 
 
