@@ -83,7 +83,7 @@ def additivity(algorithm: str, task: str, params: dict):
         if algorithm == "random_forest":
             weights = [w / len(weights) for w in weights]
         shares = algorithm == "random_forest" and task != "regression"
-        base = L.read_trees(learner.trees, weights, classes=shares).base
+        base = L.read_trees(learner, weights, classes=shares).base
         total = F.aggregate(phi, F.lit(0.0), lambda a, b: a + b)
         if task == "multiclass":
             total = total + F.get(F.array(*[F.lit(float(v)) for v in base]), F.col("YHAT"))

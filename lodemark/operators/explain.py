@@ -13,11 +13,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lodemark.functions.columns import causes_from, col
 from lodemark.operators.encode import Contract
+from lodemark.sources.scans import Scratch
 
 
 def feature_means(df: DataFrame, encoded: Sequence[str]) -> dict[str, float]:
@@ -74,50 +75,70 @@ def causes_of_array(phi: Column, sources: Sequence[str], top: int) -> Column:
 # --------------------------------------------------------------------------------------------- tree ensembles
 
 @dataclass
-class Leaf:
-    """One root-to-leaf path: per feature on it the interval that leads here and the share of training weight kept."""
+class Paths:
+    """All root-to-leaf paths with one number of features: leaves × features, and leaves × values (one, or one per class)."""
 
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
     kept: np.ndarray
-    value: np.ndarray  # one value, or one per class
+    value: np.ndarray
 
 
 @dataclass
 class Ensemble:
-    leaves: list[Leaf] = field(default_factory=list)
+    """Paths by their length. Per feature on a path: the interval that leads to the leaf and the share of training weight kept."""
+
+    paths: dict[int, Paths] = field(default_factory=dict)
 
     @property
     def base(self) -> np.ndarray:
-        return sum(leaf.value * leaf.kept.prod() for leaf in self.leaves)
+        return sum((p.value * p.kept.prod(axis=1, keepdims=True)).sum(axis=0) for p in self.paths.values())
 
 
-def read_trees(models, weights: Sequence[float], classes: bool = False) -> Ensemble:
-    """Leaves of fitted Spark trees; with `classes`, a leaf's value is its class shares."""
-    ensemble = Ensemble()
-    for model, weight in zip(models, weights):
-        _collect_leaves(model._java_obj.rootNode(), {}, float(weight), classes, ensemble.leaves)
-    return ensemble
+def read_trees(learner, weights: Sequence[float], classes: bool = False) -> Ensemble:
+    """Leaves of a fitted Spark ensemble; with `classes`, a leaf's value is its class shares.
 
+    The model is saved to the shared folder and its node table read back in one job: no node is asked for one by one.
+    """
+    spark = SparkSession.active()
+    scratch = Scratch(spark)
+    learner.write().save(f"{scratch.root}/trees")
+    rows = spark.read.parquet(f"{scratch.root}/trees/data").select("treeID", "nodeData.*").collect()
+    trees: dict[int, dict[int, Row]] = {}
+    for row in rows:
+        trees.setdefault(row["treeID"], {})[row["id"]] = row
+    leaves = [leaf for tree, weight in enumerate(weights) for leaf in _leaves(trees[tree], float(weight), classes)]
+    by_length: dict[int, list[tuple]] = {}
+    for leaf in leaves:
+        by_length.setdefault(len(leaf[0]), []).append(leaf)
+    return Ensemble({d: Paths(np.array([x[0] for x in same], int).reshape(len(same), d),
+                              *[np.array([x[k] for x in same], float).reshape(len(same), d) for k in (1, 2, 3)],
+                              np.array([x[4] for x in same], float)) for d, same in by_length.items()})
+
+
+def _leaves(nodes: dict[int, Row], weight: float, classes: bool) -> list[tuple]:
+    """(features, lower bounds, upper bounds, shares kept, value) of each leaf of one tree."""
+    def cover(row: Row) -> float:
+        return sum(row["impurityStats"]) if classes else row["impurityStats"][0]
+
+    out, open_paths = [], [(0, {})]
+    while open_paths:
+        number, path = open_paths.pop()
+        row = nodes[number]
+        if row["leftChild"] < 0:
+            names = sorted(path)
+            value = [weight * v / cover(row) for v in row["impurityStats"]] if classes else [weight * row["prediction"]]
+            out.append((names, *[[path[f][k] for f in names] for k in range(3)], value))
+            continue
+        feature, threshold = row["split"]["featureIndex"], row["split"]["leftCategoriesOrThreshold"][0]
+        low, high, kept = path.get(feature, (-math.inf, math.inf, 1.0))
+        for child, bounds in ((row["leftChild"], (low, min(high, threshold))), (row["rightChild"], (max(low, threshold), high))):
+            open_paths.append((child, {**path, feature: (*bounds, kept * cover(nodes[child]) / cover(row))}))
+    return out
 
-def _collect_leaves(node, path: dict, weight: float, classes: bool, out: list[Leaf]):
-    if node.getClass().getSimpleName() == "LeafNode":
-        if classes:
-            stats = np.array(list(node.impurityStats().stats()), dtype=float)
-            value = weight * stats / stats.sum()
-        else:
-            value = np.array([weight * node.prediction()])
-        names = sorted(path)
-        out.append(Leaf(np.array(names, dtype=int), *[np.array([path[f][i] for f in names], dtype=float) for i in range(3)],
-                        value))
-        return
-    split = node.split()
-    feature, threshold, cover = split.featureIndex(), split.threshold(), node.impurityStats().count()
-    low, high, kept = path.get(feature, (-math.inf, math.inf, 1.0))
-    for child, bounds in ((node.leftChild(), (low, min(high, threshold))), (node.rightChild(), (max(low, threshold), high))):
-        share = child.impurityStats().count() / cover
-        _collect_leaves(child, {**path, feature: (*bounds, kept * share)}, weight, classes, out)
+
+CELLS = 4_000_000   # rows × leaves × features held at once while explaining
 
 
 def shapley_values(x: np.ndarray, ensemble: Ensemble, pick: np.ndarray | None = None) -> np.ndarray:
@@ -125,33 +146,41 @@ def shapley_values(x: np.ndarray, ensemble: Ensemble, pick: np.ndarray | None =
 
     For a leaf with features F on its path, a subset S of them reaches it with weight Π_S reached · Π_{F\\S} kept. The
     subsets are summed by size as coefficients of Π (kept_j + reached_j · t); dividing one factor out gives the sum over
-    the subsets without that feature.
+    the subsets without that feature. All leaves with paths of one length are computed together, for a slice of rows.
     """
     out = np.zeros(x.shape)
-    for leaf in ensemble.leaves:
-        d = len(leaf.features)
-        if d == 0:
+    for d, paths in ensemble.paths.items():
+        if not d:
             continue
-        seen = x[:, leaf.features]
-        reached = ((leaf.low == -math.inf) | ~(seen <= leaf.low)) & ((leaf.high == math.inf) | (seen <= leaf.high))
-        coef = np.zeros((len(x), d + 1))
-        coef[:, 0] = 1.0
-        for j in range(d):
-            shifted = np.where(reached[:, j, None], coef[:, :-1], 0.0)
-            coef = coef * leaf.kept[j]
-            coef[:, 1:] += shifted
-        size_weight = [math.factorial(s) * math.factorial(d - 1 - s) / math.factorial(d) for s in range(d)]
-        value = leaf.value[pick] if pick is not None and len(leaf.value) > 1 else leaf.value[-1]
-        for j in range(d):
-            kept, hit = leaf.kept[j], reached[:, j]
-            total = np.zeros(len(x))
-            carry = coef[:, d].copy()
-            for s in range(d - 1, -1, -1):
-                with_hit = carry
-                without = coef[:, s] / kept
-                total += size_weight[s] * np.where(hit, with_hit, without)
-                carry = coef[:, s] - kept * with_hit
-            out[:, leaf.features[j]] += value * (hit - kept) * total
+        step = max(1, CELLS // (len(paths.features) * (d + 1)))
+        onto = [np.eye(x.shape[1])[paths.features[:, j]] for j in range(d)]
+        for at in range(0, len(x), step):
+            rows = slice(at, at + step)
+            value = paths.value[:, pick[rows]].T if pick is not None and paths.value.shape[1] > 1 else paths.value[:, -1]
+            for j, total in enumerate(_shares(x[rows], paths, d)):
+                out[rows] += (value * total) @ onto[j]
+    return out
+
+
+def _shares(x: np.ndarray, paths: Paths, d: int) -> list[np.ndarray]:
+    """Per position on the path: rows × leaves, the feature's share of a leaf value of one."""
+    seen = x[:, paths.features]
+    reached = ((paths.low == -math.inf) | ~(seen <= paths.low)) & ((paths.high == math.inf) | (seen <= paths.high))
+    coef = np.zeros((d + 1, len(x), len(paths.features)))
+    coef[0] = 1.0
+    for j in range(d):
+        shifted = np.where(reached[:, :, j], coef[:-1], 0.0)
+        coef = coef * paths.kept[:, j]
+        coef[1:] += shifted
+    size_weight = [math.factorial(s) * math.factorial(d - 1 - s) / math.factorial(d) for s in range(d)]
+    out = []
+    for j in range(d):
+        kept, hit = paths.kept[:, j], reached[:, :, j]
+        total, carry = np.zeros(hit.shape), coef[d]
+        for s in range(d - 1, -1, -1):
+            total += size_weight[s] * np.where(hit, carry, coef[s] / kept)
+            carry = coef[s] - kept * carry
+        out.append((hit - kept) * total)
     return out
 
 

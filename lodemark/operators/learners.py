@@ -219,7 +219,7 @@ def contributions(model: PipelineModel, contract: Contract, means: dict[str, flo
     """(array of contributions per source feature, source names) for a table scored by `score`."""
     learner, encoded = model.stages[-1], contract.encoded
     if isinstance(learner, OneVsRestModel):
-        ensembles = [read_trees(m.trees, m.treeWeights) for m in learner.models]
+        ensembles = [read_trees(m, m.treeWeights) for m in learner.models]
         return tree_contributions(ensembles, contract, "YHAT")
     if hasattr(learner, "treeWeights"):
         weights = list(learner.treeWeights)
@@ -227,7 +227,7 @@ def contributions(model: PipelineModel, contract: Contract, means: dict[str, flo
         if forest:
             weights = [w / len(weights) for w in weights]
         shares = forest and task != REGRESSION
-        return tree_contributions([read_trees(learner.trees, weights, classes=shares)], contract,
+        return tree_contributions([read_trees(learner, weights, classes=shares)], contract,
                                   "YHAT" if task == MULTICLASS else None)
     if task == MULTICLASS:
         rows = learner.coefficientMatrix.toArray()

@@ -25,11 +25,12 @@ CONTRACT = E.Contract((E.Feature("A", "A", E.NUM), E.Feature("B", "G", E.CAT_OHE
 def brute_force(x, ensemble: Ensemble, features: int):
     def expected(known):
         total = 0.0
-        for leaf in ensemble.leaves:
-            weight = 1.0
-            for f, low, high, kept in zip(leaf.features, leaf.low, leaf.high, leaf.kept):
-                weight *= float((low == -math.inf or x[f] > low) and x[f] <= high) if f in known else kept
-            total += weight * leaf.value[0]
+        for paths in ensemble.paths.values():
+            for k, value in enumerate(paths.value):
+                weight = 1.0
+                for f, low, high, kept in zip(paths.features[k], paths.low[k], paths.high[k], paths.kept[k]):
+                    weight *= float((low == -math.inf or x[f] > low) and x[f] <= high) if f in known else kept
+                total += weight * value[0]
         return total
 
     phi = np.zeros(features)
@@ -45,7 +46,7 @@ def brute_force(x, ensemble: Ensemble, features: int):
 def test_tree_shapley_values_match_brute_force(rows):
     model = L.fit(rows, "Y", CONTRACT, "xgboost", {"n_estimators": 4, "max_depth": 4}, 1, "regression", 600)
     learner = model.stages[-1]
-    ensemble = read_trees(learner.trees, learner.treeWeights)
+    ensemble = read_trees(learner, learner.treeWeights)
     x = rows.limit(40).select("A", "B", "C").toPandas().to_numpy()
     got = shapley_values(x, ensemble)
     for i in range(len(x)):
