@@ -22,7 +22,7 @@ from lodemark.llm.components import components
 from lodemark.sources.scans import Scratch
 
 BANDS, BAND_ROWS = 4, 2
-PART_TOKENS = 2_000_000
+PART_TOKENS = 1_000_000
 MAX_FREQUENT = 1 << 20
 MAX_BOUNDARY = 64
 _MIX = np.random.default_rng(7).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -32,15 +32,20 @@ def class_key(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that a task holds the sets of few texts at a time."""
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
+
+
 def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [shingle_set(t) for t in batch.column(1).to_pylist()]
+    return [shingle_set(t.as_py()) for t in batch.column(1)]
 
 
 def _profile(common):
     """Per text: its class, the size of its set, how many of its elements are rare, and its MinHash bands."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common_now = common.value
-        for batch in batches:
+        for batch in _slices(batches):
             sets = _sets(batch)
             bands = []
             for tokens in sets:
@@ -60,7 +65,7 @@ def _profile(common):
 def _blocks(parts: int):
     """Sorted distinct elements of a batch's sets (upper 48 bits), cut by range into `parts` and stored as differences."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = _sets(batch)
             found, counts = np.unique(np.concatenate([np.empty(0, np.int64), *sets]).view(np.uint64) >> np.uint64(16), return_counts=True)
             part = (found * np.uint64(parts) >> np.uint64(48)).astype(np.int64)
@@ -157,7 +162,7 @@ def _postings(common, percent: int, light: int):
     """Keys of each set with the class, its size, and the key's place in the global order."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common_now = common.value
-        for batch in batches:
+        for batch in _slices(batches):
             keys, classes, sizes, places = [np.empty(0, np.int64)], [], [], [np.empty(0, np.int32)]
             for tokens in _sets(batch):
                 n = len(tokens)
@@ -197,7 +202,7 @@ def verified(pairs: DataFrame, texts: DataFrame, owners: DataFrame, percent: int
     needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(owners, "class").select("id").distinct()
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [t for t in _sets(batch) if len(t)]
             yield pa.RecordBatch.from_arrays([pa.array([class_key(t) for t in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["class", "tokens"])
 
