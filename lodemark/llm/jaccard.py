@@ -23,6 +23,7 @@ from lodemark.sources.scans import Scratch
 
 BANDS, BAND_ROWS = 4, 2
 PART_TOKENS = 1_000_000
+SHORT = np.uint64(24)   # low bits left out where elements are only counted for the order, so that differences fit 32 bits
 MAX_FREQUENT = 1 << 20
 MAX_BOUNDARY = 64
 _MIX = np.random.default_rng(7).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,21 +64,29 @@ def _profile(common):
 
 
 def _blocks(parts: int):
-    """Sorted distinct elements of a batch's sets (upper 48 bits), cut by range into `parts` and stored as differences."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    """Sorted distinct elements of many sets (upper 40 bits), cut by range into `parts` and stored as differences."""
+    def packed_blocks(sets: list[np.ndarray]) -> pa.RecordBatch:
+        found, counts = np.unique(np.concatenate([np.empty(0, np.int64), *sets]).view(np.uint64) >> SHORT, return_counts=True)
+        part = (found * np.uint64(parts) >> np.uint64(40)).astype(np.int64)
+        step = np.diff(found, prepend=found[:1])
+        starts = np.flatnonzero(np.diff(part, prepend=-1) | (step >= 2**32))
+        rows = []
+        for a, b in zip(starts, [*starts[1:], len(found)]):
+            more = np.flatnonzero(counts[a:b] > 1)
+            rows.append((int(part[a]), int(found[a]), step[a + 1:b].astype(np.uint32).tobytes(), np.stack([more, counts[a:b][more]]).astype(np.uint32).tobytes()))
+        columns = list(zip(*rows)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "first", "steps", "more"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in _slices(batches):
             sets = _sets(batch)
-            found, counts = np.unique(np.concatenate([np.empty(0, np.int64), *sets]).view(np.uint64) >> np.uint64(16), return_counts=True)
-            part = (found * np.uint64(parts) >> np.uint64(48)).astype(np.int64)
-            step = np.diff(found, prepend=found[:1])
-            starts = np.flatnonzero(np.diff(part, prepend=-1) | (step >= 2**32))
-            rows = []
-            for a, b in zip(starts, [*starts[1:], len(found)]):
-                more = np.flatnonzero(counts[a:b] > 1)
-                rows.append((int(part[a]), int(found[a]), step[a + 1:b].astype(np.uint32).tobytes(), np.stack([more, counts[a:b][more]]).astype(np.uint32).tobytes()))
-            columns = list(zip(*rows)) or [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.binary()),
-                                              pa.array(columns[3], pa.binary())], names=["part", "first", "steps", "more"])
+            held, size = held + sets, size + sum(map(len, sets))
+            if size >= PART_TOKENS:
+                yield packed_blocks(held)
+                held, size = [], 0
+        yield packed_blocks(held)
     return cut
 
 
@@ -101,7 +110,7 @@ def _totals(blocks: pd.DataFrame) -> pd.DataFrame:
 
 @dataclass(frozen=True)
 class Frequent:
-    """The most frequent elements (sorted, upper 48 bits) and the logarithm of each one's count: later in the global order."""
+    """The most frequent elements (sorted, upper 40 bits) and the logarithm of each one's count: later in the global order."""
 
     elements: np.ndarray
     levels: np.ndarray
@@ -109,7 +118,7 @@ class Frequent:
     def levels_of(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.elements):
             return np.zeros(len(tokens), np.int32)
-        short = (tokens.view(np.uint64) >> np.uint64(16)).astype(np.int64)
+        short = (tokens.view(np.uint64) >> SHORT).astype(np.int64)
         at = np.minimum(np.searchsorted(self.elements, short), len(self.elements) - 1)
         return np.where(self.elements[at] == short, self.levels[at], 0)
 
