@@ -9,6 +9,7 @@ from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -128,7 +129,7 @@ class Codec:
     With `check`, every part's ids are compared with those of the sentencepiece library; differing parts are kept in `wrong`.
     """
 
-    MEMORY = 800_000
+    MEMORY = 400_000
 
     def __init__(self, path: str, threads: int, check: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = ("true" if threads > 1 else "false"), str(threads)
@@ -140,6 +141,7 @@ class Codec:
         self.simple = self.apart and self.charsmap is None and self.model.dummy_prefix and not self.model.trim_spaces
         self.known: dict[str | tuple[str], bytes] = {}
         self.wrong: set[str | tuple[str]] = set()
+        self.marked = np.array([p.startswith(SPACE) for p, _, _ in self.model.pieces])
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode() for p, _, kind in self.model.pieces]
 
     @cached_property
@@ -170,17 +172,39 @@ class Codec:
         return [p[1:] if p[0] == SPACE else (p,) for p in (_PARTS.findall(text) if self.apart else [text])]
 
     def _learn(self, parts: list[str | tuple[str]]) -> None:
-        full, ids = [p[0] if isinstance(p, tuple) else SPACE + p for p in parts], []
-        for at in range(0, len(parts), 8192):
-            for part, found in zip(parts[at:at + 8192], self.parts.encode_batch_fast(full[at:at + 8192], add_special_tokens=False)):
-                ids.append(found.ids)
-                self.known[part] = array("i", ids[-1]).tobytes()
+        """Encodes parts seen for the first time: those with one marker by hundreds in a sequence, any others one by one."""
+        plain = [p for p in parts if isinstance(p, str) and SPACE not in p]
+        for at in range(0, len(plain), 4096):
+            chunk = plain[at:at + 4096]
+            words = [SPACE + p for p in chunk]
+            found = self.parts.encode_batch_fast([words[k:k + 512] for k in range(0, len(words), 512)], is_pretokenized=True, add_special_tokens=False)
+            ids = np.concatenate([np.array(f.ids, np.int32) for f in found])
+            starts = np.flatnonzero(self.marked[ids])   # only a part's first piece begins with a marker
+            if len(starts) != len(chunk):
+                self._learn_singly(chunk)
+                continue
+            data, ends = ids.tobytes(), [*(starts[1:] * 4).tolist(), len(ids) * 4]
+            self.known.update((p, data[x:y]) for p, x, y in zip(chunk, [0, *ends], ends))
+            if self.processor and not np.array_equal(np.fromiter(chain.from_iterable(self._other(chunk)), np.int32), ids):
+                self._compare(chunk)
+        self._learn_singly([p for p in parts if not isinstance(p, str) or SPACE in p])
+
+    def _learn_singly(self, parts: list[str | tuple[str]]) -> None:
+        full = [p[0] if isinstance(p, tuple) else SPACE + p for p in parts]
+        for part, found in zip(parts, self.parts.encode_batch_fast(full, add_special_tokens=False)):
+            self.known[part] = array("i", found.ids).tobytes()
         if self.processor:
-            prefix = SPACE if self.model.dummy_prefix else ""
-            plain = [p.removeprefix(prefix).replace(SPACE, " ") for p in full]
-            # An empty text has no ids there, so a lone marker is compared with its piece.
-            other = [found if p else [self.processor.piece_to_id(SPACE)] for p, found in zip(plain, self.processor.encode(plain, num_threads=1))]
-            self.wrong |= {p for p, mine, found in zip(parts, ids, other) if mine != found}
+            self._compare(parts)
+
+    def _other(self, parts: list[str | tuple[str]]) -> list[list[int]]:
+        """Ids of the other library. An empty text has none there, so a lone marker is compared with its piece."""
+        prefix = SPACE if self.model.dummy_prefix else ""
+        texts = [p[0] if isinstance(p, tuple) else (SPACE + p).removeprefix(prefix) for p in parts]
+        found = self.processor.encode([t.replace(SPACE, " ") for t in texts], num_threads=1)
+        return [ids if t else [self.processor.piece_to_id(SPACE)] for t, ids in zip(texts, found)]
+
+    def _compare(self, parts: list[str | tuple[str]]) -> None:
+        self.wrong |= {p for p, ids in zip(parts, self._other(parts)) if array("i", ids).tobytes() != self.known[p]}
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bool]]:
         """Ids as 32-bit integers, and whether all parts agree with the other library."""
@@ -226,8 +250,8 @@ def encode(df: DataFrame, text_col: str, model_path: str, threads: int = 2, chec
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = loaded(model_path, threads, check)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
                 texts = rows.column(0).field(text_col).to_pylist()
                 found = codec.encode([t or "" for t in texts])
                 ends = np.cumsum([0, *(len(b) // 4 for b, _ in found)])
@@ -247,8 +271,8 @@ def decode(df: DataFrame, ids_col: str, model_path: str, threads: int = 2, carry
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = loaded(model_path, threads)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
                 texts = [None if i is None else codec.decode(i) for i in rows.column(0).field(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(texts, pa.string())], names=["row", "decoded"])
 
