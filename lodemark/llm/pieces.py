@@ -129,7 +129,7 @@ class Codec:
     With `check`, every part's ids are compared with those of the sentencepiece library; differing parts are kept in `wrong`.
     """
 
-    MEMORY = 400_000
+    MEMORY = 1_000_000
 
     def __init__(self, path: str, threads: int, check: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"], os.environ["RAYON_NUM_THREADS"] = ("true" if threads > 1 else "false"), str(threads)
