@@ -228,3 +228,26 @@ def test_too_few_vectors(spark):
     out = neighbours.nearest(two, "vec_id", "embedding", F.col("vec_id") % 5 == 0).collect()
     assert sorted((r.query_id, r.id, r.rank) for r in out) == [(0, 5, 1), (5, 0, 1)]
     assert neighbours.nearest(two.limit(0), "vec_id", "embedding", F.col("vec_id") % 5 == 0).collect() == []
+
+
+def recall_of_tight_group(spark, n, tight, size, spread):
+    """Recall at 5 of every 25th row of a tight group of `tight` rows among n, by cosines in double precision."""
+    draw = np.random.default_rng(3)
+    rows = draw.normal(size=(n, size))
+    rows[:tight] = rows[0] / np.linalg.norm(rows[0]) + spread / np.sqrt(size) * draw.normal(size=(tight, size))
+    rows = rows.astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist(), "x") for k, v in enumerate(rows)], VECTORS)
+    out = neighbours.nearest(df, "vec_id", "embedding", (F.col("vec_id") % 25 == 0) & (F.col("vec_id") < tight)).collect()
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    asked = range(0, tight, 25)
+    near = {q: set(np.argsort(-np.where(np.arange(n) == q, -9, unit @ unit[q]))[:5].tolist()) for q in asked}
+    return sum(r.id in near[r.query_id] for r in out) / (5 * len(asked))
+
+
+def test_recall_within_a_tight_group(spark):
+    assert recall_of_tight_group(spark, 9000, 3000, 64, 0.02) >= 0.9
+
+
+def test_effort_grows_with_the_nodes():
+    small, large = (neighbours.Settings().grown(n) for n in (10_000, 300_000))
+    assert small == neighbours.Settings() and small.degree < large.degree and small.trees < large.trees and small.beam < large.beam
