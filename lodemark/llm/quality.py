@@ -76,7 +76,8 @@ def measured(text: str | None, compressor: zstandard.ZstdCompressor, bands: Sequ
     ratio = len(compressor.compress(data)) / len(data)
     band = _band(len(data), bands)
     good = band.low <= ratio <= band.high
-    chunks = [data[k:k + chunk_bytes] for k in range(0, len(data) - chunk_bytes + 1, chunk_bytes)] if len(data) > chunk_bytes else []
+    starts = [*range(0, len(data) - chunk_bytes, chunk_bytes), len(data) - chunk_bytes] if len(data) > chunk_bytes else []
+    chunks = [data[k:k + chunk_bytes] for k in starts]
     limits = _band(chunk_bytes, bands)
     bad = sum(not limits.low <= len(compressor.compress(c)) / chunk_bytes <= limits.high for c in chunks)
     failed = len(found) < 50 or 100 * n_repeat > 50 * len(found)
@@ -88,7 +89,8 @@ def compression_bands(df: DataFrame, text_col: str, bands: Sequence[Band] = BAND
                       bad_share: float = 0.25, level: int = 3, carry: Sequence[str] | None = None) -> DataFrame:
     """Every row of df (its columns `carry`, by default all) with its measures and `kept`.
 
-    The whole text is compressed once, and so is each full chunk of chunk_bytes of a text longer than that. A text is kept if
+    The whole text is compressed once, and so is each full chunk of chunk_bytes of a text longer than that. The last chunk ends
+    at the last byte and overlaps the one before where the length is no multiple of chunk_bytes. A text is kept if
     it passes the base rule (50 words, at most half of them in repeated three-word windows), its own ratio lies in the band
     of its length, and at most bad_share of its chunks lie outside the band of the chunk length.
 

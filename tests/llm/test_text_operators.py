@@ -61,6 +61,15 @@ def test_bands_reject_repetition_and_noise(spark):
     assert kept == {0: False, 1: False, 2: False, 3: True}
 
 
+def test_the_tail_is_a_chunk_too(spark):
+    clean = prose("tail", 2000)[:4095]
+    noise = "".join(map(chr, random.Random(7).choices(range(33, 127), k=4096)))
+    texts = [clean + noise, noise + clean, prose("tail", 2000)[:8097], prose("tail", 4000)[:8192]]
+    df = spark.createDataFrame([(k, t, None, "r") for k, t in enumerate(texts)], DOCS)
+    rows = {r.doc_id: r for r in quality.compression_bands(df, "text", carry=["doc_id"]).collect()}
+    assert [(rows[k].n_chunks, rows[k].kept) for k in range(4)] == [(2, False), (2, False), (2, True), (2, True)]
+
+
 def test_bands_of_an_empty_table(spark):
     assert quality.compression_bands(spark.createDataFrame([], DOCS), "text").collect() == []
 
