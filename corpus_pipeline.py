@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sentences that occurred before go; a document that has none of its own goes with them."""
-    cleaned = spans.drop_repeated_spans(docs, "doc_id", "text")
+    cleaned = spans.drop_repeated_spans(docs, "doc_id", "text", both_ends=True)
     kept = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
     return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
 

@@ -39,17 +39,23 @@ def sentences(text: str) -> list[tuple[list[bytes], str]]:
     return out or ([([], waiting)] if waiting else [])
 
 
-def runs(lengths: np.ndarray, min_words: int, lone_words: int) -> list[tuple[int, int]]:
+def runs(lengths: np.ndarray, min_words: int, lone_words: int, both_ends: bool = False) -> list[tuple[int, int]]:
     """First and last sentence of each run: from every sentence on, the shortest run of two or more sentences with min_words
-    words, or of one or more with lone_words. Near the end of a text a sentence may start no run."""
+    words, or of one or more with lone_words. Near the end of a text a sentence may start no run. With both_ends also the
+    shortest such run up to every sentence: then every sentence of a repeated passage with enough words lies under one."""
     ends = np.cumsum(lengths)
     before = ends - lengths
     two = np.maximum(np.searchsorted(ends, before + min_words), np.arange(len(ends)) + 1)
     last = np.minimum(two, np.searchsorted(ends, before + lone_words))
-    return [(k, int(j)) for k, j in enumerate(last) if j < len(ends)]
+    found = [(k, int(j)) for k, j in enumerate(last) if j < len(ends)]
+    if both_ends:
+        end = len(ends) - 1
+        found = sorted({*found, *((end - j, end - k) for k, j in runs(lengths[::-1], min_words, lone_words))})
+    return found
 
 
-def drop_repeated_spans(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS, lone_words: int = LONE_WORDS) -> DataFrame:
+def drop_repeated_spans(df: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS, lone_words: int = LONE_WORDS,
+                        both_ends: bool = False) -> DataFrame:
     """Every row of df with the text cleaned in place, and n_sentences, n_removed and removed (numbers of removed sentences).
 
     A run of several consecutive sentences (`runs`) is hashed to 128 bits over its words. The first occurrence of a run is
@@ -73,7 +79,7 @@ def drop_repeated_spans(df: DataFrame, id_col: str, text_col: str, min_words: in
             rows: list[tuple] = []
             for own, digest, value in zip(ids, digests, texts):
                 parts = [w for w, _ in sentences(value)]
-                for k, j in runs(np.fromiter(map(len, parts), np.int64, len(parts)), min_words, lone_words):
+                for k, j in runs(np.fromiter(map(len, parts), np.int64, len(parts)), min_words, lone_words, both_ends):
                     name = hashlib.blake2b(b" ".join([b" ".join(p) for p in parts[k:j + 1]]), digest_size=16).digest()
                     rows.append((name[:8], name[8:], own, digest, k, j))
             columns = list(zip(*rows)) or [()] * 6

@@ -153,6 +153,32 @@ def test_spans_match_brute_force(spark):
     assert shared not in got[2] and shared in got[1] and got[10].strip() == "" and got[12] == rows[12][1]
 
 
+def every_repeated_run(rows, min_words=20, lone=40):
+    """Cleaned text per id: sentences under any run of enough words that occurred before, short or long."""
+    first, out = {}, {}
+    for key, text in rows:
+        parts, gone = spans.sentences(text), set()
+        n = [len(w) for w, _ in parts]
+        for k in range(len(parts)):
+            for j in range(k, len(parts)):
+                if sum(n[k:j + 1]) >= lone or (j > k and sum(n[k:j + 1]) >= min_words):
+                    run = b" ".join(w for p in parts[k:j + 1] for w in p[0])
+                    if first.setdefault(run, (key, k)) != (key, k):
+                        gone.update(range(k, j + 1))
+        out[key] = "".join(p for k, (_, p) in enumerate(parts) if k not in gone)
+    return out
+
+
+@pytest.mark.parametrize("lengths", [[15, 10, 5], [19, 10, 2], [41, 11], [5, 10, 15], [2, 41, 3, 1], [9, 9, 9, 1, 1], [45]])
+def test_runs_from_both_ends_cover_every_repeated_run(spark, lengths):
+    shared = " ".join(f"{prose(f'{lengths}{k}', n)}." for k, n in enumerate(lengths))
+    rows = [(k, f"{prose(f'a{k}', 12)}. {prose(f'b{k}', 7)}. {shared} {prose(f'c{k}', 4)}. {prose(f'd{k}', 30)}.") for k in range(3)]
+    df = spark.createDataFrame([(a, b, None, "r") for a, b in rows], DOCS)
+    out = spans.drop_repeated_spans(df, "doc_id", "text", both_ends=True).collect()
+    assert {r.doc_id: r.text for r in out} == every_repeated_run(rows)
+    assert all(r.n_removed == (len(lengths) if r.doc_id else 0) for r in out)
+
+
 def test_sentences_join_to_the_text():
     for text in ("  a. b?! c\n\n d", "...", "\n \n", "x", "a.b 3.14!"):
         assert "".join(p for _, p in spans.sentences(text)) == text
