@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import jaccard, langid, neighbours, packing, pieces, preference, quality, sharding, spans, warc
+from lodemark.llm import jaccard, langid, neighbours, packing, pieces, preference, quality, sharding, spans, trie, warc
 from lodemark.llm.common import WORD, table
 from lodemark.sources.scans import Scratch
 
@@ -24,11 +24,15 @@ def query(sql: str | None = None):
     return register
 
 
-@query("""
-WITH crc_table AS (
-  SELECT list(v ORDER BY i) AS t FROM (
+CRC_SQL = """
+crc_table AS (
+  SELECT list(v ORDER BY i) AS crcs FROM (
     SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
-    FROM (SELECT unnest(range(256))::BIGINT AS i))),
+    FROM (SELECT unnest(range(256))::BIGINT AS i))),"""
+
+
+@query(f"""
+WITH {CRC_SQL}
 docs AS (
   SELECT doc_id, text, coalesce('s' || source, '') AS source, md5('0|' || doc_id) AS digest,
          coalesce(octet_length(encode(text)), 0) + 1 AS size,
@@ -42,7 +46,7 @@ ranked AS (
 placed AS (SELECT *, row_number() OVER (ORDER BY fraction, digest, doc_id, source) - 1 AS pos, count(*) OVER () AS n FROM ranked),
 cut AS (SELECT *, (pos * 16) // n AS shard FROM placed)
 SELECT doc_id, size,
-       xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32,
+       xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32,
        'rows' AS law, shard::INTEGER AS shard, pos - (shard * n + 15) // 16 AS slot, NULL::INTEGER AS grown_shard
 FROM cut, crc_table""")
 def op1_interleaved_shards(spark, sf_dir):
@@ -207,3 +211,35 @@ def op9_jaccard_groups(spark, sf_dir):
 def op10_graph_neighbours(spark, sf_dir):
     found = neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
     return found.withColumnRenamed("id", "vec_id")
+
+
+@query(f"""
+WITH {CRC_SQL}
+talks AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 's': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+                       md5(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+lengths AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(conv_id::VARCHAR, '.'), lambda d: ord(d)::BIGINT)),
+                                         lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT % 9 AS h
+  FROM talks, crc_table),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(CASE WHEN b.conv_id IS NULL THEN [] ELSE b.turns[1:a.h] END, a.turns[a.h + 1:]) AS turns
+  FROM lengths a LEFT JOIN talks b ON b.conv_id = a.conv_id - a.conv_id % 5),
+prefixes AS (SELECT conv_id, len(turns) AS total, d.depth, turns[1:d.depth] AS p FROM rebuilt, LATERAL (SELECT unnest(range(0, len(turns) + 1)) AS depth) d),
+nodes AS (
+  SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN total = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, depth),
+families AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children,
+         CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(n.p[depth].s)) END AS saved
+  FROM nodes n LEFT JOIN families f ON f.p = n.p),
+lines AS (SELECT c.p[1:d.up] AS p, c.n_children, c.saved FROM counted c, LATERAL (SELECT unnest(range(0, c.depth + 1)) AS up) d),
+sums AS (SELECT p, count_if(n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM lines GROUP BY p)
+SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.p = c.p LEFT JOIN counted up ON c.depth > 0 AND up.p = c.p[1:c.depth - 1]""")
+def op11_truncation_trie(spark, sf_dir):
+    talks = trie.conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return trie.prefix_nodes(trie.borrow_openings(talks))
