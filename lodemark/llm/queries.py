@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import jaccard, langid, neighbours, packing, pieces, preference, quality, sharding, spans, trie, warc
+from lodemark.llm import jaccard, langid, neighbours, notices, packing, pieces, preference, quality, sharding, spans, trie, warc
 from lodemark.llm.common import WORD, table
 from lodemark.sources.scans import Scratch
 
@@ -243,3 +243,11 @@ FROM counted c JOIN sums s ON s.p = c.p LEFT JOIN counted up ON c.depth > 0 AND
 def op11_truncation_trie(spark, sf_dir):
     talks = trie.conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     return trie.prefix_nodes(trie.borrow_openings(talks))
+
+
+@query()
+def op12_fuzzy_notices(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = notices.license_scan(docs, "text", carry=["doc_id"])
+    place = F.transform("spans", lambda s: F.format_string("%s:%d-%d:%d", s["label"], s["first"], s["last"], s["errors"]))
+    return found.withColumn("spans", F.array_join(place, ","))
