@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodemark.llm import jaccard, langid, neighbours, notices, packing, pieces, preference, quality, sharding, spans, trie, warc
+from lodemark.llm import collocations, jaccard, langid, neighbours, notices, packing, pieces, preference, quality, sharding, spans, trie, warc
 from lodemark.llm.common import WORD, table
 from lodemark.sources.scans import Scratch
 
@@ -251,3 +251,35 @@ def op12_fuzzy_notices(spark, sf_dir):
     found = notices.license_scan(docs, "text", carry=["doc_id"])
     place = F.transform("spans", lambda s: F.format_string("%s:%d-%d:%d", s["label"], s["first"], s["last"], s["errors"]))
     return found.withColumn("spans", F.array_join(place, ","))
+
+
+@query("""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, g, count(*) AS f FROM (
+    SELECT lang, unnest(w) AS g FROM words
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+    UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words)
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+phrases AS (SELECT lang, g AS phrase, f AS a, string_split(g, ' ') AS p FROM grams WHERE f >= 10 AND contains(g, ' ')),
+covers AS (
+  SELECT lang, unnest([p[1] || ' ' || p[2], p[2] || ' ' || p[3]]) AS phrase, a AS longer FROM phrases WHERE len(p) = 3),
+most AS (SELECT lang, phrase, max(longer) AS longer FROM covers GROUP BY ALL),
+kept AS (SELECT x.* FROM phrases x LEFT JOIN most m USING (lang, phrase) WHERE m.longer IS NULL OR 100 * m.longer < 50 * a),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(p[1:k], ' ') AS head, array_to_string(p[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN grams x ON c.lang = x.lang AND c.head = x.g JOIN grams y ON c.lang = y.lang AND c.rest = y.g),
+chosen AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM chosen)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""")
+def op13_graph_collocations(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs, "text", "lang")
