@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ PIECE_WORDS = 400_000  # longer pieces are read in parts that overlap by two wor
 SAMPLE_ROWS, HOT_SHARE, SALTS = 20_000, 1_000, 256
 UNKNOWN = "und"
 _FOLD = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-EDGE = "lang string, w1 string, w2 string, w3 string, salt int, f long"
+LIST_EDGES = 1_000
+EDGE = "lang string, w1 string, salt int, rest string"
 GRAM = ["w1", "w2", "w3"]
 
 
@@ -48,6 +50,8 @@ class _Chunk:
             a, b, c = line[:-2], line[1:-1], line[2:]
             c = np.where(b == 0, 0, c)
             whole = (a > 0) & (b >= 0) & (c >= 0)
+            if not whole.any():
+                continue
             keys, counts = np.unique((a[whole] * size + b[whole]) * size + c[whole], return_counts=True)
             pair, c = np.divmod(keys, size)
             a, b = np.divmod(pair, size)
@@ -55,14 +59,21 @@ class _Chunk:
             salt = np.where(np.isin(a, hot), 1 + crc[b] % SALTS, 0)
             hot = [self.numbers[v] * size + self.numbers[w] for tongue, v, w in hot_pairs if tongue == lang and v in self.numbers and w in self.numbers]
             salt = np.where(np.isin(pair, hot), 1 + SALTS + (crc[b] + crc[c]) % SALTS, salt)
-            columns = [pa.array(np.full(len(keys), lang, object), pa.string()), names.take(pa.array(a))]
-            columns += [names.take(pa.array(x, mask=x == 0)) for x in (b, c)]
-            table = pa.table([*columns, pa.array(salt.astype(np.int32)), pa.array(counts)], names=[f.split()[0] for f in EDGE.split(", ")])
-            yield from table.to_batches(max_chunksize=50_000)
+            order = np.lexsort((salt, a))
+            a, b, c, salt, counts = a[order], b[order], c[order], salt[order], counts[order]
+            edge = np.arange(len(keys))
+            new = np.r_[True, (a[1:] != a[:-1]) | (salt[1:] != salt[:-1])]
+            new |= (edge - np.maximum.accumulate(np.where(new, edge, 0))) % LIST_EDGES == 0
+            first = np.flatnonzero(new)
+            bounds = pa.array(np.r_[first, len(keys)].astype(np.int32))
+            rest = pc.binary_join_element_wise(names.take(pa.array(b)), names.take(pa.array(c)), pa.array(counts).cast(pa.string()), " ")
+            columns = [pa.array(np.full(len(first), lang, object), pa.string()), names.take(pa.array(a[first])), pa.array(salt[first].astype(np.int32)),
+                       pc.binary_join(pa.ListArray.from_arrays(bounds, rest), "\n")]
+            yield from pa.table(columns, names=["lang", "w1", "salt", "rest"]).to_batches(max_chunksize=5_000)
 
 
 def edges(df: DataFrame, text_col: str, lang_col: str, hot_words: set = frozenset(), hot_pairs: set = frozenset()) -> DataFrame:
-    """Counts of every word with its two successors in the piece, summed within chunks of a task; see `graph`."""
+    """Counts of every word with its two successors in the piece, summed within chunks of a task, as lists by first word."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = _Chunk()
         for batch in batches:
@@ -86,12 +97,23 @@ def edges(df: DataFrame, text_col: str, lang_col: str, hot_words: set = frozense
     return texts.mapInArrow(cut, EDGE)
 
 
+def unlisted(lists: DataFrame) -> DataFrame:
+    """The lists as rows: a line holds second word, third word and count; words hold neither spaces nor line feeds."""
+    def word(text: Column) -> Column:
+        return F.when(text != "", text)
+
+    line = F.col("line")
+    lines = lists.select("lang", "w1", "salt", F.explode(F.split("rest", "\n")).alias("line"))
+    return lines.select("lang", "w1", "salt", word(F.substring_index(line, " ", 1)).alias("w2"),
+                        word(F.substring_index(F.substring_index(line, " ", 2), " ", -1)).alias("w3"), F.substring_index(line, " ", -1).cast("long").alias("f"))
+
+
 def hot_grams(df: DataFrame, text_col: str, lang_col: str) -> tuple[set, set]:
     """Words and pairs of words with at least one of HOT_SHARE words of a sample of about SAMPLE_ROWS texts: at most HOT_SHARE
     of each. They only decide how rows are dealt to tasks, never what is counted."""
     share = max(1, df.count() // SAMPLE_ROWS)
     text = F.col(f"`{text_col}`").cast("string")
-    found = edges(df.where(F.pmod(F.xxhash64(text), F.lit(share)) == 0), text_col, lang_col)
+    found = unlisted(edges(df.where(F.pmod(F.xxhash64(text), F.lit(share)) == 0), text_col, lang_col))
     pairs = found.groupBy("lang", "w1", "w2").agg(F.sum("f").alias("f")).persist()
     least = (pairs.agg(F.sum("f")).first()[0] or 0) / HOT_SHARE + 1
     words = pairs.groupBy("lang", "w1").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("lang", F.col("w1").cast("binary")).collect()
@@ -109,7 +131,7 @@ def graph(df: DataFrame, text_col: str, lang_col: str, min_count: int) -> DataFr
     pieces that end with it; a word's count is the flow of its pairs and the pieces that end with it. Hot words are dealt by their
     second word too, hot pairs by their third, and the shares of those few are added in the end.
     """
-    sent = edges(df, text_col, lang_col, *hot_grams(df, text_col, lang_col)).repartition("lang", "w1", "salt")
+    sent = unlisted(edges(df, text_col, lang_col, *hot_grams(df, text_col, lang_col)).repartition("lang", "w1", "salt"))
     key = ["lang", "w1", "salt"]
 
     def flow(grams: DataFrame, to: Column) -> DataFrame:
