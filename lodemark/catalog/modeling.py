@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import replace
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodemark.catalog import query
@@ -12,6 +14,8 @@ from lodemark.catalog.tables import new_store
 from lodemark.functions.columns import col
 from lodemark.operators import encode as E
 from lodemark.operators import learners as L
+from lodemark.operators.boosting import FEATURES as VECTOR, LABEL, VALIDATES, Booster, BoosterSpec
+from lodemark.operators.metrics import ranking_metrics, regression_metrics
 from lodemark.operators.splits import search_fit_rows
 from lodemark.operators.targets import prepare_target
 from lodemark.plans.labeling import backfill_labels
@@ -45,16 +49,33 @@ def fitted(spark, d, algorithm: str, task: str, params: dict):
     return rows, contract, model
 
 
+def better_than_naive(rows, model, scored, target: str, task: str) -> bool:
+    """Whether the scores tell more than a constant would: less error, an area of 0.6, or likelier classes than by their shares."""
+    if task == "regression":
+        spread = scored.agg(F.stddev_pop(target)).first()[0]
+        return regression_metrics(scored, target, "YHAT").first()["rmse"] < spread
+    if task == "binary":
+        return ranking_metrics(scored, target, "SCORE").first()["roc_auc"] > 0.6
+    chances, _ = L.class_probabilities(model)
+    own = F.element_at(chances, col(target).cast("int") + 1)
+    n = rows.count()
+    shares = [r["count"] / n for r in rows.groupBy(col(target)).count().collect()]
+    return model.transform(rows).agg(F.avg(F.log(own))).first()[0] > sum(s * math.log(s) for s in shares)
+
+
 def score_ranges(algorithm: str, task: str, params: dict):
-    """Scores of every row by a model of this kind; how many rows, and how many scores outside what the task allows."""
+    """Scores of every row by a model of this kind; how many rows, how many scores outside what the task allows, and whether
+    they beat a constant."""
     def run(spark, d):
         rows, _, model = fitted(spark, d, algorithm, task, params)
-        scored = L.score(model, rows, task)
+        scored = staged(L.score(model, rows, task))
         allowed = F.col("SCORE").isNotNull() if task == "regression" else F.col("SCORE").between(0.0, 1.0)
-        return scored.agg(F.count("*").alias("N"), F.count_if(~allowed).alias("N_BAD"))
+        better = better_than_naive(rows, model, scored, TARGETS[task], task)
+        return scored.agg(F.count("*").alias("N"), F.count_if(~allowed | F.col("SCORE").isNull()).alias("N_BAD"), F.lit(better).alias("BETTER"))
     return run
 
 
+GOOD_SCORES = with_sql(BASE_SQL, select="SELECT count(*) AS N, CAST(0 AS BIGINT) AS N_BAD, true AS BETTER FROM base")
 EVERY_ROW = with_sql(BASE_SQL, select="SELECT count(*) AS N, CAST(0 AS BIGINT) AS N_BAD FROM base")
 BOOST, FOREST, LINEAR = {"n_estimators": 3, "max_depth": 3}, {"n_estimators": 4, "max_depth": 4}, {"C": 0.3, "max_iter": 30}
 KINDS = {
@@ -69,7 +90,7 @@ KINDS = {
     "linear_scores_regression": ("logistic_regression", "regression", LINEAR),
 }
 for _name, _kind in KINDS.items():
-    query(_name, EVERY_ROW)(score_ranges(*_kind))
+    query(_name, GOOD_SCORES)(score_ranges(*_kind))
 
 
 def additivity(algorithm: str, task: str, params: dict):
@@ -89,8 +110,8 @@ def additivity(algorithm: str, task: str, params: dict):
             total = total + F.get(F.array(*[F.lit(float(v)) for v in base]), F.col("YHAT"))
         else:
             total = total + F.lit(float(base[-1]))
-        # a booster's probability is the logistic of twice its margin
-        said = 0.5 * F.log(F.col("SCORE") / (1 - F.col("SCORE"))) if (algorithm == "xgboost" and task == "binary") else F.col("SCORE")
+        # a booster's probability is the logistic of its margin
+        said = F.log(F.col("SCORE") / (1 - F.col("SCORE"))) if (algorithm == "xgboost" and task == "binary") else F.col("SCORE")
         off = F.abs(total - said) > 1e-6 * F.greatest(F.abs(said), F.lit(1.0))
         return scored.agg(F.count("*").alias("N"), F.count_if(off | off.isNull()).alias("N_BAD"))
     return run
@@ -108,22 +129,69 @@ def tree_causes(spark, d):
     return scored.select("ROW_ID", "SCORE", L.causes(model, scored, contract, {}, "binary", 3).alias("PROBABLE_CAUSES"))
 
 
-@query("search_trials")
+@query("search_trials", "SELECT RANK, true AS IN_ORDER, true AS IN_RANGE, true AS IN_SPACE FROM (VALUES (1), (2)) v(RANK)")
 def search_trials(spark, d):
-    """Random search on the early cohorts, judged on the late ones; trials ranked by validation score."""
+    """Random search on the early cohorts, judged on the late ones: as many trials as asked for, the best validation score
+    first, average precisions, and parameters of the space only."""
     rows, contract = encoded(spark, d, "binary")
     use_case = replace(X.USE_CASE, model=SMALL)
     fits = search_fit_rows(rows, "COHORT", 0.2, ["ROW_ID"])
-    return L.search(rows.persist(), ~fits, "Y_BIN", contract, use_case).trials
+    trials = L.search(rows, ~fits, "Y_BIN", contract, use_case).trials
+    by_rank = Window.orderBy(F.desc("VAL_SCORE"), "TRIAL")  # one row per trial
+    placed = trials.withColumn("AT", F.monotonically_increasing_id()).withColumn("RANK", F.row_number().over(by_rank))
+    drawn = F.from_json("PARAMS_JSON", "max_depth int, learning_rate double, scale_pos_weight double")
+    known = drawn["max_depth"].isin(SMALL_SPACE["max_depth"]) & drawn["learning_rate"].isin(SMALL_SPACE["learning_rate"]) & (drawn["scale_pos_weight"] >= 1)
+    order = F.coalesce(F.col("AT") > F.lag("AT").over(Window.orderBy("RANK")), F.lit(True))
+    return placed.select("RANK", order.alias("IN_ORDER"), F.col("VAL_SCORE").between(0.0, 1.0).alias("IN_RANGE"), known.alias("IN_SPACE"))
 
 
-@query("final_rounds", with_sql(BASE_SQL, select="SELECT count(*) AS N, 50 AS ROUNDS FROM base"))
+@query("final_rounds", with_sql(BASE_SQL, select="SELECT count(*) AS N, true AS TENTH_MORE, true AS WITHIN FROM base"))
 def final_rounds(spark, d):
-    """The final booster takes a tenth more rounds than early stopping kept, and never fewer than 50."""
+    """The final booster takes a tenth more rounds than the trial kept: here, learning slowly, more than the least of 50."""
     rows, contract = encoded(spark, d, "binary")
-    found = L.search(rows.persist(), ~search_fit_rows(rows, "COHORT", 0.2, ["ROW_ID"]), "Y_BIN", contract,
-                     replace(X.USE_CASE, model=replace(SMALL, trials=1)))
-    return rows.agg(F.count("*").alias("N"), F.lit(found.rounds).alias("ROUNDS"))
+    slow = ModelSpec(algorithm="xgboost", trials=1, fixed_params={"n_estimators": 60, "eval_metric": "logloss"},
+                     search_space={"max_depth": [1], "learning_rate": [0.05]})
+    found = L.search(rows, ~search_fit_rows(rows, "COHORT", 0.2, ["ROW_ID"]), "Y_BIN", contract, replace(X.USE_CASE, model=slow))
+    kept = found.trials.first()["BEST_ITERATION"]
+    return rows.agg(F.count("*").alias("N"), F.lit(found.rounds == max(int(kept * 1.1), 50)).alias("TENTH_MORE"), F.lit(50 < found.rounds <= 66).alias("WITHIN"))
+
+
+def stopped(task: str, spec: BoosterSpec, patience: int):
+    """A booster that stops by its held losses: the rounds kept are those of the least loss, and growth ended either
+    `patience` rounds after them or at the most rounds."""
+    def run(spark, d):
+        rows, contract = encoded(spark, d, task)
+        held = ~search_fit_rows(rows, "COHORT", 0.2, ["ROW_ID"])
+        data = L.assembler(contract).transform(rows).select(VECTOR, col(TARGETS[task]).cast("double").alias(LABEL), held.alias(VALIDATES))
+        classes = int(data.agg(F.max(LABEL)).first()[0]) + 1
+        booster = Booster(data, task, classes, spec)
+        best = booster.grow_with_patience(patience)
+        seen = booster.losses[:best + patience]
+        return rows.agg(F.count("*").alias("N"), F.lit(len(booster.losses) == booster.rounds).alias("ALL_RECORDED"),
+                        F.lit(seen[best - 1] == min(seen)).alias("LEAST_LOSS"),
+                        F.lit(booster.rounds == spec.rounds or booster.rounds >= best + patience).alias("ENDED"))
+    return run
+
+
+STOPPED = with_sql(BASE_SQL, select="SELECT count(*) AS N, true AS ALL_RECORDED, true AS LEAST_LOSS, true AS ENDED FROM base")
+query("boosting_stop_binary", STOPPED)(stopped("binary", BoosterSpec(rounds=40, depth=3, learning_rate=0.8, reg_lambda=1.0), 5))
+query("boosting_stop_multiclass", STOPPED)(stopped("multiclass", BoosterSpec(rounds=20, depth=2, learning_rate=0.8, reg_lambda=1.0), 3))
+query("boosting_stop_regression", STOPPED)(stopped("regression", BoosterSpec(rounds=20, depth=3, learning_rate=0.8, reg_alpha=0.1), 3))
+
+
+@query("boosting_resumed", with_sql(BASE_SQL, select="SELECT ROW_ID, true AS SAME FROM base"))
+def boosting_resumed(spark, d):
+    """Three rounds and three more of a fitted booster say of every row what six rounds in one go say."""
+    rows, contract = encoded(spark, d, "binary")
+    params = {"n_estimators": 6, "max_depth": 2, "reg_lambda": 3.0, "reg_alpha": 0.1}
+
+    def scores(model, name):
+        return L.score(model, rows, "binary").select("ROW_ID", F.col("SCORE").alias(name))
+
+    half = L.fit(rows, "Y_BIN", contract, "xgboost", {**params, "n_estimators": 3}, 7, "binary", 0)
+    more = L.more_rounds(half, rows, "Y_BIN", "xgboost", params, 7, "binary")
+    whole = L.fit(rows, "Y_BIN", contract, "xgboost", params, 7, "binary", 0)
+    return scores(more, "A").join(scores(whole, "B"), "ROW_ID").select("ROW_ID", (F.abs(F.col("A") - F.col("B")) < 1e-6).alias("SAME"))
 
 
 def job_store(spark, **changes):
@@ -137,15 +205,33 @@ def job_store(spark, **changes):
 TRAINED_AT, FIRST, SECOND = "2000-01-02 01:00:00", "2000-06-01 05:00:00", "2001-01-01 05:00:00"
 
 
-@query("training_job", with_sql(BASE_SQL, FEED_SQL, """
+TEST_DAYS = with_sql(BASE_SQL, FEED_SQL, """
 , shares AS (SELECT COHORT, CAST(sum(count(*)) OVER (ORDER BY COHORT) AS DOUBLE) / sum(count(*)) OVER () AS CUM FROM history GROUP BY COHORT)
 , cut AS (SELECT min(COHORT) AS C FROM shares WHERE CUM >= 1 - 0.2e0)""", select="""
-SELECT CAST(strptime(CAST(COHORT AS VARCHAR) || '01', '%Y%m%d') AS DATE) AS DT, count(*) AS N FROM history, cut WHERE COHORT >= C GROUP BY 1"""))
+SELECT CAST(strptime(CAST(COHORT AS VARCHAR) || '01', '%Y%m%d') AS DATE) AS DT, count(*) AS N FROM history, cut WHERE COHORT >= C GROUP BY 1""")
+
+
+@query("training_job", TEST_DAYS)
 def training_job(spark, d):
     """The whole training job; its baseline holds exactly the test side of the temporal split."""
     return train(job_store(spark), X.history(spark, d), "V1", TRAINED_AT).summary.select("DT", "N")
 
 
+def other_training_job(algorithm: str, task: str, fixed: dict, space: dict):
+    """The training job of another task, with a booster that stops by patience."""
+    def run(spark, d):
+        store = job_store(spark)
+        model = ModelSpec(algorithm=algorithm, trials=1, fixed_params=fixed, search_space=space)
+        numeric = tuple(c for c in X.DATA.numeric if c != TARGETS[task] and not (task == "regression" and c == "TOTAL_PRICE"))
+        store.use_case = replace(store.use_case, task=task, model=model, data=replace(X.DATA, target=TARGETS[task], numeric=numeric))
+        done = train(store, X.history(spark, d), "V1", TRAINED_AT)
+        return done.summary.select("DT", "N")
+    return run
+
+
+query("training_job_multiclass", TEST_DAYS)(other_training_job("xgboost", "multiclass", {"n_estimators": 4}, {"max_depth": [2], "learning_rate": [0.3], "reg_lambda": [3.0]}))
+query("training_job_regression", TEST_DAYS)(other_training_job("lightgbm", "regression", {"n_estimators": 4}, {"num_leaves": [7], "learning_rate": [0.3], "reg_alpha": [0.1]}))
+
 SCORED_RUNS = f"""
 , runs AS (
   SELECT ROW_ID, CASE WHEN RECORD_TS <= TIMESTAMP '2000-06-01' THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS SCORED_AT

@@ -10,15 +10,15 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodemark.functions.columns import best_class, col
+from lodemark.operators.boosting import FEATURES, LABEL, VALIDATES, WEIGHT, Booster, BoosterSpec, probabilities
 from lodemark.operators.encode import Contract
 from lodemark.operators.explain import (causes_of_array, centred_contributions, feature_means, read_trees,
                                         tree_contributions)
@@ -27,8 +27,6 @@ from lodemark.operators.targets import balanced_weights
 from lodemark.settings import BINARY, BOOSTED, MULTICLASS, REGRESSION, UseCase
 from lodemark.sources.scans import staged
 
-FEATURES, LABEL, WEIGHT, VALIDATES = "_FEATURES", "_LABEL", "_WEIGHT", "_VALIDATES"
-
 # The search space of each algorithm.
 SEARCH_SPACE = {
     "xgboost": {
@@ -75,23 +73,12 @@ MIN_FINAL_ROUNDS = 50
 
 
 def build_estimator(algorithm: str, params: dict, seed: int, task: str, rows: int):
-    """A Spark estimator for the algorithm name and its usual parameter names.
-
-    reg_lambda and reg_alpha have no counterpart in Spark's trees and are ignored. `rows` turns the inverse penalty C
-    into Spark's per-row penalty.
-    """
+    """A Spark estimator, or the settings of a booster, for the algorithm name and its usual parameter names. `rows` turns the
+    inverse penalty C into Spark's per-row penalty."""
     p = dict(params)
     columns = {"featuresCol": FEATURES, "labelCol": LABEL}
     if algorithm in BOOSTED:
-        depth = p.get("max_depth") or (math.ceil(math.log2(p["num_leaves"])) if "num_leaves" in p else 5)
-        settings = dict(maxDepth=int(depth), maxIter=int(p.get("n_estimators", 100)), seed=seed,
-                        minInstancesPerNode=int(p.get("min_child_weight", p.get("min_child_samples", 1))),
-                        subsamplingRate=float(p.get("subsample", 1.0)), stepSize=float(p.get("learning_rate", 0.1)),
-                        featureSubsetStrategy=_subset(p.get("colsample_bytree", 1.0)), **columns)
-        if task == REGRESSION:
-            return GBTRegressor(**settings)
-        booster = GBTClassifier(**settings)
-        return booster if task == BINARY else OneVsRest(classifier=booster, **columns)
+        return BoosterSpec.of(algorithm, p, seed, task)
     if algorithm == "random_forest":
         settings = dict(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 5)), seed=seed,
                         minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
@@ -132,49 +119,42 @@ def fit(df: DataFrame, target: str, contract: Contract, algorithm: str, params:
     """Fits on encoded rows. With `validates` (rows kept for validation) a booster stops by patience on them."""
     data, has_weight = weighted(df, target, params, task)
     estimator = build_estimator(algorithm, params, seed, task, rows)
-    if has_weight:
-        estimator = estimator.setWeightCol(WEIGHT)
     stage = assembler(contract)
     data = data.withColumn(VALIDATES, F.lit(False) if validates is None else validates)
     data = stage.transform(data.withColumn(LABEL, col(target).cast("double")))
     data = data.select(*[c for c in (FEATURES, LABEL, WEIGHT, VALIDATES) if c in data.columns])
-    fits = data.where(~F.col(VALIDATES)).drop(VALIDATES)
-    if validates is not None and algorithm in BOOSTED and task != MULTICLASS:
-        return PipelineModel([stage, fit_with_patience(estimator, fits, data.where(VALIDATES), patience)])
-    return PipelineModel([stage, estimator.fit(fits)])
+    if algorithm in BOOSTED:
+        return PipelineModel([stage, *_boosted(data, estimator, task, None if validates is None else patience)])
+    if has_weight:
+        estimator = estimator.setWeightCol(WEIGHT)
+    return PipelineModel([stage, estimator.fit(data.where(~F.col(VALIDATES)).drop(VALIDATES))])
+
 
+def _boosted(data: DataFrame, spec: BoosterSpec, task: str, patience: int | None, start: Sequence[GBTRegressionModel] = ()) -> list[GBTRegressionModel]:
+    classes = len(start) or (int(data.agg(F.max(LABEL)).first()[0] or 0) + 1 if task == MULTICLASS else 1)
+    booster = Booster(data, task, classes, spec, start)
+    if patience is None:
+        booster.grow(spec.rounds - booster.rounds)
+        return booster.models()
+    return booster.models(booster.grow_with_patience(patience))
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """(rounds with the least loss before `patience` rounds bring no better one, whether that happened)."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        if k - best >= patience:
-            return best + 1, True
-    return best + 1, False
 
+def more_rounds(model: PipelineModel, df: DataFrame, target: str, algorithm: str, params: dict, seed: int, task: str) -> PipelineModel:
+    """A fitted booster grown on to params' `n_estimators` rounds over encoded rows; what it has is not fitted again."""
+    stage, *ensembles = model.stages
+    data, _ = weighted(df, target, params, task)
+    data = stage.transform(data.withColumn(LABEL, col(target).cast("double")))
+    data = data.select(*[c for c in (FEATURES, LABEL, WEIGHT) if c in data.columns])
+    return PipelineModel([stage, *_boosted(data, build_estimator(algorithm, params, seed, task, 0), task, None, ensembles)])
 
-def fit_with_patience(estimator, fits: DataFrame, held: DataFrame, patience: int):
-    """The booster with the rounds after which the held rows stop improving, up to the estimator's own maximum.
 
-    Spark cannot go on with a fitted booster, so the rounds are doubled until the stop lies within them, and the model is
-    fitted anew with the rounds found: about four times the work of the last fit, whatever the maximum.
-    """
-    most = estimator.getMaxIter()
-    rounds = min(2 * patience, most)
-    while True:
-        model = estimator.copy({estimator.maxIter: rounds}).fit(fits)
-        best, stopped = best_round(model.evaluateEachIteration(held) if isinstance(model, GBTClassificationModel)
-                                   else model.evaluateEachIteration(held, "squared"), patience)
-        if stopped or rounds == most:
-            return model if best == rounds else estimator.copy({estimator.maxIter: best}).fit(fits)
-        rounds = min(2 * rounds, most)
+def is_booster(model: PipelineModel) -> bool:
+    return isinstance(model.stages[-1], GBTRegressionModel)
 
 
 def rounds_used(model: PipelineModel) -> int | None:
-    learner = model.stages[-1]
-    return int(learner.getNumTrees) if hasattr(learner, "getNumTrees") else None
+    """Rounds of a booster, whose first tree is a constant."""
+    return int(model.stages[-1].getNumTrees) - 1 if is_booster(model) else None
 
 
 # ------------------------------------------------------------------------------------------------------ scoring
@@ -187,24 +167,24 @@ def score(model: PipelineModel, df: DataFrame, task: str) -> DataFrame:
     out = model.transform(df)
     if task == REGRESSION:
         added = {"SCORE": F.col("prediction"), "YHAT": F.col("prediction")}
+    elif task == BINARY and is_booster(model):
+        added = {"SCORE": 1 / (1 + F.exp(-F.col("prediction"))), "YHAT": (F.col("prediction") > 0).cast("int")}
     elif task == BINARY:
         added = {"SCORE": vector_to_array("probability")[1], "YHAT": F.col("prediction").cast("int")}
     else:
-        p, classes = class_probabilities(model.stages[-1])
+        p, classes = class_probabilities(model)
         confidence, label = best_class(p, [str(k) for k in range(classes)])
         added = {"SCORE": confidence, "YHAT": label.cast("int")}
-    return out.withColumns(added).drop(FEATURES, "rawPrediction", "probability", "prediction")
+    margins = [m.getPredictionCol() for m in model.stages[1:]]
+    return out.withColumns(added).drop(FEATURES, "rawPrediction", "probability", "prediction", *margins)
 
 
-def class_probabilities(learner) -> tuple[Column, int]:
-    """Array of class probabilities. One-vs-rest boosters give one margin per class: each through the logistic
-    function, then normalised."""
-    if isinstance(learner, OneVsRestModel):
-        margins = vector_to_array("rawPrediction")
-        each = F.transform(margins, lambda m: 1 / (1 + F.exp(-2 * m)))
-        total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
-        return F.transform(each, lambda v: v / total), len(learner.models)
-    return vector_to_array("probability"), learner.numClasses
+def class_probabilities(model: PipelineModel) -> tuple[Column, int]:
+    """Array of class probabilities and the number of classes. A booster has one ensemble of margins per class."""
+    if is_booster(model):
+        margins = [F.col(m.getPredictionCol()) for m in model.stages[1:]]
+        return probabilities(F.array(*margins), MULTICLASS), len(margins)
+    return vector_to_array("probability"), model.stages[-1].numClasses
 
 
 # -------------------------------------------------------------------------------------------------- explanation
@@ -218,9 +198,8 @@ def causes(model: PipelineModel, scored: DataFrame, contract: Contract, means: d
 def contributions(model: PipelineModel, contract: Contract, means: dict[str, float], task: str) -> tuple[Column, list[str]]:
     """(array of contributions per source feature, source names) for a table scored by `score`."""
     learner, encoded = model.stages[-1], contract.encoded
-    if isinstance(learner, OneVsRestModel):
-        ensembles = [read_trees(m, m.treeWeights) for m in learner.models]
-        return tree_contributions(ensembles, contract, "YHAT")
+    if is_booster(model) and task == MULTICLASS:
+        return tree_contributions([read_trees(m, m.treeWeights) for m in model.stages[1:]], contract, "YHAT")
     if hasattr(learner, "treeWeights"):
         weights = list(learner.treeWeights)
         forest = "RandomForest" in type(learner).__name__
@@ -287,8 +266,7 @@ def search(train: DataFrame, validates: Column, target: str, contract: Contract,
     def run(p: dict) -> tuple[float, int | None]:
         model = fit(train, target, contract, spec.algorithm, {**fixed, **p}, use_case.split.seed, task, stats["n"], validates,
                     spec.early_stopping_rounds)
-        rounds = rounds_used(model) if spec.algorithm in BOOSTED and task != MULTICLASS else None
-        return validation_score(staged(score(model, held, task)), target, task, use_case.metric), rounds
+        return validation_score(staged(score(model, held, task)), target, task, use_case.metric), rounds_used(model)
 
     with ThreadPool(max(spec.parallelism, 1)) as pool:
         results = pool.map(run, draws)

@@ -79,9 +79,10 @@ def test_multiclass_explains_the_predicted_class(rows):
 
 def test_parameter_names_map_to_spark():
     booster = L.build_estimator("lightgbm", {"num_leaves": 31, "min_child_samples": 25, "subsample": 0.7, "colsample_bytree": 0.5,
-                                             "learning_rate": 0.03, "n_estimators": 12, "reg_lambda": 1.0}, 5, "binary", 10)
-    assert (booster.getMaxDepth(), booster.getMinInstancesPerNode(), booster.getSubsamplingRate()) == (5, 25, 0.7)
-    assert (booster.getFeatureSubsetStrategy(), booster.getStepSize(), booster.getMaxIter()) == ("0.5", 0.03, 12)
+                                             "learning_rate": 0.03, "n_estimators": 12, "reg_lambda": 3.0, "reg_alpha": 0.1}, 5, "binary", 10)
+    assert (booster.depth, booster.min_rows, booster.subsample, booster.features) == (5, 25, 0.7, "0.5")
+    assert (booster.learning_rate, booster.rounds, booster.reg_lambda, booster.reg_alpha, booster.metric) == (0.03, 12, 3.0, 0.1, None)
+    assert L.build_estimator("xgboost", {}, 5, "binary", 10).metric == "aucpr"
     forest = L.build_estimator("random_forest", {"n_estimators": 9, "max_features": "log2", "min_samples_leaf": 5}, 5, "regression", 10)
     assert (forest.getNumTrees(), forest.getFeatureSubsetStrategy(), forest.getMinInstancesPerNode()) == (9, "log2", 5)
     linear = L.build_estimator("logistic_regression", {"C": 0.5, "max_iter": 30}, 5, "binary", 100)

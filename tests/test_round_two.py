@@ -9,7 +9,7 @@ from lodemark.functions.columns import digest
 from lodemark.operators import encode as E
 from lodemark.operators import ranking as R
 from lodemark.operators import targets as T
-from lodemark.operators.learners import best_round
+from lodemark.operators.boosting import best_round
 from lodemark.operators.monitoring import Reference, drift_windows
 from lodemark.settings import DataSpec
 from lodemark.sources import scans
