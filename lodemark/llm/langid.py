@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodemark.llm.common import packed, unpacked
+from lodemark.sources.scans import Scratch
 
 BITS = 15
 CHUNK_CHARS = 2_000_000
+MAX_LANGUAGES = 512  # 128 KB of probabilities each in every task
 UNDETERMINED = "und"
 
 
@@ -66,11 +68,12 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def learn(labeled: DataFrame, text_col: str, lang_col: str, max_languages: int = 64, smoothing: float = 0.2) -> Languages:
+def learn(labeled: DataFrame, text_col: str, lang_col: str, max_languages: int = MAX_LANGUAGES, smoothing: float = 0.2) -> Languages:
     """Trigram counts per language over all rows with a text and a language.
 
-    Each task adds up its own counts and emits at most languages x 2^15 of them; Spark sums these. The driver receives that
-    bounded table: more than max_languages languages are refused. Rows with a null text or language teach nothing.
+    Each task adds up its own counts and emits at most 2^15 of them a language; Spark sums these. The driver receives the table
+    of max_languages languages at most, those with the most trigrams (ties to the smaller name); texts in any other one are
+    given to the likeliest that was learned. Rows with a null text or language teach nothing.
     """
     rows = labeled.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -84,17 +87,21 @@ def learn(labeled: DataFrame, text_col: str, lang_col: str, max_languages: int =
                 for a, b in _chunks(mine):
                     found = np.bincount(trigrams(mine[a:b])[0], minlength=1 << BITS)
                     sums[lang] = sums[lang] + found if lang in sums else found
-                if len(sums) > max_languages:
-                    raise ValueError(f"more than {max_languages} languages")
+            if len(sums) > max_languages:
+                yield from sent(sums)
+                sums = {}
+        yield from sent(sums)
+
+    def sent(sums: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, n in sums.items():
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["lang", "bucket", "n"])
 
     counts = rows.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    seen = [r[0] for r in counts.select("lang").distinct().limit(max_languages + 1).collect()]
-    if len(seen) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    found = counts.toArrow()
+    counts = Scratch(labeled.sparkSession).write(counts)
+    largest = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    seen = [r[0] for r in largest.collect()]
+    found = counts.where(F.col("lang").isin(seen)).toArrow() if seen else counts.limit(0).toArrow()
     names = tuple(sorted(seen))
     share = np.full((len(names), 1 << BITS), smoothing)
     if names:

@@ -150,7 +150,9 @@ def op4_preference_pairs(spark, sf_dir):
 @query()
 def op5_compression_bands(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.compression_bands(docs, "text", carry=["doc_id"])
+    found = quality.compression_bands(docs, "text", carry=["doc_id"])
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                        "doc_ratio", "n_chunks", "n_bad_chunks")
 
 
 @query()

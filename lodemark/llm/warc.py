@@ -32,6 +32,7 @@ RECORD_ID = "<urn:lodemark:page:{}>"
 # Fixed values of the ZIP format: signatures and the markers that send a reader to the ZIP64 fields.
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 MARK16, MARK32 = 0xFFFF, 0xFFFFFFFF
+TASK_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -232,13 +233,13 @@ def read_index(paths: DataFrame, path_col: str = "path") -> DataFrame:
                     "url": [x["url"] for x in lines], "digest": [x["digest"] for x in lines]})
 
     paths = paths.select(F.col(f"`{path_col}`").alias("path"))
-    return paths.repartition("path").mapInPandas(locate, "path string, offset long, length long, url string, digest string")
+    return paths.repartition(max(1, paths.count()), "path").mapInPandas(locate, "path string, offset long, length long, url string, digest string")
 
 
 def read_records(index: DataFrame, range_bytes: int = 4 << 20, payloads: bool = True) -> DataFrame:
     """The records at the places of the index: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
 
-    Places are dealt out by archive and range of range_bytes; records that follow each other in one range are fetched by one
+    Places are dealt out by archive and range of range_bytes, to as many tasks as the archives need at TASK_BYTES each; records that follow each other in one range are fetched by one
     read. Every response's payload is checked against its size and digest. Without payloads, that column is null.
     """
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -259,6 +260,8 @@ def read_records(index: DataFrame, range_bytes: int = 4 << 20, payloads: bool =
             rows = [(None if r[0] is None else str(r[0]), r[1], r[2] if payloads else None, *r[3:6], None if r[6] is None else str(r[6])) for r in out]
             yield pd.DataFrame(rows, columns=["page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    dealt = index.withColumn("block", F.floor(F.col("offset") / range_bytes)).repartition("path", "block").select("path", "offset", "length")
+    index = Scratch(index.sparkSession).write(index.select("path", "offset", "length"))
+    tasks = (index.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES + 1
+    dealt = index.withColumn("block", F.floor(F.col("offset") / range_bytes)).repartition(tasks, "path", "block").select("path", "offset", "length")
     found = dealt.mapInPandas(fetch, "page_id string, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to string")
     return found.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})

@@ -109,12 +109,6 @@ def test_texts_without_letters(spark, languages):
     assert {r.lang_pred for r in langid.infer(df, "text", nothing).collect()} == {"und"}
 
 
-def test_too_many_languages_are_refused(spark):
-    df = spark.createDataFrame([(k, "abc", f"l{k}", None) for k in range(5)], DOCS)
-    with pytest.raises(Exception, match="more than 3 languages"):
-        langid.learn(df, "text", "lang", max_languages=3)
-
-
 # ---- sentence spans
 
 
