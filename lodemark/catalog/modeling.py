@@ -15,6 +15,7 @@ from lodemark.functions.columns import col
 from lodemark.operators import encode as E
 from lodemark.operators import learners as L
 from lodemark.operators.boosting import FEATURES as VECTOR, LABEL, VALIDATES, Booster, BoosterSpec
+from lodemark.operators.explain import causes_of_array
 from lodemark.operators.metrics import ranking_metrics, regression_metrics
 from lodemark.operators.splits import search_fit_rows
 from lodemark.operators.targets import prepare_target
@@ -93,27 +94,26 @@ for _name, _kind in KINDS.items():
     query(_name, GOOD_SCORES)(score_ranges(*_kind))
 
 
+def unexplained(model, explained, base: list[float], task: str):
+    """Whether a row's contributions and the base value fail to add up to what the model said of it."""
+    total = F.aggregate("PHI", F.lit(0.0), lambda a, b: a + b)
+    if task == "multiclass":
+        total = total + F.get(F.array(*[F.lit(float(v)) for v in base]), F.col("YHAT"))
+    else:
+        total = total + F.lit(float(base[-1]))
+    # a booster's probability is the logistic of its margin
+    said = F.log(F.col("SCORE") / (1 - F.col("SCORE"))) if L.is_booster(model) and task == "binary" else F.col("SCORE")
+    off = F.abs(total - said) > 1e-6 * F.greatest(F.abs(said), F.lit(1.0))
+    return off | off.isNull()
+
+
 def additivity(algorithm: str, task: str, params: dict):
     """Every row's contributions must add up, with the base value, to what the model said."""
     def run(spark, d):
         rows, contract, model = fitted(spark, d, algorithm, task, params)
-        scored = L.score(model, rows, task)
-        phi, _ = L.contributions(model, contract, {}, task)
-        learner = model.stages[-1]
-        weights = list(learner.treeWeights)
-        if algorithm == "random_forest":
-            weights = [w / len(weights) for w in weights]
-        shares = algorithm == "random_forest" and task != "regression"
-        base = L.read_trees(learner, weights, classes=shares).base
-        total = F.aggregate(phi, F.lit(0.0), lambda a, b: a + b)
-        if task == "multiclass":
-            total = total + F.get(F.array(*[F.lit(float(v)) for v in base]), F.col("YHAT"))
-        else:
-            total = total + F.lit(float(base[-1]))
-        # a booster's probability is the logistic of its margin
-        said = F.log(F.col("SCORE") / (1 - F.col("SCORE"))) if (algorithm == "xgboost" and task == "binary") else F.col("SCORE")
-        off = F.abs(total - said) > 1e-6 * F.greatest(F.abs(said), F.lit(1.0))
-        return scored.agg(F.count("*").alias("N"), F.count_if(off | off.isNull()).alias("N_BAD"))
+        explained, _ = L.contributions(model, L.score(model, rows, task), contract, {}, task)
+        off = unexplained(model, explained, L.leaves(model, task).base(), task)
+        return explained.agg(F.count("*").alias("N"), F.count_if(off).alias("N_BAD"))
     return run
 
 
@@ -122,11 +122,21 @@ query("tree_contributions_forest", EVERY_ROW)(additivity("random_forest", "multi
 query("tree_contributions_regression", EVERY_ROW)(additivity("xgboost", "regression", BOOST))
 
 
-@query("tree_causes")
+@query("tree_causes", with_sql(BASE_SQL, select="SELECT ROW_ID, true AS ADDS_UP, true AS IN_ORDER, true AS ALL_NAMED FROM base"))
 def tree_causes(spark, d):
+    """Causes of every row by a booster: its contributions add up to its score; the causes are its largest positive ones, falling,
+    and fewer than three only where fewer are positive."""
     rows, contract, model = fitted(spark, d, "xgboost", "binary", BOOST)
-    scored = L.score(model, rows, "binary")
-    return scored.select("ROW_ID", "SCORE", L.causes(model, scored, contract, {}, "binary", 3).alias("PROBABLE_CAUSES"))
+    explained, sources = L.contributions(model, L.score(model, rows, "binary"), contract, {}, "binary")
+    off = unexplained(model, explained, L.leaves(model, "binary").base(), "binary")
+    told = explained.select("ROW_ID", "PHI", off.alias("OFF"), causes_of_array(F.col("PHI"), sources, 3).alias("PROBABLE_CAUSES"))
+    names = F.array(*[F.lit(s) for s in sources])
+    named = F.filter(F.split(F.coalesce("PROBABLE_CAUSES", F.lit("")), r" \| "), lambda c: c != "")
+    weights = F.transform(named, lambda c: F.get("PHI", F.array_position(names, c).cast("int") - 1))
+    positive = F.filter("PHI", lambda v: v > 0)
+    largest = F.slice(F.reverse(F.array_sort(positive)), 1, 3)
+    return told.select("ROW_ID", (~F.col("OFF")).alias("ADDS_UP"), (weights == largest).alias("IN_ORDER"),
+                       (F.size(named) == F.least(F.size(positive), F.lit(3))).alias("ALL_NAMED"))
 
 
 @query("search_trials", "SELECT RANK, true AS IN_ORDER, true AS IN_RANGE, true AS IN_SPACE FROM (VALUES (1), (2)) v(RANK)")

@@ -1,24 +1,24 @@
 """Why a row scored as it did: contributions per source feature, and the causes text built from them.
 
 Linear models and the importance fallback are plain column arithmetic. Tree ensembles use path-dependent Shapley
-values (Lundberg et al., "Consistent Individualized Feature Attribution for Tree Ensembles"); that is the only Python
-that touches rows, as an Arrow-batched function over the feature columns.
+values (Lundberg et al., "Consistent Individualized Feature Attribution for Tree Ensembles"): root-to-leaf paths are
+joined level by level into a table in the shared folder, blocks of rows meet blocks of leaves, and the parts are summed.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodemark.functions.columns import causes_from, col
 from lodemark.operators.encode import Contract
-from lodemark.sources.scans import Scratch
+from lodemark.sources.scans import Scratch, staged
 
 
 def feature_means(df: DataFrame, encoded: Sequence[str]) -> dict[str, float]:
@@ -74,74 +74,116 @@ def causes_of_array(phi: Column, sources: Sequence[str], top: int) -> Column:
 
 # --------------------------------------------------------------------------------------------- tree ensembles
 
-@dataclass
-class Paths:
-    """All root-to-leaf paths with one number of features: leaves × features, and leaves × values (one, or one per class)."""
-
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    kept: np.ndarray
-    value: np.ndarray
+LEAVES_AT_ONCE = 20_000        # leaves of a block
+FEATURES_AT_ONCE = 4_000_000   # feature values of a block of rows
+CELLS = 4_000_000              # rows × leaves × features held at once while explaining
+SIDES = ("FEATURES", "LOW", "HIGH", "KEPT")
 
 
 @dataclass
-class Ensemble:
-    """Paths by their length. Per feature on a path: the interval that leads to the leaf and the share of training weight kept."""
+class Leaves:
+    """Root-to-leaf paths of one ensemble, or of one per class, in the shared folder, and the blocks of each ensemble.
+
+    Columns: ENSEMBLE, BLOCK, TREE, LEAF; per feature on the path the arrays FEATURES (ascending), LOW and HIGH (the interval
+    that leads to the leaf) and KEPT (the share of training weight kept); VALUES, one value or one per class.
+    """
 
-    paths: dict[int, Paths] = field(default_factory=dict)
+    table: DataFrame
+    blocks: list[int]
 
-    @property
-    def base(self) -> np.ndarray:
-        return sum((p.value * p.kept.prod(axis=1, keepdims=True)).sum(axis=0) for p in self.paths.values())
+    def base(self) -> list[float]:
+        """What the ensembles say of a row of which nothing is known, per position of VALUES."""
+        chance = F.aggregate("KEPT", F.lit(1.0), lambda a, k: a * k)
+        each = self.table.select(F.posexplode(F.transform("VALUES", lambda v: v * chance)).alias("AT", "VALUE"))
+        return [r["VALUE"] for r in each.groupBy("AT").agg(F.sum("VALUE").alias("VALUE")).orderBy("AT").collect()]
 
 
-def read_trees(learner, weights: Sequence[float], classes: bool = False) -> Ensemble:
-    """Leaves of a fitted Spark ensemble; with `classes`, a leaf's value is its class shares.
+def read_trees(learners: Sequence, weights: Sequence[Sequence[float]], classes: bool = False) -> Leaves:
+    """Leaves of fitted Spark ensembles; with `classes`, a leaf's values are its class shares.
 
-    The model is saved to the shared folder and its node table read back in one job: no node is asked for one by one.
+    Models are saved to the shared folder and their node tables read back. Paths grow by one join with the nodes per level, all
+    trees together; neither a node nor a path comes to the driver.
     """
     spark = SparkSession.active()
     scratch = Scratch(spark)
-    learner.write().save(f"{scratch.root}/trees")
-    rows = spark.read.parquet(f"{scratch.root}/trees/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, Row]] = {}
-    for row in rows:
-        trees.setdefault(row["treeID"], {})[row["id"]] = row
-    leaves = [leaf for tree, weight in enumerate(weights) for leaf in _leaves(trees[tree], float(weight), classes)]
-    by_length: dict[int, list[tuple]] = {}
-    for leaf in leaves:
-        by_length.setdefault(len(leaf[0]), []).append(leaf)
-    return Ensemble({d: Paths(np.array([x[0] for x in same], int).reshape(len(same), d),
-                              *[np.array([x[k] for x in same], float).reshape(len(same), d) for k in (1, 2, 3)],
-                              np.array([x[4] for x in same], float)) for d, same in by_length.items()})
-
-
-def _leaves(nodes: dict[int, Row], weight: float, classes: bool) -> list[tuple]:
-    """(features, lower bounds, upper bounds, shares kept, value) of each leaf of one tree."""
-    def cover(row: Row) -> float:
-        return sum(row["impurityStats"]) if classes else row["impurityStats"][0]
-
-    out, open_paths = [], [(0, {})]
-    while open_paths:
-        number, path = open_paths.pop()
-        row = nodes[number]
-        if row["leftChild"] < 0:
-            names = sorted(path)
-            value = [weight * v / cover(row) for v in row["impurityStats"]] if classes else [weight * row["prediction"]]
-            out.append((names, *[[path[f][k] for f in names] for k in range(3)], value))
-            continue
-        feature, threshold = row["split"]["featureIndex"], row["split"]["leftCategoriesOrThreshold"][0]
-        low, high, kept = path.get(feature, (-math.inf, math.inf, 1.0))
-        for child, bounds in ((row["leftChild"], (low, min(high, threshold))), (row["rightChild"], (max(low, threshold), high))):
-            open_paths.append((child, {**path, feature: (*bounds, kept * cover(nodes[child]) / cover(row))}))
-    return out
+    nodes = scratch.write(_nodes(spark, scratch, learners, weights, classes))
+    empty = [F.array().cast("array<int>").alias("FEATURES"), *[F.array().cast("array<double>").alias(c) for c in SIDES[1:]]]
+    level = scratch.write(nodes.where("ID = 0").select(*nodes.columns, *empty))
+    finished = []
+    while True:
+        finished.append(level.where("LEFT_ID < 0").select("ENSEMBLE", "TREE", F.col("ID").alias("LEAF"), *SIDES, "VALUES"))
+        inner = level.where("LEFT_ID >= 0")
+        if inner.isEmpty():
+            break
+        level = scratch.write(_children(inner, nodes))
+    paths = finished[0]
+    for more in finished[1:]:
+        paths = paths.unionByName(more)
+    found = {r["ENSEMBLE"]: r["count"] for r in paths.groupBy("ENSEMBLE").count().collect()}
+    blocks = [max(1, math.ceil(found[k] / LEAVES_AT_ONCE)) for k in range(len(found))]
+    of = F.get(F.array(*[F.lit(b) for b in blocks]), F.col("ENSEMBLE"))
+    return Leaves(scratch.write(paths.withColumn("BLOCK", F.pmod(F.xxhash64("TREE", "LEAF"), of).cast("int"))), blocks)
+
+
+def _nodes(spark: SparkSession, scratch: Scratch, learners: Sequence, weights: Sequence[Sequence[float]], classes: bool) -> DataFrame:
+    """Nodes of all ensembles: children, split, training weight, and the weighted values of a leaf."""
+    both = []
+    for k, (learner, tree_weights) in enumerate(zip(learners, weights)):
+        learner.write().save(f"{scratch.root}/trees-{k}")
+        both.append(spark.read.parquet(f"{scratch.root}/trees-{k}/data").select(F.lit(k).alias("ENSEMBLE"), F.col("treeID").alias("TREE"), "nodeData.*"))
+    rows = both[0]
+    for more in both[1:]:
+        rows = rows.unionByName(more)
+    per_tree = spark.createDataFrame([(k, t, float(w)) for k, ws in enumerate(weights) for t, w in enumerate(ws)], "ENSEMBLE int, TREE int, WEIGHT double")
+    stats = F.col("impurityStats")
+    cover = F.aggregate(stats, F.lit(0.0), lambda a, v: a + v) if classes else stats[0]
+    values = F.transform(stats, lambda v: F.col("WEIGHT") * v / cover) if classes else F.array(F.col("WEIGHT") * F.col("prediction"))
+    return rows.join(per_tree, ["ENSEMBLE", "TREE"]).select(
+        "ENSEMBLE", "TREE", F.col("id").alias("ID"), F.col("leftChild").alias("LEFT_ID"), F.col("rightChild").alias("RIGHT_ID"),
+        F.col("split.featureIndex").alias("SPLIT_ON"), F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("THRESHOLD"),
+        cover.alias("COVER"), values.alias("VALUES"))
+
+
+def _children(inner: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The next level: both children of every inner node, their paths narrowed by its split. A feature met before keeps its place."""
+    sides = F.explode(F.array(F.struct(F.col("LEFT_ID").alias("ID"), F.lit(-math.inf).alias("LOW"), F.col("THRESHOLD").alias("HIGH")),
+                              F.struct(F.col("RIGHT_ID").alias("ID"), F.col("THRESHOLD").alias("LOW"), F.lit(math.inf).alias("HIGH"))))
+    step = inner.select("ENSEMBLE", "TREE", F.col("SPLIT_ON").alias("ON"), F.col("COVER").alias("WAS"),
+                        F.arrays_zip(*SIDES).alias("PATH"), sides.alias("SIDE")).withColumn("ID", F.col("SIDE.ID"))
+    share = F.col("COVER") / F.col("WAS")
+    old = F.get(F.filter("PATH", lambda e: e["FEATURES"] == F.col("ON")), F.lit(0))
+    here = F.struct(F.col("ON").alias("FEATURES"), F.greatest(F.coalesce(old["LOW"], F.lit(-math.inf)), F.col("SIDE.LOW")).alias("LOW"),
+                    F.least(F.coalesce(old["HIGH"], F.lit(math.inf)), F.col("SIDE.HIGH")).alias("HIGH"),
+                    (F.coalesce(old["KEPT"], F.lit(1.0)) * share).alias("KEPT"))
+    path = F.array_sort(F.concat(F.filter("PATH", lambda e: e["FEATURES"] != F.col("ON")), F.array(here)))
+    joined = step.join(nodes, ["ENSEMBLE", "TREE", "ID"]).withColumn("PATH", path)
+    return joined.select(*nodes.columns, *[F.col(f"PATH.{c}").alias(c) for c in SIDES])
 
 
-CELLS = 4_000_000   # rows × leaves × features held at once while explaining
+@dataclass
+class Paths:
+    """Paths with one number of features: leaves × features, and leaves × values."""
+
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    kept: np.ndarray
+    value: np.ndarray
+
+
+def paths_of(leaves: pa.Table) -> list[Paths]:
+    """Rows of a leaf table by the length of their paths; paths without a feature explain nothing and are left out."""
+    leaves = leaves.sort_by([("TREE", "ascending"), ("LEAF", "ascending")])
+    lengths = np.fromiter((len(f) for f in leaves["FEATURES"]), int, len(leaves))
+    out = []
+    for d in np.unique(lengths[lengths > 0]):
+        same = leaves.filter(pa.array(lengths == d))
+        grids = [same[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(same), -1) for c in (*SIDES, "VALUES")]
+        out.append(Paths(*grids))
+    return out
 
 
-def shapley_values(x: np.ndarray, ensemble: Ensemble, pick: np.ndarray | None = None) -> np.ndarray:
+def shapley_values(x: np.ndarray, paths: Sequence[Paths], pick: np.ndarray | None = None) -> np.ndarray:
     """(rows × features) Shapley values. `pick` chooses the class per row when leaves hold class shares.
 
     For a leaf with features F on its path, a subset S of them reaches it with weight Π_S reached · Π_{F\\S} kept. The
@@ -149,16 +191,18 @@ def shapley_values(x: np.ndarray, ensemble: Ensemble, pick: np.ndarray | None =
     the subsets without that feature. All leaves with paths of one length are computed together, for a slice of rows.
     """
     out = np.zeros(x.shape)
-    for d, paths in ensemble.paths.items():
-        if not d:
-            continue
-        step = max(1, CELLS // (len(paths.features) * (d + 1)))
-        onto = [np.eye(x.shape[1])[paths.features[:, j]] for j in range(d)]
+    for same in paths:
+        leaves, d = same.features.shape
+        step = max(1, CELLS // (leaves * (d + 1)))
+        runs = []
+        for j in range(d):
+            order = np.argsort(same.features[:, j], kind="stable")
+            runs.append((order, *np.unique(same.features[order, j], return_index=True)))
         for at in range(0, len(x), step):
             rows = slice(at, at + step)
-            value = paths.value[:, pick[rows]].T if pick is not None and paths.value.shape[1] > 1 else paths.value[:, -1]
-            for j, total in enumerate(_shares(x[rows], paths, d)):
-                out[rows] += (value * total) @ onto[j]
+            value = same.value[:, pick[rows]].T if pick is not None and same.value.shape[1] > 1 else same.value[:, -1]
+            for (order, features, starts), total in zip(runs, _shares(x[rows], same, d)):
+                out[rows][:, features] += np.add.reduceat((value * total)[:, order], starts, axis=1)
     return out
 
 
@@ -184,33 +228,50 @@ def _shares(x: np.ndarray, paths: Paths, d: int) -> list[np.ndarray]:
     return out
 
 
-def tree_contributions(ensembles: Sequence[Ensemble], contract: Contract, predicted: str | None = None) -> tuple[Column, list[str]]:
-    """(array column of contributions per source feature, the source names in order).
+def tree_contributions(df: DataFrame, leaves: Leaves, contract: Contract, predicted: str | None = None) -> tuple[DataFrame, list[str]]:
+    """(the rows with PHI, an array of contributions per source feature, and the source names in order).
 
-    One ensemble: its values, for the class in `predicted` when leaves hold class shares. Several: one per class, and
-    the one of the predicted class answers.
+    One ensemble: its values, for the class in `predicted` when leaves hold class shares. Several: one per class, and the one of
+    the predicted class answers; a row without such a class has zeros. Rows are written once under a number of their own. Every
+    block of rows meets every block of leaves of its ensemble in a task of its own, so neither the rows nor the trees need
+    fit into one; the parts of a row are added in the order of their blocks.
     """
     encoded, sources = contract.encoded, list(dict.fromkeys(f.source for f in contract.features))
     position = {s: i for i, s in enumerate(sources)}
     fold = np.zeros((len(encoded), len(sources)))
     for i, f in enumerate(contract.features):
         fold[i, position[f.source]] = 1.0
-    ensembles = list(ensembles)
-
-    @F.pandas_udf("array<double>")
-    def explain(rows: pd.DataFrame) -> pd.Series:
-        x = rows[encoded].to_numpy(dtype=float)
-        pick = rows["_CLASS"].to_numpy(dtype=int) if "_CLASS" in rows else None
-        if len(ensembles) == 1:
-            phi = shapley_values(x, ensembles[0], pick)
-        else:
-            phi = np.zeros(x.shape)
-            for k, ensemble in enumerate(ensembles):
-                mine = pick == k
-                phi[mine] = shapley_values(x[mine], ensemble)
-        return pd.Series(list(phi @ fold))
-
-    inputs = [col(c).alias(c) for c in encoded]
-    if predicted:
-        inputs.append(col(predicted).cast("int").alias("_CLASS"))
-    return explain(F.struct(*inputs)), sources
+    wide = len(encoded)
+    picked = predicted is not None
+
+    def explain(rows: pa.Table, leaf_rows: pa.Table) -> pa.Table:
+        x = rows["_X"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), wide)
+        pick = rows["_CLASS"].to_numpy() if picked else None
+        phi = shapley_values(x, paths_of(leaf_rows), pick) @ fold
+        offsets = pa.array(np.arange(0, phi.size + 1, len(sources)), pa.int32())
+        return pa.table({"_ROW": rows["_ROW"], "_BLOCK": rows["_BLOCK"], "PHI": pa.ListArray.from_arrays(offsets, pa.array(phi.ravel()))})
+
+    held = staged(df.drop("PHI").withColumn("_ROW", F.monotonically_increasing_id()))
+    n = held.count()
+    parts = max(1, min(n, df.sparkSession.sparkContext.defaultParallelism), math.ceil(n * wide / FEATURES_AT_ONCE))
+    kind = col(predicted).cast("int") if picked else F.lit(0)
+    several = len(leaves.blocks) > 1
+    rows = held.select("_ROW", F.pmod(F.xxhash64("_ROW"), F.lit(parts)).cast("int").alias("_PART"),
+                       F.array(*[col(c).cast("double") for c in encoded]).alias("_X"), kind.alias("_CLASS")).where("_CLASS IS NOT NULL")
+    rows = rows.withColumn("_ENSEMBLE", F.col("_CLASS") if several else F.lit(0))
+    counts = F.get(F.array(*[F.lit(b) for b in leaves.blocks]), F.col("_ENSEMBLE"))
+    rows = rows.withColumn("_BLOCK", F.explode(F.sequence(F.lit(0), counts - 1)))
+    spread = leaves.table.withColumnsRenamed({"ENSEMBLE": "_ENSEMBLE", "BLOCK": "_BLOCK"}).withColumn(
+        "_PART", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    keys = ["_PART", "_ENSEMBLE", "_BLOCK"]
+    found = rows.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(explain, "_ROW bigint, _BLOCK int, PHI array<double>")
+    if max(leaves.blocks) > 1:
+        several_parts = F.array_sort(F.collect_list(F.struct("_BLOCK", "PHI")))
+        added = F.aggregate(several_parts, zeros(sources), lambda a, e: F.zip_with(a, e["PHI"], lambda u, v: u + v))
+        found = found.groupBy("_ROW").agg(added.alias("PHI"))
+    out = held.join(found.select("_ROW", "PHI"), "_ROW", "left")
+    return out.select(*[col(c) for c in held.columns if c != "_ROW"], F.coalesce("PHI", zeros(sources)).alias("PHI")), sources
+
+
+def zeros(sources: Sequence[str]) -> Column:
+    return F.array_repeat(F.lit(0.0), len(sources))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lodemark.functions.columns import best_class, col
 from lodemark.operators.boosting import FEATURES, LABEL, VALIDATES, WEIGHT, Booster, BoosterSpec, probabilities
 from lodemark.operators.encode import Contract
-from lodemark.operators.explain import (causes_of_array, centred_contributions, feature_means, read_trees,
+from lodemark.operators.explain import (Leaves, causes_of_array, centred_contributions, feature_means, read_trees,
                                         tree_contributions)
 from lodemark.operators.metrics import confusion_metrics, macro_metrics, ranking_metrics, regression_metrics
 from lodemark.operators.targets import balanced_weights
@@ -189,33 +189,34 @@ def class_probabilities(model: PipelineModel) -> tuple[Column, int]:
 
 # -------------------------------------------------------------------------------------------------- explanation
 
-def causes(model: PipelineModel, scored: DataFrame, contract: Contract, means: dict[str, float], task: str, top: int) -> Column:
-    """PROBABLE_CAUSES of every scored row, for the predicted class when there are several."""
-    phi, sources = contributions(model, contract, means, task)
-    return causes_of_array(phi, sources, top)
+def causes(model: PipelineModel, scored: DataFrame, contract: Contract, means: dict[str, float], task: str, top: int) -> DataFrame:
+    """The scored rows with PROBABLE_CAUSES, for the predicted class when there are several."""
+    explained, sources = contributions(model, scored, contract, means, task)
+    return explained.withColumn("PROBABLE_CAUSES", causes_of_array(F.col("PHI"), sources, top)).drop("PHI")
 
 
-def contributions(model: PipelineModel, contract: Contract, means: dict[str, float], task: str) -> tuple[Column, list[str]]:
-    """(array of contributions per source feature, source names) for a table scored by `score`."""
+def leaves(model: PipelineModel, task: str) -> Leaves:
+    """Leaf table of a fitted tree ensemble; several classes have one ensemble each in a booster, class shares in a forest."""
+    if is_booster(model):
+        boosters = model.stages[1:] if task == MULTICLASS else model.stages[-1:]
+        return read_trees(boosters, [m.treeWeights for m in boosters])
+    forest = model.stages[-1]
+    return read_trees([forest], [[w / forest.getNumTrees for w in forest.treeWeights]], classes=task != REGRESSION)
+
+
+def contributions(model: PipelineModel, scored: DataFrame, contract: Contract, means: dict[str, float], task: str) -> tuple[DataFrame, list[str]]:
+    """(rows scored by `score` with PHI, an array of contributions per source feature, and the source names)."""
     learner, encoded = model.stages[-1], contract.encoded
-    if is_booster(model) and task == MULTICLASS:
-        return tree_contributions([read_trees(m, m.treeWeights) for m in model.stages[1:]], contract, "YHAT")
     if hasattr(learner, "treeWeights"):
-        weights = list(learner.treeWeights)
-        forest = "RandomForest" in type(learner).__name__
-        if forest:
-            weights = [w / len(weights) for w in weights]
-        shares = forest and task != REGRESSION
-        return tree_contributions([read_trees(learner, weights, classes=shares)], contract,
-                                  "YHAT" if task == MULTICLASS else None)
+        return tree_contributions(scored, leaves(model, task), contract, "YHAT" if task == MULTICLASS else None)
     if task == MULTICLASS:
         rows = learner.coefficientMatrix.toArray()
         sources = list(dict.fromkeys(f.source for f in contract.features))
         per_class = [centred_contributions(dict(zip(encoded, r)), means, contract.sources) for r in rows]
         table = F.array(*[F.array(*[c[s] for s in sources]) for c in per_class])
-        return F.get(table, F.col("YHAT")), sources
+        return scored.withColumn("PHI", F.get(table, F.col("YHAT"))), sources
     by_source = centred_contributions(dict(zip(encoded, learner.coefficients.toArray())), means, contract.sources)
-    return F.array(*by_source.values()), list(by_source)
+    return scored.withColumn("PHI", F.array(*by_source.values())), list(by_source)
 
 
 def importance_contributions(model: PipelineModel, contract: Contract, means: dict[str, float]) -> dict[str, Column]:

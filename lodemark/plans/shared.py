@@ -62,10 +62,10 @@ def monitor_columns(scored: DataFrame, model: PipelineModel, contract: Contract,
     else:
         prediction = F.col("YHAT").cast("double" if task == REGRESSION else "int")
     band = F.lit(None).cast("string") if task == REGRESSION else risk_band(F.col("SCORE"), high, medium)
-    causes = learners.causes(model, scored, contract, means, task, use_case.scoring.causes_per_row)
-    return scored.select(
+    explained = learners.causes(model, scored, contract, means, task, use_case.scoring.causes_per_row)
+    return explained.select(
         *[col(c) for c in carried], *[col(c) for c in contract.encoded], F.col("SCORE").alias(score_column(task)),
-        prediction.alias("PREDICTION"), band.alias("RISK_BAND"), causes.alias("PROBABLE_CAUSES"),
+        prediction.alias("PREDICTION"), band.alias("RISK_BAND"), "PROBABLE_CAUSES",
         scored_at.alias("SCORED_AT"), matures_at(scored_at, use_case.scoring.horizon_days).alias("LABEL_MATURE_AT"),
         F.lit(version).alias("MODEL_VERSION"))
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lodemark.operators import encode as E
 from lodemark.operators import learners as L
-from lodemark.operators.explain import Ensemble, read_trees, shapley_values
+from lodemark.operators import explain
+from lodemark.operators.explain import paths_of, shapley_values
 
 
 @pytest.fixture(scope="module")
@@ -22,10 +23,10 @@ def rows(spark):
 CONTRACT = E.Contract((E.Feature("A", "A", E.NUM), E.Feature("B", "G", E.CAT_OHE), E.Feature("C", "G", E.CAT_OHE)))
 
 
-def brute_force(x, ensemble: Ensemble, features: int):
+def brute_force(x, by_length, features: int):
     def expected(known):
         total = 0.0
-        for paths in ensemble.paths.values():
+        for paths in by_length:
             for k, value in enumerate(paths.value):
                 weight = 1.0
                 for f, low, high, kept in zip(paths.features[k], paths.low[k], paths.high[k], paths.kept[k]):
@@ -45,25 +46,52 @@ def brute_force(x, ensemble: Ensemble, features: int):
 
 def test_tree_shapley_values_match_brute_force(rows):
     model = L.fit(rows, "Y", CONTRACT, "xgboost", {"n_estimators": 4, "max_depth": 4}, 1, "regression", 600)
-    learner = model.stages[-1]
-    ensemble = read_trees(learner, learner.treeWeights)
+    leaves = L.leaves(model, "regression")
+    paths = paths_of(leaves.table.toArrow())
     x = rows.limit(40).select("A", "B", "C").toPandas().to_numpy()
-    got = shapley_values(x, ensemble)
+    got = shapley_values(x, paths)
     for i in range(len(x)):
-        assert got[i] == pytest.approx(brute_force(x[i], ensemble, 3), abs=1e-9)
+        assert got[i] == pytest.approx(brute_force(x[i], paths, 3), abs=1e-9)
     said = [r["prediction"] for r in model.transform(rows.limit(40)).select("prediction").collect()]
-    assert got.sum(axis=1) + float(ensemble.base[0]) == pytest.approx(said, abs=1e-9)
+    assert got.sum(axis=1) + leaves.base()[0] == pytest.approx(said, abs=1e-9)
+
+
+def test_blocks_of_rows_and_leaves_add_up_to_the_whole(rows, monkeypatch):
+    """A forest and a booster of three classes, cut into many blocks, explain every row as they do in one."""
+    for algorithm, params in (("random_forest", {"n_estimators": 6, "max_depth": 4}), ("xgboost", {"n_estimators": 4, "max_depth": 3})):
+        model = L.fit(rows, "M", CONTRACT, algorithm, params, 1, "multiclass", 600)
+        scored = L.score(model, rows, "multiclass").persist()
+        whole, sources = L.contributions(model, scored, CONTRACT, {}, "multiclass")
+        monkeypatch.setattr(explain, "LEAVES_AT_ONCE", 5)
+        monkeypatch.setattr(explain, "FEATURES_AT_ONCE", 60)
+        assert max(L.leaves(model, "multiclass").blocks) > 2
+        cut, _ = L.contributions(model, scored, CONTRACT, {}, "multiclass")
+        monkeypatch.undo()
+        want = {r["id"]: r["PHI"] for r in whole.select("id", "PHI").collect()}
+        got = {r["id"]: r["PHI"] for r in cut.select("id", "PHI").collect()}
+        assert sources == ["A", "G"] and len(want) == 600 and got.keys() == want.keys()
+        assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want) and any(v != [0.0, 0.0] for v in want.values())
+
+
+def test_rows_without_a_class_and_empty_tables_are_explained(rows):
+    """A row without a predicted class has zeros; a table without rows stays empty and keeps its columns."""
+    model = L.fit(rows, "M", CONTRACT, "xgboost", {"n_estimators": 2, "max_depth": 2}, 1, "multiclass", 600)
+    scored = L.score(model, rows.limit(20), "multiclass").withColumn("YHAT", F.when(F.col("id") > 9, F.col("YHAT")))
+    explained, _ = L.contributions(model, scored, CONTRACT, {}, "multiclass")
+    assert explained.where("id <= 9 AND PHI = array(0d, 0d)").count() == 10 and explained.count() == 20
+    empty, _ = L.contributions(model, scored.where("false"), CONTRACT, {}, "multiclass")
+    assert empty.columns == [*scored.columns, "PHI"] and empty.isEmpty()
 
 
 def test_linear_contributions_explain_the_margin(rows):
     model = L.fit(rows, "Y", CONTRACT, "logistic_regression", {"C": 1.0, "max_iter": 50}, 1, "binary", 600)
     means = L.training_means(rows, CONTRACT)
     scored = L.score(model, rows, "binary")
-    phi, sources = L.contributions(model, CONTRACT, means, "binary")
+    scored, sources = L.contributions(model, scored, CONTRACT, means, "binary")
     assert sources == ["A", "G"]
     w, b = model.stages[-1].coefficients.toArray(), model.stages[-1].intercept
     base = b + sum(c * means[n] for c, n in zip(w, "ABC"))
-    off = F.abs(F.aggregate(phi, F.lit(0.0), lambda x, y: x + y) + base - F.log(F.col("SCORE") / (1 - F.col("SCORE"))))
+    off = F.abs(F.aggregate("PHI", F.lit(0.0), lambda x, y: x + y) + base - F.log(F.col("SCORE") / (1 - F.col("SCORE"))))
     assert scored.agg(F.max(off)).first()[0] < 1e-9
 
 
@@ -72,7 +100,7 @@ def test_multiclass_explains_the_predicted_class(rows):
         model = L.fit(rows, "M", CONTRACT, algorithm, params, 1, "multiclass", 600)
         scored = L.score(model, rows, "multiclass")
         causes = L.causes(model, scored, CONTRACT, L.training_means(rows, CONTRACT), "multiclass", 2)
-        got = scored.select("SCORE", "YHAT", causes.alias("c")).collect()
+        got = causes.select("SCORE", "YHAT", F.col("PROBABLE_CAUSES").alias("c")).collect()
         assert all(1 / 3 - 1e-9 <= r["SCORE"] <= 1 and r["YHAT"] in (0, 1, 2) for r in got)
         assert any(r["c"] for r in got)
 
