@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodemark.functions.columns import col, normalize_category, numeric_column
 from lodemark.operators.ranking import order_statistics
 from lodemark.settings import DataSpec
+from lodemark.sources.scans import staged
 
 CAT_OHE, NUM = "CAT_OHE", "NUM"
 MAX_ENCODED = 10_000  # encoded columns beyond this cannot be one Spark row; refuse instead of dropping any
@@ -133,18 +134,19 @@ def refuse_duplicates(names: Iterable[str]):
 def fit_imputation(df: DataFrame, columns: Sequence[str], median: Iterable[str] = ()) -> dict[str, float]:
     """Fill values for the columns that have gaps: exact interpolated median where asked, mean otherwise.
 
-    A column without gaps gets none; an all-NULL column gets 0.0. One aggregate gives counts and means; medians are
-    order statistics, so nothing is sorted or held in one task.
+    A column without gaps gets none; an all-NULL column gets 0.0. The columns are written once; one aggregate gives counts and
+    means, and the medians of all columns are order statistics found together, so nothing is sorted or held in one task.
     """
     median = set(median)
     if not columns:
         return {}
+    df = staged(df.select(*[col(c) for c in dict.fromkeys(columns)]))
     stats = df.agg(F.count("*").alias("_ROWS"), *[
         F.struct(F.count(col(c)).alias("n"), F.avg(col(c)).alias("mean")).alias(c) for c in columns]).first()
     gaps = [c for c in columns if stats[c]["n"] < stats["_ROWS"]]
     fills = {c: float(stats[c]["mean"] or 0.0) for c in gaps}
     middle = [c for c in gaps if c in median and stats[c]["n"] > 0]
-    found = order_statistics(df, [pair for c in middle for pair in ((c, lambda n: (n + 1) // 2), (c, lambda n: n // 2 + 1))])
+    found = order_statistics(df, [pair for c in middle for pair in ((c, lambda n: (n + 1) // 2), (c, lambda n: n // 2 + 1))], written=True)
     for i, c in enumerate(middle):
         fills[c] = (found[2 * i].value + found[2 * i + 1].value) / 2
     return fills

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodemark.functions.columns import col, stable_bucket
 from lodemark.operators.joins import latest_per_key
 from lodemark.operators.ranking import SLICE_ROWS, order_statistics, percent_ranks
+from lodemark.sources.scans import staged
 
 NOISE_STEPS = 100_000
 
@@ -34,10 +35,10 @@ def synthetic_outcomes(feed: DataFrame, key: str, ts: str, tiebreak: list[str],
     `rate * (n − 1)` better rows ahead of it.
     """
     latest = latest_per_key(feed, [key], ts, tiebreak)
-    inputs = latest.select(
+    inputs = staged(latest.select(
         col(key),
         *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(f"V_{c}") for c in rule.ranked],
-        *[F.when(F.expr(condition), 1).otherwise(0).alias(f"F_{i}") for i, condition in enumerate(rule.flags)])
+        *[F.when(F.expr(condition), 1).otherwise(0).alias(f"F_{i}") for i, condition in enumerate(rule.flags)]))
     ranked = percent_ranks(inputs, {f"R_{c}": f"V_{c}" for c in rule.ranked}, rows_per_slice=rows_per_slice)
     total = F.lit(0.0)
     for c, weight in rule.ranked.items():
@@ -45,10 +46,10 @@ def synthetic_outcomes(feed: DataFrame, key: str, ts: str, tiebreak: list[str],
     for i, weight in enumerate(rule.flags.values()):
         total = total + F.lit(weight) * F.col(f"F_{i}")
     total = total + F.lit(rule.noise) * (stable_bucket(col(key), NOISE_STEPS) / F.lit(float(NOISE_STEPS)))
-    scored = ranked.select(col(key), total.alias("_S"))
+    scored = staged(ranked.select(col(key), total.alias("_S")))
 
     ahead = lambda n: 1 if n == 1 else math.ceil(rule.rate * (n - 1))
     negated = scored.select((-F.col("_S")).alias("s"))
-    found = order_statistics(negated, [("s", lambda n: max(ahead(n), 1))])[0]
+    found = order_statistics(negated, [("s", lambda n: max(ahead(n), 1))], written=True)[0]
     cut = F.lit(None) if found is None or ahead(found.rows) == 0 else F.lit(-found.value)
     return scored.select(col(key), F.when(F.col("_S") >= cut, 1).otherwise(0).alias(flag), F.round("_S", 4).alias(score))

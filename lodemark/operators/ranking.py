@@ -2,9 +2,9 @@
 
 A window ordered over the full table runs in one task. Two tools replace it:
 
-* `order_statistics` answers "which value has rank k" exactly by narrowing a histogram: each round counts rows per
-  bin (map-side combined, at most a few thousand numbers leave a task) and keeps only the bin that holds rank k.
-  No row is shuffled, whatever the skew.
+* `order_statistics` answers "which value has rank k" exactly by narrowing histograms: each round counts rows per
+  (interval, bin), for all columns and ranks in one aggregate (map-side combined, at most `BINS` and 16 per interval leave a
+  task), and keeps only the bins that hold the ranks. No row is shuffled, whatever the skew.
 * `running_totals` gives the cumulative sums over a sorted column. Rows are first folded to one per distinct value,
   then cut into contiguous slices of bounded size; each slice is summed on its own and shifted by the total of the
   slices before it. Slice edges come from an approximate quantile, which only affects balance: the result is exact.
@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from lodemark.functions.columns import as_ordinal, as_ordinals, col, shuffled_order, without_nan
 from lodemark.operators.joins import salted_join
+from lodemark.sources.scans import staged
 
-GRID = 1000             # histogram bins per narrowing round
-ACCURACY = 20000        # of the approximate quantiles that place the bins
-EXACT_ROWS = 250_000    # an interval this small is ranked exactly in one aggregate (2 MB of doubles)
+GRID = 1000             # histogram bins per interval and narrowing round
+BINS = 20_000           # bins of all intervals in a round; more than 1,250 intervals still get 16 each
+ACCURACY = 20000        # of the approximate quantiles that cut slices
+EXACT_ROWS = 250_000    # all intervals together this small are ranked exactly in one aggregate (2 MB of doubles)
 SLICE_ROWS = 2_000_000  # rows per slice of a running total
 MAX_SLICES = 10_000
 LOOKUP_ROWS = 400_000   # a lookup of up to this many distinct values (counted first) is broadcast
@@ -63,22 +65,23 @@ class _Search:
 
 
 def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, RankRule]], of_all: bool = False,
-                     exact_rows: int = EXACT_ROWS, grid: int = GRID) -> list[OrderStatistic | None]:
+                     exact_rows: int = EXACT_ROWS, grid: int = GRID, written: bool = False) -> list[OrderStatistic | None]:
     """For each (column, rank rule): the value at 1-based ascending rank `rule(n)` among the n non-null rows.
 
     NULL and NaN are ignored, and an empty column gives None. Pass a negated column for a rank from the top. With `of_all` the
-    rule is given the number of all rows. Two jobs up to `exact_rows` rows; one or two more per further factor of `grid`.
+    rule is given the number of all rows. The columns are written once, unless `written` says that `df` is a table already; then
+    two jobs up to `exact_rows` rows and two more per further factor of `grid`, however many columns and ranks are asked for.
     """
     if not wanted:
         return []
     columns = list(dict.fromkeys(c for c, _ in wanted))
     data = df.select(*[without_nan(col(c).cast("double")).alias(c) for c in columns])
+    data = data if written else staged(data)
     head = data.agg(F.count("*").alias("_TOTAL"), *[
-        F.struct(F.count(col(c)).alias("n"), F.min(col(c)).alias("low"), F.max(col(c)).alias("high"),
-                 _marks(col(c), grid).alias("marks")).alias(c) for c in columns
+        F.struct(F.count(col(c)).alias("n"), F.min(col(c)).alias("low"), F.max(col(c)).alias("high")).alias(c) for c in columns
     ]).first()
 
-    searches, marks = [], {}
+    searches = []
     for name, rule in wanted:
         h = head[name]
         if h["n"] == 0:
@@ -86,39 +89,41 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, RankRule]], of_a
             continue
         rank = min(max(int(rule(head["_TOTAL"] if of_all else h["n"])), 1), h["n"])
         searches.append(_Search(name, rank, h["n"], head["_TOTAL"], h["low"], h["high"], h["n"]))
-        marks[name, h["low"], h["high"]] = h["marks"]
 
     live = [s for s in searches if s is not None]
-    while large := [s for s in live if s.found is None and s.inside > exact_rows]:
-        for interval in dict.fromkeys(s.interval for s in large):
-            _narrow(data, interval, [s for s in large if s.interval == interval], marks.get(interval), grid)
+    while True:
+        for s in live:
+            if s.found is None and s.low == s.high:
+                s.settle(s.low, 0, s.inside)
+        sizes = {s.interval: s.inside for s in live if s.found is None}
+        if sum(sizes.values()) <= exact_rows:
+            break
+        _narrow(data, [i for i, n in sizes.items() if n > exact_rows / len(sizes)], live, grid)
+        if sizes == {s.interval: s.inside for s in live if s.found is None}:
+            raise ValueError("more rows hold the largest double or infinity than can be ranked exactly")
     _pick_exact(data, [s for s in live if s.found is None])
     return [s and s.found for s in searches]
 
 
-def _marks(value: Column, grid: int) -> Column:
-    return F.percentile_approx(value, [i / grid for i in range(1, grid)], ACCURACY)
-
-
-def _narrow(data: DataFrame, interval: tuple[str, float, float], searches: list[_Search], marks: list[float] | None, grid: int):
-    """Cuts the interval into bins at its approximate quantiles, counts them, and moves each search into its bin."""
-    column, low, high = interval
-    if low == high:
-        for s in searches:
-            s.settle(low, 0, s.inside)
-        return
-    value = col(column)
-    inside = data.where((value >= low) & (value <= high)).select(value.alias("value"))
-    marks = marks or inside.agg(_marks(F.col("value"), grid)).first()[0]
-    # a repeated mark is a heavy value: it gets a bin of its own; the last edge keeps the search from standing still
-    edges = set(marks) | {math.nextafter(m, math.inf) for i, m in enumerate(marks) if m == marks[i - 1]}
-    edges.add(math.nextafter(marks[-1], math.inf))
-    bins = (sliced(inside, "value", sorted(edges)).groupBy("SLICE")
-            .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-            .orderBy("SLICE").collect())
+def _narrow(data: DataFrame, intervals: list[tuple[str, float, float]], searches: list[_Search], grid: int):
+    """Cuts all intervals into bins at their approximate quantiles, counts the rows of every bin, and moves each search into
+    its bin: one aggregate for the quantiles and one for the counts."""
+    each = max(min(grid, 16), min(grid, BINS // len(intervals)))
+    names = [f"v{i}" for i in range(len(intervals))]
+    inside = data.select(*[F.when((col(c) >= low) & (col(c) <= high), col(c)).alias(name)
+                           for name, (c, low, high) in zip(names, intervals)])
+    marks = inside.agg(*[F.percentile_approx(n, [k / each for k in range(1, each)], 10 * each).alias(n) for n in names]).first()
+    binned = Bucketizer(splitsArray=[_bin_edges(marks[n]) for n in names], inputCols=names,
+                        outputCols=[f"b{i}" for i in range(len(names))], handleInvalid="keep").transform(inside)
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"b{i}").alias("bin"), F.col(n).alias("value")) for i, n in enumerate(names)])
+    bins = (binned.select(F.inline(cells)).where("value IS NOT NULL").groupBy("at", "bin")
+            .agg(F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")).collect())
+    by_interval: dict[tuple, list] = {i: [] for i in intervals}
+    for b in sorted(bins, key=lambda b: (b["at"], b["bin"])):
+        by_interval[intervals[b["at"]]].append(b)
     for s in searches:
         passed = 0
-        for b in bins:
+        for b in by_interval.get(s.interval, ()) if s.found is None else ():
             if passed + b["rows"] >= s.rank:
                 s.below, s.rank = s.below + passed, s.rank - passed
                 s.inside, s.low, s.high = b["rows"], b["low"], b["high"]
@@ -126,6 +131,15 @@ def _narrow(data: DataFrame, interval: tuple[str, float, float], searches: list[
             passed += b["rows"]
 
 
+def _bin_edges(marks: list[float]) -> list[float]:
+    """A repeated mark is a heavy value: it gets a bin of its own; the last edge keeps a search from standing still."""
+    edges = set(marks) | {math.nextafter(m, math.inf) for i, m in enumerate(marks) if i and m == marks[i - 1]}
+    edges.add(math.nextafter(marks[-1], math.inf))
+    if math.inf in edges:  # only the last bin may hold infinity
+        edges.add(math.nextafter(math.inf, 0.0))
+    return [-math.inf, *sorted(edges - {-math.inf, math.inf}), math.inf]
+
+
 def _pick_exact(data: DataFrame, searches: list[_Search]):
     """Ranks the few rows left in each interval; searches in one interval share its sorted array."""
     if not searches:
@@ -239,14 +253,14 @@ def leading_filter(df: DataFrame, order: Order, size: RankRule) -> Column:
     """`leading_rows` as a condition on the rows of `df`. The order may name columns or give double expressions."""
     signed = [part * (-1.0 if way == "desc" else 1.0)
               for by, way in order for part in ([by] if isinstance(by, Column) else as_ordinals(df, by))]
-    ordinals = df.select(*[s.alias(f"o{i}") for i, s in enumerate(signed)])
+    ordinals = staged(df.select(*[s.alias(f"o{i}") for i, s in enumerate(signed)]))
     bounds, left = [], None
     for i in range(len(signed)):
         scope = ordinals
         for j, b in enumerate(bounds):
             scope = scope.where(F.col(f"o{j}") == F.lit(b))
         rule = size if left is None else (lambda n, left=left: left)
-        found = order_statistics(scope, [(f"o{i}", rule)], of_all=True)[0]
+        found = order_statistics(scope, [(f"o{i}", rule)], of_all=True, written=True)[0]
         if left is None:
             left = 0 if found is None else int(size(found.total))
             if left <= 0:

@@ -29,6 +29,27 @@ def test_order_statistics_narrow_to_the_exact_value(skewed):
         assert f.below == sum(v < f.value for v in values) and f.ties == values.count(f.value)
 
 
+def test_many_columns_narrow_in_the_same_few_jobs(spark, skewed):
+    """Forty columns take as many jobs as one: all intervals narrow together and share the bound on rows ranked exactly."""
+    _, df = skewed
+    wide = df.select(*[(F.col("x") * (i + 1) + F.when(F.col("id") % 7 == 0, None).otherwise(0)).alias(f"c{i}") for i in range(40)]).persist()
+    values = sorted(r[0] for r in wide.select("c0").where("c0 IS NOT NULL").collect())
+
+    def jobs(columns):
+        context, name = spark.sparkContext, f"ranks-{len(columns)}"
+        context.setJobGroup(name, name)
+        found = R.order_statistics(wide, [(c, lambda n: n // 2) for c in columns], exact_rows=400, grid=64)
+        context._jsc.clearJobGroup()
+        return found, len(context.statusTracker().getJobIdsForGroup(name))
+
+    (one,), few = jobs(["c0"])
+    many, more = jobs([f"c{i}" for i in range(40)])
+    assert one.value == values[len(values) // 2 - 1]
+    for i, f in enumerate(many):
+        assert f.value == pytest.approx(one.value * (i + 1)) and (f.below, f.ties, f.rows) == (one.below, one.ties, one.rows)
+    assert more <= few + 4
+
+
 def test_order_statistics_skip_null_and_empty(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "x double, y double")
     x, y = R.order_statistics(df, [("x", lambda n: n), ("y", lambda n: 1)])
