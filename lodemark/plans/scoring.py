@@ -1,7 +1,8 @@
-"""One incremental scoring run, safe to repeat."""
+"""One incremental scoring run, safe to repeat and safe beside another one."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -55,20 +56,24 @@ def deploy(store: Store, version: str | None = None) -> Deployment:
 
 
 def score_batch(store: Store, feed: DataFrame, now: datetime | str, version: str | None = None) -> str:
-    """Scores feed rows after the watermark and up to midnight; returns and logs OK or SKIPPED, logs FAILED and raises."""
+    """Scores feed rows after the watermark and up to midnight; returns and logs OK or SKIPPED, logs FAILED and raises.
+
+    Of several runs that start from one watermark, whatever their days, the first to commit stands; the others remove what they
+    wrote and are SKIPPED.
+    """
     shared_folder(store.spark)
     try:
         target = deploy(store, version)
-        data, watermark = store.use_case.data, store.watermark()
+        data, turn = store.use_case.data, store.turn()
+        watermark, resets = turn
         rows = scoring_input(feed, target.contract, data, target.fills)
         start = None if watermark is None else time_column(watermark)
         batch = incremental_rows(rows, data.watermark, start, time_column(now))
         batch = batch.withColumn("FEED_ROW_ID", feed_row_id(data.feed_row))
-        resets = store.resets()
         if resets:
             batch = unscored(store, batch, target.version, start)
-        run_id = f"run-{watermark or 'first'}-{as_time(now):%Y-%m-%d}-{resets}".replace(" ", "T").replace(":", "")
-        return write_run(store, target, batch, run_id, now)
+        run_id = f"run-{watermark or 'first'}-{as_time(now):%Y-%m-%d}-{resets}-{uuid.uuid4().hex[:12]}".replace(" ", "T").replace(":", "")
+        return write_run(store, target, batch, run_id, now, turn)
     except Exception as e:
         store.log(PROCEDURE, 0, "FAILED", str(e), as_time(now))
         raise
@@ -82,8 +87,10 @@ def unscored(store: Store, batch: DataFrame, version: str, start) -> DataFrame:
     return batch.join(held.select("FEED_ROW_ID"), "FEED_ROW_ID", "left_anti")
 
 
-def write_run(store: Store, target: Deployment, batch: DataFrame, run_id: str, now: datetime | str) -> str:
-    """Scores and writes the run's partitions, then commits them with one row: readers see all of it or nothing."""
+def write_run(store: Store, target: Deployment, batch: DataFrame, run_id: str, now: datetime | str,
+              turn: tuple[datetime | None, int] | None = None) -> str:
+    """Scores and writes the run's partitions, then commits them with one row: readers see all of it or nothing. With a `turn`,
+    only where no other run has taken it."""
     if batch.isEmpty():
         store.log(PROCEDURE, 0, "SKIPPED", "no new rows to score", as_time(now))
         return "SKIPPED: 0 new rows"
@@ -94,7 +101,12 @@ def write_run(store: Store, target: Deployment, batch: DataFrame, run_id: str, n
     n, newest = store.write_scores(rows, run_id, use_case.data.watermark)
     if use_case.scoring.business_columns:
         store.add_business(business_rows(store.run_scores(run_id), use_case, now), run_id)
-    store.commit(run_id, newest, as_time(now))
+    if turn is None:
+        store.commit(run_id, newest, as_time(now))
+    elif not store.commit_once(run_id, turn, newest, as_time(now)):
+        store.drop_run(run_id)
+        store.log(PROCEDURE, 0, "SKIPPED", "another run scored these rows first", as_time(now))
+        return "SKIPPED: another run scored these rows first"
     store.log(PROCEDURE, n, "OK", f"scored {n} rows", as_time(now))
     return f"OK: {n} rows scored"
 

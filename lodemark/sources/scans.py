@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +66,31 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_cleaning = threading.Lock()
+_cleaners: dict[str, tuple[int, str]] = {}   # per session: writers at work and the setting from before the first of them
+
+
+@contextmanager
+def _cleanup_on(spark: SparkSession):
+    """Shuffle files go after every query of the session while a scratch table is written. Threads may write side by side: the
+    first one in turns the setting on, the last one out puts back what it found."""
+    session = spark._jsparkSession.sessionUUID()
+    with _cleaning:
+        writers, before = _cleaners.get(session) or (0, spark.conf.get(CLEANUP))
+        _cleaners[session] = writers + 1, before
+        spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _cleaning:
+            writers, before = _cleaners[session]
+            if writers > 1:
+                _cleaners[session] = writers - 1, before
+            else:
+                del _cleaners[session]
+                spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Intermediate tables in the shared folder. drop() removes one early; the rest goes when the driver's JVM ends.
 
@@ -79,12 +106,9 @@ class Scratch:
         return act(path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path)
 
     def write(self, df: DataFrame) -> DataFrame:
-        path, before = f"{self.root}/{uuid.uuid4().hex}", self.spark.conf.get(CLEANUP)
-        self.spark.conf.set(CLEANUP, "true")
-        try:
+        path = f"{self.root}/{uuid.uuid4().hex}"
+        with _cleanup_on(self.spark):
             df.write.parquet(path)
-        finally:
-            self.spark.conf.set(CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -2,8 +2,10 @@
 
 * `scores` (one partition per scoring run) and `labels` only grow. The monitor is committed scores, minus rows rolled
   back, left-joined to labels.
-* A run's partition is overwritten as a whole, so repeating a crashed run leaves nothing behind. Its `commits` row is
-  written last; until then readers do not see the run.
+* Every attempt of a batch run has a partition of its own. Readers do not see it before its `commits` row, which is written
+  last; `drop_uncommitted` removes what crashed attempts left.
+* A batch run is committed by compare-and-set: a claim, named by the watermark it replaces, can be created once only. It
+  holds the commit, so the next run completes one whose writer died before the `commits` row.
 * The current watermark is the newest commit by UPDATED_AT, so a reset to an older timestamp is just another commit.
 * `business` is kept as one delta per run; readers take the newest value per key.
 """
@@ -11,10 +13,13 @@
 from __future__ import annotations
 
 import dataclasses
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -189,6 +194,53 @@ class Store:
         schema = self._written.get(run_id)
         self._append_row("commits", COMMITS, (self.use_case.name, run_id, last_record_ts, now, kind, schema and schema.json()))
 
+    def turn(self) -> tuple[datetime | None, int]:
+        """What the next batch run replaces: (watermark, resets so far). A commit its writer left half done is completed first."""
+        while True:
+            turn = self.watermark(), self.resets()
+            claim = self._claim(turn)
+            if not self.exists(claim):
+                return turn
+            done = json.loads(self.spark.read.text(self.path(claim), wholetext=True).first()[0])
+            if self.commits().where(F.col("RUN_ID") == done["run_id"]).isEmpty():
+                times = [done[k] and datetime.fromisoformat(done[k]) for k in ("last_record_ts", "now")]
+                self._append_row("commits", COMMITS, (self.use_case.name, done["run_id"], *times, "SCORE", done["schema"]))
+            elif (self.watermark(), self.resets()) == turn:
+                raise RuntimeError(f"run {done['run_id']} replaced the watermark {turn[0]}, but its commit is not the newest")
+
+    def commit_once(self, run_id: str, turn: tuple[datetime | None, int], last_record_ts: datetime, now: datetime) -> bool:
+        """Commits a batch run unless another one has replaced this watermark: of any number of writers exactly one gets True."""
+        schema = self._written.get(run_id)
+        claim = {"run_id": run_id, "last_record_ts": last_record_ts and last_record_ts.isoformat(), "now": now.isoformat(),
+                 "schema": schema and schema.json()}
+        if not create_once(self.spark, self.path(self._claim(turn)), json.dumps(claim)):
+            return False
+        self.commit(run_id, last_record_ts, now)
+        return True
+
+    def _claim(self, turn: tuple[datetime | None, int]) -> str:
+        text = json.dumps([self.use_case.name, turn[0] and turn[0].isoformat(), turn[1]])
+        return f"claims/{hashlib.sha256(text.encode()).hexdigest()}"
+
+    def drop_run(self, run_id: str):
+        """Removes the partitions of a run that lost its turn."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for pattern in (f"scores/USE_CASE_NAME=*/RUN_ID={run_id}", f"business/RUN_ID={run_id}"):
+            path = hadoop.Path(self.path(pattern))
+            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for found in fs.globStatus(path) or ():
+                fs.delete(found.getPath(), True)
+
+    def drop_uncommitted(self) -> list[str]:
+        """Removes the batch runs that crashed before their commit; to be called while no run is at work."""
+        self.turn()
+        held = self._mine(self.read("scores", "USE_CASE_NAME string, RUN_ID string")).select("RUN_ID").distinct()
+        gone = held.where(F.col("RUN_ID").startswith("run-")).join(self.commits().select("RUN_ID"), "RUN_ID", "left_anti")
+        lost = sorted(r["RUN_ID"] for r in gone.collect())
+        for run_id in lost:
+            self.drop_run(run_id)
+        return lost
+
     def watermark(self):
         row = current_watermark(self.commits()).first()
         return row and row["LAST_RECORD_TS"]
@@ -282,6 +334,32 @@ def write_partitions(df: DataFrame, path: str, partitions: Sequence[str]):
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a file with this text; False where it exists. The text is complete when the name appears: a finished file is given
+    the name, by a hard link on a local disk, else by a rename that does not replace (atomic on HDFS)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    target, draft = hadoop.Path(path), hadoop.Path(f"{path}-{uuid.uuid4().hex}")
+    fs = target.getFileSystem(conf)
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            nio = jvm.java.nio.file
+            nio.Files.createLink(*[jvm.java.io.File(p.toUri().getPath()).toPath() for p in (target, draft)])
+        else:
+            no_options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+            hadoop.FileContext.getFileContext(fs.getUri(), conf).rename(draft, target, no_options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(draft, False)
+
+
 def added(table: DataFrame, batch_column: str, batch: str, rows: str) -> int:
     """Monitor rows one append stands for."""
     return table.where(F.col(batch_column) == batch).agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
