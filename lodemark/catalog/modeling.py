@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import replace
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from lodemark.settings import ModelSpec, RetrainSpec, ScoringSpec
 from lodemark.sources import fixtures as X
 from lodemark.sources.fixtures import BASE_SQL, FEED_SQL, OUTCOMES_SQL, with_sql
 from lodemark.sources.scans import shared_folder, staged
+from lodemark.sources.store import Store
 from lodemark.streaming.feeds import score_stream
 
 SMALL_SPACE = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "use_scale_pos_weight": True}
@@ -264,6 +266,19 @@ def scoring_job(spark, d):
     return store.monitor().where("RUN_ID <> 'seed'").select("ROW_ID", "SCORED_AT")
 
 
+@query("concurrent_scoring", with_sql(BASE_SQL, FEED_SQL, select="""
+SELECT ROW_ID, 1 AS TIMES FROM feed WHERE RECORD_TS <= TIMESTAMP '2001-01-01'"""))
+def concurrent_scoring(spark, d):
+    """Two runs of different days at once from one watermark, then the later day again: one of the two commits, what the other
+    wrote stays unseen, and every row is scored once."""
+    store, feed = job_store(spark), staged(X.feed(spark, d))
+    train(store, X.history(spark, d), "V1", TRAINED_AT)
+    with ThreadPool(2) as pool:
+        pool.map(lambda now: score_batch(Store(spark, store.root, store.use_case), feed, now), (FIRST, SECOND))
+    score_batch(store, feed, SECOND)
+    return store.monitor().where("RUN_ID <> 'seed'").groupBy("ROW_ID").agg(F.count("*").cast("int").alias("TIMES"))
+
+
 @query("scoring_log", with_sql(BASE_SQL, FEED_SQL, SCORED_RUNS, select="""
 SELECT STATUS, MESSAGE FROM (VALUES ('SKIPPED', 'no new rows to score')) v(STATUS, MESSAGE)
 UNION ALL SELECT 'OK', 'scored ' || count(*) || ' rows' FROM runs GROUP BY SCORED_AT"""))

@@ -58,8 +58,8 @@ def deploy(store: Store, version: str | None = None) -> Deployment:
 def score_batch(store: Store, feed: DataFrame, now: datetime | str, version: str | None = None) -> str:
     """Scores feed rows after the watermark and up to midnight; returns and logs OK or SKIPPED, logs FAILED and raises.
 
-    Of several runs that start from one watermark, whatever their days, the first to commit stands; the others remove what they
-    wrote and are SKIPPED.
+    Of several runs that start from one watermark, whatever their days, the first to commit stands; the others are SKIPPED,
+    and nobody sees what they wrote until `Store.drop_uncommitted` removes it.
     """
     shared_folder(store.spark)
     try:
@@ -104,7 +104,6 @@ def write_run(store: Store, target: Deployment, batch: DataFrame, run_id: str, n
     if turn is None:
         store.commit(run_id, newest, as_time(now))
     elif not store.commit_once(run_id, turn, newest, as_time(now)):
-        store.drop_run(run_id)
         store.log(PROCEDURE, 0, "SKIPPED", "another run scored these rows first", as_time(now))
         return "SKIPPED: another run scored these rows first"
     store.log(PROCEDURE, n, "OK", f"scored {n} rows", as_time(now))

@@ -3,7 +3,7 @@
 * `scores` (one partition per scoring run) and `labels` only grow. The monitor is committed scores, minus rows rolled
   back, left-joined to labels.
 * Every attempt of a batch run has a partition of its own. Readers do not see it before its `commits` row, which is written
-  last; `drop_uncommitted` removes what crashed attempts left.
+  last; `drop_uncommitted` removes what crashed and beaten attempts left.
 * A batch run is committed by compare-and-set: a claim, named by the watermark it replaces, can be created once only. It
   holds the commit, so the next run completes one whose writer died before the `commits` row.
 * The current watermark is the newest commit by UPDATED_AT, so a reset to an older timestamp is just another commit.
@@ -84,8 +84,15 @@ class Store:
         return self.spark.read.schema(fixed).parquet(self.path(table))
 
     def _append_row(self, table: str, schema: str, values: Sequence):
-        row = self.spark.createDataFrame([tuple(values)], schema)
-        row.coalesce(1).write.mode("append").parquet(self.path(table))
+        """One file, written beside the table and moved into it: writers at work in one folder would remove each other's drafts."""
+        draft, target = (self.spark._jvm.org.apache.hadoop.fs.Path(self.path(t)) for t in (f"drafts/{uuid.uuid4().hex}", table))
+        self.spark.createDataFrame([tuple(values)], schema).coalesce(1).write.parquet(str(draft))
+        fs = draft.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        for part in fs.globStatus(draft.suffix("/part-*")):
+            if not fs.rename(part.getPath(), target):
+                raise OSError(f"could not move a row into {table}")
+        fs.delete(draft, True)
 
     def _mine(self, df: DataFrame) -> DataFrame:
         return df.where(F.col("USE_CASE_NAME") == self.use_case.name)
@@ -223,7 +230,7 @@ class Store:
         return f"claims/{hashlib.sha256(text.encode()).hexdigest()}"
 
     def drop_run(self, run_id: str):
-        """Removes the partitions of a run that lost its turn."""
+        """Removes the partitions of a run; readers at work would miss its files while they list the table."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         for pattern in (f"scores/USE_CASE_NAME=*/RUN_ID={run_id}", f"business/RUN_ID={run_id}"):
             path = hadoop.Path(self.path(pattern))
@@ -232,7 +239,7 @@ class Store:
                 fs.delete(found.getPath(), True)
 
     def drop_uncommitted(self) -> list[str]:
-        """Removes the batch runs that crashed before their commit; to be called while no run is at work."""
+        """Removes the batch runs that crashed before their commit or lost their turn; to be called while no run is at work."""
         self.turn()
         held = self._mine(self.read("scores", "USE_CASE_NAME string, RUN_ID string")).select("RUN_ID").distinct()
         gone = held.where(F.col("RUN_ID").startswith("run-")).join(self.commits().select("RUN_ID"), "RUN_ID", "left_anti")

@@ -74,7 +74,10 @@ def test_two_runs_of_different_days_at_once_score_every_row_once(spark, data, st
     scored = store.monitor().where("RUN_ID <> 'seed'")
     want = feed.where(F.col("RECORD_TS") <= F.lit("2000-06-02").cast("timestamp_ntz")).count()
     assert scored.count() == want == scored.select("FEED_ROW_ID").distinct().count()
-    assert store.drop_uncommitted() == []
+    lost = store.drop_uncommitted()
+    assert len(lost) == sum("another run" in s for s in said) and store.monitor().where("RUN_ID <> 'seed'").count() == want
+    messages = [r["MESSAGE"] for r in store.log_rows(10).collect()]
+    assert len(messages) == 4 and messages.count("another run scored these rows first") == len(lost)
     store.write_scores(store.run_scores("seed").drop("USE_CASE_NAME", "RUN_ID"), "run-crashed", None)
     assert store.drop_uncommitted() == ["run-crashed"] and store.run_scores("run-crashed").isEmpty()
     assert store.monitor().where("RUN_ID <> 'seed'").count() == want
