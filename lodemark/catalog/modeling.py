@@ -29,7 +29,7 @@ from lodemark.sources import fixtures as X
 from lodemark.sources.fixtures import BASE_SQL, FEED_SQL, OUTCOMES_SQL, with_sql
 from lodemark.sources.scans import shared_folder, staged
 from lodemark.sources.store import Store
-from lodemark.streaming.feeds import score_stream
+from lodemark.streaming.feeds import record_late, score_stream
 
 SMALL_SPACE = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "use_scale_pos_weight": True}
 SMALL = ModelSpec(algorithm="xgboost", trials=2, fixed_params={"n_estimators": 3}, search_space=SMALL_SPACE)
@@ -332,3 +332,31 @@ def streamed_scoring(spark, d):
     for _ in range(2):
         score_stream(store, stream, SECOND, f"{folder}/checkpoint").awaitTermination()
     return store.monitor().where("RUN_ID <> 'seed'").groupBy(col("ROW_ID")).agg(F.count("*").cast("int").alias("TIMES"))
+
+
+DELIVERIES = """
+, first AS (SELECT * FROM feed WHERE COHORT BETWEEN 200003 AND 200006), second AS (SELECT * FROM feed WHERE COHORT BETWEEN 200006 AND 200012)
+, third AS (SELECT * FROM feed WHERE COHORT < 200003 OR COHORT > 200012)
+, delivered AS (SELECT f.*, 1 AS TURN FROM first f UNION ALL SELECT s.*, 2 FROM second s UNION ALL SELECT t.*, 3 FROM third t)
+, newest AS (SELECT (SELECT max(RECORD_TS) FROM first) AS AFTER_1, (SELECT max(RECORD_TS) FROM second) AS AFTER_2)
+, taken AS (SELECT ROW_ID, bool_or(TURN = 1 OR RECORD_TS > CASE TURN WHEN 2 THEN AFTER_1 ELSE AFTER_2 END - INTERVAL 40 DAY) AS SCORED
+            FROM delivered, newest GROUP BY ROW_ID)"""
+
+
+@query("streamed_intake", with_sql(BASE_SQL, FEED_SQL, DELIVERIES, select="""
+SELECT ROW_ID, CASE WHEN SCORED THEN 1 ELSE 0 END AS TIMES_SCORED, CASE WHEN SCORED THEN 0 ELSE 1 END AS TIMES_LATE FROM taken"""))
+def streamed_intake(spark, d):
+    """Three deliveries of the feed: the second repeats a month of the first, the third brings old and new months. A row delivered
+    twice is scored once; what comes more than 40 days behind goes to the side table, once, however often it is recorded."""
+    store, feed = job_store(spark), staged(X.feed(spark, d))
+    train(store, X.history(spark, d), "V1", TRAINED_AT)
+    folder = f"{shared_folder(spark)}/intake-{uuid.uuid4().hex}"
+    for months in ("COHORT BETWEEN 200003 AND 200006", "COHORT BETWEEN 200006 AND 200012", "COHORT < 200003 OR COHORT > 200012"):
+        feed.where(months).write.mode("append").parquet(f"{folder}/files")
+        stream = spark.readStream.schema(feed.schema).parquet(f"{folder}/files")
+        score_stream(store, stream, SECOND, f"{folder}/checkpoint", lateness="40 days").awaitTermination()
+    for name in ("once", "again"):
+        record_late(store, spark.read.schema(feed.schema).parquet(f"{folder}/files"), name)
+    scored = store.monitor().where("RUN_ID <> 'seed'").select("ROW_ID", F.lit(1).alias("S"), F.lit(0).alias("L"))
+    both = scored.unionByName(store.late_rows().select("ROW_ID", F.lit(0).alias("S"), F.lit(1).alias("L")))
+    return both.groupBy("ROW_ID").agg(F.sum("S").cast("int").alias("TIMES_SCORED"), F.sum("L").cast("int").alias("TIMES_LATE"))

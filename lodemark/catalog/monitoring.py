@@ -14,8 +14,8 @@ from lodemark.operators.targets import class_distribution
 from lodemark.sources import fixtures as X
 from lodemark.sources.fixtures import (BASE_SQL, BASELINE_SQL, FEED_SQL, MONITOR_SQL, OUTCOMES_SQL, SCORED_SQL, contributions_sql,
                                        with_sql)
-from lodemark.sources.scans import shared_folder
-from lodemark.streaming.feeds import drift_stream
+from lodemark.sources.scans import shared_folder, staged
+from lodemark.streaming.feeds import accuracy_stream, drift_stream
 
 ALL = (BASE_SQL, FEED_SQL, OUTCOMES_SQL, SCORED_SQL, MONITOR_SQL, BASELINE_SQL)
 LATEST = "(SELECT max(SCORED_AT) FROM monitor)"
@@ -122,6 +122,34 @@ def drifted_stream(spark, d):
     return _six_places(report)
 
 
+LATER_SQL = """
+, later AS (
+  SELECT s.*, SCORED_AT + to_days(10 * CAST(N_LINES AS INTEGER)) AS OUTCOME_AT FROM scored s WHERE RECORD_TS >= TIMESTAMP '%s'
+), monitor AS (SELECT * EXCLUDE (OUTCOME_AT), CASE WHEN N_LINES > 0 AND N_LINES <= 4 THEN Y_BIN END AS ACTUAL_LABEL FROM later)
+, closed AS (SELECT least(max(SCORED_AT), max(OUTCOME_AT) FILTER (WHERE N_LINES > 0)) - INTERVAL 47 DAY AS C FROM later)""" % X.FEED_START
+
+
+@query("accuracy_stream", with_sql(BASE_SQL, SCORED_SQL, LATER_SQL, BASELINE_SQL, BINS_SQL, select="""
+SELECT WINDOW_START, MODEL_VERSION, count(*) AS N, round(avg(S), 6) AS MEAN_SCORE, round(stddev_samp(S), 6) AS STD_SCORE, count(ACTUAL_LABEL) AS N_LABELED,
+       round(avg(CASE WHEN ACTUAL_LABEL IS NOT NULL THEN CAST(PREDICTION = ACTUAL_LABEL AS DOUBLE) END), 6) AS ACCURACY, round(any_value(PSI), 6) AS PSI
+FROM windowed JOIN psi USING (WINDOW_START, MODEL_VERSION) WHERE WINDOW_START + INTERVAL 1 DAY <= (SELECT C FROM closed) GROUP BY 1, 2"""))
+def labels_as_stream(spark, d):
+    """Scores and outcomes as two streams: an order's outcome follows ten days per line after its scoring and counts within 45 days;
+    orders without lines have none. Every outcome is delivered twice."""
+    folder = f"{shared_folder(spark)}/accuracy-{uuid.uuid4().hex}"
+    rows = staged(X.monitor(spark, d, labeled=False))
+    rows.write.parquet(f"{folder}/scores")
+    known = rows.where("N_LINES > 0").selectExpr("ROW_ID", "Y_BIN", "SCORED_AT + make_dt_interval(cast(10 * N_LINES as int)) AS OUTCOME_AT")
+    known.unionByName(known).write.parquet(f"{folder}/outcomes")
+    scores = spark.readStream.schema(rows.schema).parquet(f"{folder}/scores")
+    outcomes = spark.readStream.schema(known.schema).parquet(f"{folder}/outcomes")
+    reference = M.baseline_bins(X.baseline(spark, d), "PREDICTED_PROBABILITY")
+    accuracy_stream(scores, outcomes, ["ROW_ID"], "Y_BIN", "OUTCOME_AT", "45 days", reference, "binary", f"{folder}/report",
+                    f"{folder}/checkpoint", lateness="2 days").awaitTermination()
+    report = spark.read.parquet(f"{folder}/report").withColumn("WINDOW_START", F.col("WINDOW_START").cast("timestamp_ntz"))
+    return _six_places(report)
+
+
 def _six_places(report):
     return report.withColumns({c: F.round(c, 6) for c in ("MEAN_SCORE", "STD_SCORE", "ACCURACY", "PSI") if c in report.columns})
 

@@ -267,6 +267,27 @@ class Store:
             rows = rows.join(gone, ["RUN_ID", "FEED_ROW_ID", "MODEL_VERSION"], "left_anti")
         return rows
 
+    def scored_ids(self) -> DataFrame:
+        """FEED_ROW_ID of every committed score, rolled back or not."""
+        if not self.has_scores():
+            return self.spark.createDataFrame([], "FEED_ROW_ID string")
+        rows = self._mine(self.read("scores", "FEED_ROW_ID string, USE_CASE_NAME string, RUN_ID string"))
+        return rows.join(self.commits().select("RUN_ID").distinct(), "RUN_ID", "left_semi").select("FEED_ROW_ID")
+
+    def late_rows(self) -> DataFrame:
+        """The side table of feed rows that came too late for a stream; its columns are those of the feed, one partition per call."""
+        if not self.exists("late"):
+            return self.spark.createDataFrame([], "FEED_ROW_ID string, USE_CASE_NAME string, LATE_RUN string")
+        found = self.spark.read.option("mergeSchema", True).parquet(self.path("late"))
+        return self._mine(found.withColumns({c: F.col(c).cast("string") for c in ("USE_CASE_NAME", "LATE_RUN")}))
+
+    def write_late(self, rows: DataFrame, name: str) -> int:
+        """Writes (and on a repeated call overwrites) one partition of late rows; returns its rows."""
+        tagged = rows.withColumns({"USE_CASE_NAME": F.lit(self.use_case.name), "LATE_RUN": F.lit(name)})
+        write_partitions(tagged, self.path("late"), ["USE_CASE_NAME", "LATE_RUN"])
+        written = self.read("late", "USE_CASE_NAME string, LATE_RUN string")
+        return self._mine(written).where(F.col("LATE_RUN") == name).count()
+
     def labels_schema(self) -> str:
         return (f"FEED_ROW_ID string, ACTUAL_LABEL {LABEL_TYPE[self.use_case.task]}, LABELED_AT timestamp_ntz, "
                 f"N_ROWS bigint, LABEL_BATCH string, USE_CASE_NAME string, RUN_ID string")

@@ -13,7 +13,7 @@ from lodemark.plans.scoring import score_batch
 from lodemark.sources import fixtures as X
 from lodemark.sources.scans import shared_folder, staged
 from lodemark.sources.store import Store
-from lodemark.streaming.feeds import drift_stream, score_stream
+from lodemark.streaming.feeds import drift_stream, labeled_stream, record_late, score_stream
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +68,45 @@ def test_drift_stream_reports_closed_windows(spark, tmp_path):
     assert got.count() == 6  # eight days, the last two within the allowed lateness
     table = drift_windows(scores, reference, "binary").select(F.round("PSI", 9).alias("p"), "N", "N_LABELED")
     assert got.select(F.round("PSI", 9).alias("p"), "N", "N_LABELED").exceptAll(table).isEmpty()
+
+
+def test_repeated_and_late_deliveries(spark, data, model, tmp_path):
+    """A row in two files is scored once; rows far behind, and rows without a timestamp, are recorded once as late."""
+    store, files = deployed(spark, model, tmp_path / "store"), str(tmp_path / "files")
+    feed = staged(X.feed(spark, data))
+    assert store.late_rows().count() == 0 and store.scored_ids().count() == 0
+
+    def deliver(rows):
+        rows.write.mode("append").parquet(files)
+        stream = spark.readStream.schema(feed.schema).parquet(files)
+        score_stream(store, stream, "2031-01-01 00:00:00", str(tmp_path / "check"), lateness="30 days").awaitTermination()
+
+    untimed = feed.where("COHORT = 200005").limit(3).withColumn("RECORD_TS", F.lit(None).cast("timestamp_ntz"))
+    deliver(feed.where("COHORT BETWEEN 200007 AND 200009").unionByName(untimed))
+    deliver(feed.where("COHORT BETWEEN 200009 AND 200010"))
+    deliver(feed.where("COHORT = 200001"))
+    expected = feed.where("COHORT BETWEEN 200007 AND 200010")
+    assert sorted(r[0] for r in store.monitor().select("ROW_ID").collect()) == sorted(r[0] for r in expected.select("ROW_ID").collect())
+
+    delivered = spark.read.schema(feed.schema).parquet(files)
+    late = feed.where("COHORT = 200001").count() + 3
+    assert [record_late(store, delivered, n) for n in ("a", "a", "b")] == [late, late, 0]
+    assert store.late_rows().count() == late and store.late_rows().where("RECORD_TS IS NULL").count() == 3
+    assert store.late_rows().select(feed.columns).exceptAll(delivered).isEmpty()
+
+
+def test_streamed_labels_wait_for_their_outcome(spark, tmp_path):
+    """In time, at the end of the wait, too late, before scoring, repeated, without a key, none at all."""
+    at = "timestamp_ntz'2024-01-01 00:00:00'"
+    scores = spark.sql("SELECT * FROM VALUES (1L), (2L), (3L), (4L), (5L), (NULL), (6L), (99L) t(K)").selectExpr(
+        "K", f"{at} + make_dt_interval(if(K = 99, 60, 0)) SCORED_AT", "'V1' MODEL_VERSION")
+    outcomes = spark.sql("SELECT * FROM VALUES (1L, 3), (2L, 10), (3L, 11), (4L, -1), (5L, 2), (5L, 2), (NULL, 2), (99L, 65) t(K, DAYS)").selectExpr(
+        "K", "bigint(1) Y", f"{at} + make_dt_interval(DAYS) OUTCOME_AT")
+    for name, rows in (("scores", scores), ("outcomes", outcomes)):
+        rows.write.parquet(str(tmp_path / name))
+    read = lambda name, rows: spark.readStream.schema(rows.schema).parquet(str(tmp_path / name))
+    joined = labeled_stream(read("scores", scores), read("outcomes", outcomes), ["K"], "Y", "OUTCOME_AT", "10 days")
+    (joined.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check"))
+     .trigger(availableNow=True).start().awaitTermination())
+    got = sorted(((r["K"] or 0, r["ACTUAL_LABEL"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()), key=str)
+    assert got == [(0, None), (1, 1), (2, 1), (3, None), (4, None), (5, 1), (6, None), (99, 1)]
