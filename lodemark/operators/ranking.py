@@ -196,7 +196,9 @@ def running_totals(df: DataFrame, key: str, totals: dict[str, Column], descendin
     grouped = keyed.groupBy(col(key), "ORDINAL").agg(*[agg.alias(name) for name, agg in totals.items()])
     grouped = sliced(grouped, "ORDINAL", edges)
 
-    here = (Window.partitionBy("SLICE").orderBy("ORDINAL")
+    # a double holds 53 bits: neighbours beyond them share an ordinal and follow by the key itself
+    exact = col(key).desc() if descending else col(key).asc()
+    here = (Window.partitionBy("SLICE").orderBy("ORDINAL", exact)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     running = grouped.select("*", *[F.sum(name).over(here).alias(f"RUN_{name}") for name in totals])
     if edges:
@@ -214,20 +216,54 @@ def percent_ranks(df: DataFrame, columns: dict[str, str], descending: bool = Fal
                   rows_per_slice: int = SLICE_ROWS) -> DataFrame:
     """Adds SQL PERCENT_RANK over the whole table for each (new name → column): (rank − 1) / (rows − 1).
 
-    The columns must not be NULL. Each is ranked once per distinct value and looked up by the rows.
+    The columns must not be NULL. All are ranked in one pass over (column, value) cells, once per distinct value: one shuffle
+    combines the cells, one brings the distinct values of a slice together. The rows look their values up.
     """
-    sizes = df.agg(F.count("*").alias("_N"),
-                   *[F.approx_count_distinct(col(c)).alias(name) for name, c in columns.items()]).first()
-    out = df
-    for name, column in columns.items():
-        ranks = running_totals(df, column, {"ROWS_AT": F.count("*")}, descending, rows_per_slice)
-        share = (F.col("RUN_ROWS_AT") - F.col("ROWS_AT")) / F.lit(max(sizes["_N"] - 1, 1)).cast("double")
-        lookup = ranks.select(col(column), share.alias(name))
-        if sizes[name] <= LOOKUP_ROWS:
-            out = out.join(F.broadcast(lookup), column)
+    if not columns:
+        return df
+    direction = -1.0 if descending else 1.0
+    parts, keys = {}, {}
+    for i, c in enumerate(columns.values()):
+        exact = [p * direction for p in as_ordinals(df, c)]
+        keys[i] = [f"_P{i}_0", f"_P{i}_1"]
+        parts.update({f"_O{i}": as_ordinal(df, c) * direction, keys[i][0]: exact[0], keys[i][1]: exact[1] if len(exact) > 1 else F.lit(0.0)})
+    wide = df.select(*[part.alias(name) for name, part in parts.items()])
+    at = range(len(keys))
+    head = wide.agg(F.count("*").alias("_N"), *[F.approx_count_distinct(F.struct(*keys[i])).alias(f"d{i}") for i in at]).first()
+    slices = min(max(math.ceil(head["_N"] / rows_per_slice), 1), MAX_SLICES)
+    edges = {i: [] for i in at}
+    if slices > 1:
+        marks = wide.agg(*[F.percentile_approx(f"_O{i}", [k / slices for k in range(1, slices)], max(ACCURACY, 10 * slices)).alias(f"m{i}")
+                           for i in at]).first()
+        edges = {i: sorted(set(marks[f"m{i}"])) for i in at}
+    for i in at:
+        wide = sliced(wide, f"_O{i}", edges[i], f"_S{i}")
+    cells = wide.select(F.inline(F.array(*[F.struct(F.lit(i).alias("AT"), F.col(f"_S{i}").alias("SLICE"), F.col(keys[i][0]).alias("HIGH"),
+                                                    F.col(keys[i][1]).alias("LOW")) for i in at])))
+    ranks = staged(_ranks_of_cells(cells, slices > 1, max(head["_N"] - 1, 1)))
+
+    out = df.withColumns({name: parts[name] for i in at for name in keys[i]})
+    for i, name in enumerate(columns):
+        lookup = ranks.where(F.col("AT") == i).select(F.col("HIGH").alias(keys[i][0]), F.col("LOW").alias(keys[i][1]), F.col("SHARE").alias(name))
+        if head[f"d{i}"] <= LOOKUP_ROWS:
+            out = out.join(F.broadcast(lookup), keys[i])
         else:
-            out = salted_join(out, lookup, [column])
-    return out
+            out = salted_join(out, lookup, keys[i])
+    return out.select(*[col(c) for c in df.columns], *columns)
+
+
+def _ranks_of_cells(cells: DataFrame, many_slices: bool, last: int) -> DataFrame:
+    """(AT, HIGH, LOW, SHARE): the share of the column's other rows that lie before each distinct value."""
+    counts = cells.groupBy("AT", "SLICE", "HIGH", "LOW").agg(F.count("*").alias("ROWS"))
+    before = Window.partitionBy("AT", "SLICE").orderBy("HIGH", "LOW").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("AHEAD", F.coalesce(F.sum("ROWS").over(before), F.lit(0)))
+    if many_slices:
+        # at most MAX_SLICES rows a column: one window each and a broadcast are safe
+        earlier = Window.partitionBy("AT").orderBy("SLICE").rowsBetween(Window.unboundedPreceding, -1)
+        shifts = cells.groupBy("AT", "SLICE").agg(F.count("*").alias("N")).select(
+            "AT", "SLICE", F.coalesce(F.sum("N").over(earlier), F.lit(0)).alias("SHIFT"))
+        ranked = ranked.join(F.broadcast(shifts), ["AT", "SLICE"]).withColumn("AHEAD", F.col("AHEAD") + F.col("SHIFT"))
+    return ranked.select("AT", "HIGH", "LOW", (F.col("AHEAD") / F.lit(last).cast("double")).alias("SHARE"))
 
 
 def cutoffs(df: DataFrame, score: str, sizes: dict[str, int]) -> dict[str, float | None]:

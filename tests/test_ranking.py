@@ -72,6 +72,32 @@ def test_percent_ranks_match_the_window_and_salting_keeps_rows(skewed, monkeypat
     assert {r["id"]: r["p"] for r in R.percent_ranks(df, {"p": "x"}, rows_per_slice=200).collect()} == expected
 
 
+def test_wide_integers_follow_exactly(spark):
+    """Neighbours above 2^53 share a double, at both ends of the range too; ranks and totals tell them apart."""
+    rows = [(i, v) for i, v in enumerate([2**53 + 1, 2**53, 2**53 + 1, -(2**63), 2**63 - 1, 2**63 - 2, -(2**63) + 1, 0, 7])]
+    df = spark.createDataFrame(rows, "id long, k long")
+    for way, descending in (("asc", False), ("desc", True)):
+        expected = {r["id"]: r["p"] for r in df.selectExpr("id", f"percent_rank() over (order by k {way}) p").collect()}
+        for per_slice in (2, 100):
+            got = R.percent_ranks(df, {"p": "k"}, descending, rows_per_slice=per_slice)
+            assert got.columns == ["id", "k", "p"] and {r["id"]: r["p"] for r in got.collect()} == expected
+            totals = R.running_totals(df, "k", {"n": F.count("*")}, descending, rows_per_slice=per_slice)
+            running = sum(1 for _ in rows)
+            assert {r["k"]: r["RUN_n"] for r in totals.collect()} == {
+                v: sum((w >= v if descending else w <= v) for _, w in rows) for _, v in rows} and totals.agg(F.max("RUN_n")).first()[0] == running
+
+
+def test_percent_ranks_of_several_columns_share_their_pass(spark, skewed):
+    _, df = skewed
+    wide = df.selectExpr("id", "x", "cast(id % 17 as int) y", "date_add(date'2024-01-01', cast(id % 5 as int)) z")
+    expected = {r["id"]: tuple(r)[1:] for r in wide.selectExpr("id", *[f"percent_rank() over (order by {c})" for c in "xyz"]).collect()}
+    for per_slice in (150, 10**6):
+        got = R.percent_ranks(wide, {"px": "x", "py": "y", "pz": "z"}, rows_per_slice=per_slice)
+        assert {r["id"]: (r["px"], r["py"], r["pz"]) for r in got.collect()} == expected
+    assert R.percent_ranks(wide.where("id < 0"), {"px": "x", "py": "y"}).count() == 0
+    assert R.percent_ranks(wide, {}).columns == wide.columns
+
+
 def test_percent_rank_of_one_row(spark):
     df = spark.createDataFrame([(1, 2.0)], "id long, x double")
     assert R.percent_ranks(df, {"p": "x"}).first()["p"] == 0.0
