@@ -83,8 +83,12 @@ def digest(*values, seed=None) -> Column:
 
 
 def shuffled_order(values: Sequence[Column], seed) -> tuple[Column, Column]:
-    """A seeded, repeatable random order: two 52-bit halves of a digest, each exact as a double."""
-    text = F.md5(F.concat_ws("|", F.lit(str(seed)), *[v.cast("string") for v in values]).cast("binary"))
+    """A seeded, repeatable random order: two 52-bit halves of a digest, each exact as a double. Different values, NULL and
+    empty text among them, give different digests: several are written with their lengths, one alone follows the seed."""
+    if len(values) > 1:
+        text = digest(*values, seed=seed)
+    else:
+        text = F.md5(F.concat_ws("|", F.lit(str(seed)), *[v.cast("string") for v in values]).cast("binary"))
     half = lambda start: F.conv(F.substring(text, start, 13), 16, 10).cast("double")
     return half(1), half(14)
 

@@ -55,6 +55,16 @@ def test_row_ids_tell_rows_apart(spark):
     assert df.select(digest(F.col("a"), F.col("b"))).distinct().count() == len(rows)
 
 
+def test_seeded_orders_tell_rows_apart(spark):
+    """Keys that read alike when joined by a bar stay apart, so the leading rows are exactly as many as asked for."""
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("x", None), ("", "x"), ("x", ""), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for n in range(1, len(rows)):
+        assert R.leading_rows(df, R.seeded(["a", "b"], 7), lambda _, n=n: n).count() == n
+    one = spark.createDataFrame([("",), (None,), ("|",), ("7",)], "a string")
+    assert [R.leading_rows(one, R.seeded(["a"], 7), lambda _, n=n: n).count() for n in (1, 2, 3)] == [1, 2, 3]
+
+
 def test_class_codes_stay_and_labels_are_stored(spark):
     first, labels = T.prepare_target(spark.createDataFrame([("C",), ("A",)], "y string"), "y", "multiclass")
     later, more = T.prepare_target(spark.createDataFrame([("A",), ("B",), ("C",), (None,)], "y string"), "y", "multiclass", known=labels)
