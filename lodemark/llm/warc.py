@@ -177,7 +177,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("first", F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first")))
     archives = max(1, -(-total // archive_bytes))
     rows = rows.withColumn("archive", F.pmod(F.xxhash64("id", "url"), F.lit(archives)))
-    rows = rows.repartition(4 * archives, "archive").sortWithinPartitions("archive", "id", "url")
+    # one archive a task: by a hash of the number, several of them could fall to one
+    rows = rows.repartitionById(archives, F.col("archive").cast("int")).sortWithinPartitions("archive", "id", "url")
 
     def save(number: int, members: list[bytes], lines: list[dict]) -> tuple[str, int]:
         buffer = io.BytesIO()
@@ -239,8 +240,8 @@ def read_index(paths: DataFrame, path_col: str = "path") -> DataFrame:
 def read_records(index: DataFrame, range_bytes: int = 4 << 20, payloads: bool = True) -> DataFrame:
     """The records at the places of the index: page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
 
-    Places are dealt out by archive and range of range_bytes, to as many tasks as the archives need at TASK_BYTES each; records that follow each other in one range are fetched by one
-    read. Every response's payload is checked against its size and digest. Without payloads, that column is null.
+    Places are dealt out by archive and range of range_bytes, to as many tasks as the archives need at TASK_BYTES each; records
+    that follow each other in one range are fetched by one read. Every response's payload is checked against its size and digest. Without payloads, that column is null.
     """
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
