@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodemark.operators import encode as E
 from lodemark.operators import learners as L
-from lodemark.operators.boosting import FEATURES, LABEL, MARGINS, VALIDATES, WEIGHT, Booster, BoosterSpec, _loss, best_round, leaf_value
+from lodemark.operators.boosting import FEATURES, LABEL, MARGINS, VALIDATES, WEIGHT, Booster, BoosterSpec, _derivatives, _loss, best_round, leaf_value, probabilities
 
 CONTRACT = E.Contract(tuple(E.Feature(c, c, E.NUM) for c in "ABC"))
 
@@ -113,3 +113,15 @@ def test_hostile_rows(spark):
     assert all(0 < r["SCORE"] < 0.01 for r in L.score(model, data, "binary").collect())
     same = L.fit(data, "Y", CONTRACT, "xgboost", {"n_estimators": 2}, 1, "multiclass", 6)
     assert {(r["YHAT"], r["SCORE"]) for r in L.score(same, data, "multiclass").collect()} == {(0, 1.0)}
+
+
+def test_class_chances_are_computed_once_a_row(spark):
+    """An exponential inside a lambda of another would be computed for every pair of classes, and again by every derivative."""
+    margins = [[1.0, 2.0, -800.0], [0.5], [700.0, 700.0, 699.0, -5.0]]
+    found = spark.createDataFrame([(m,) for m in margins], "_MARGINS array<double>").select(probabilities(F.col(MARGINS), "multiclass").alias("P"))
+    for m, r in zip(margins, found.collect()):
+        weights = [math.exp(v - max(m)) for v in m]
+        assert r["P"] == pytest.approx([w / sum(weights) for w in weights], rel=1e-12)
+    plan = str(probabilities(F.col(MARGINS), "multiclass")).lower()
+    assert plan.count("exp(") == 1 and plan.count("array_max(") == 1
+    assert not any("exp(" in str(d).lower() for k in range(3) for d in _derivatives("multiclass", k, 3))
