@@ -49,13 +49,27 @@ def feature_importance(df: DataFrame, contributions: dict[str, Column], top: int
 def contribution_rows(explained: DataFrame, keys: Sequence[str], encoded: Sequence[str], contract: DataFrame,
                       suffix: str = "") -> DataFrame:
     """Explanation columns as rows, matched to the contract by name (any case, suffix removed) and summed per source
-    feature; only positive sums stay. A row of features is a small group, so hot keys do not arise beyond the key."""
-    long = explained.unpivot(list(keys), [f"{c}{suffix}" for c in encoded], "NAME", "CONTRIB")
-    name = F.upper(F.substring(F.col("NAME"), F.lit(1), F.length("NAME") - len(suffix))) if suffix else F.upper("NAME")
-    sources = contract.select(F.upper("ENCODED_NAME").alias("ENCODED"), F.col("SOURCE_NAME").alias("BASE"))
-    matched = long.withColumn("ENCODED", name).join(sources, "ENCODED")
-    return (matched.groupBy(*[col(k) for k in keys], "BASE").agg(F.sum("CONTRIB").alias("CONTRIB"))
-            .where("CONTRIB > 0"))
+    feature; only positive sums stay. Rows are summed per key while wide, one column per source feature, and become
+    rows afterwards, so a task holds its keys once and not once per encoded column. The contract is bounded when fitted."""
+    by_name: dict[str, list[Column]] = {}
+    for c in encoded:
+        by_name.setdefault(c.upper(), []).append(F.coalesce(col(f"{c}{suffix}"), F.lit(0.0)))
+    by_source: dict[str | None, list[Column]] = {}
+    for r in contract.select(F.upper("ENCODED_NAME").alias("ENCODED"), F.col("SOURCE_NAME").alias("BASE")).collect():
+        by_source.setdefault(r["BASE"], []).extend(by_name.get(r["ENCODED"], ()))
+    names = {f"_C{i}": source for i, source in enumerate(by_source or {None: []})}
+    wide = explained.select(*[col(k) for k in keys], *[_added(by_source.get(source, [])).alias(n) for n, source in names.items()])
+    grouped = wide.groupBy(*[col(k) for k in keys]).agg(*[F.sum(n).alias(n) for n in names])
+    entry = lambda source, value: F.struct(F.lit(source).cast("string").alias("BASE"), value.alias("CONTRIB"))
+    parts = F.array(*[entry(source, F.col(n)) for n, source in names.items()])
+    return grouped.select(*[col(k) for k in keys], F.inline(F.filter(parts, lambda e: e["CONTRIB"] > 0)))
+
+
+def _added(values: Sequence[Column]) -> Column:
+    """The sum in pairs, so that thousands of terms do not nest as deep as they are many."""
+    if len(values) < 2:
+        return values[0] if values else F.lit(0.0)
+    return _added(values[:len(values) // 2]) + _added(values[len(values) // 2:])
 
 
 def causes_by_key(contributions: DataFrame, keys: Sequence[str], top: int) -> DataFrame:
