@@ -41,6 +41,9 @@ def train(store: Store, source: DataFrame, version: str, now: datetime | str) ->
     shared_folder(store.spark)
     E.require_columns(source, (*data.keys, data.timestamp, data.target, *data.features), "training source")
 
+    # the source is read once: target, split, vocabulary and both sides pass over what the job needs of it
+    needed = {c.upper() for c in (*data.keys, data.timestamp, data.target, *data.features)}
+    source = staged(source.select(*[col(c) for c in source.columns if c.upper() in needed]))
     rows, labels = prepare_target(source, data.target, task)
     split = split_data(rows, data.timestamp, data.keys, spec)
     contract = E.fit_contract(split.train, data)
