@@ -89,7 +89,7 @@ def causes_of_array(phi: Column, sources: Sequence[str], top: int) -> Column:
 # --------------------------------------------------------------------------------------------- tree ensembles
 
 LEAVES_AT_ONCE = 20_000        # leaves of a block
-FEATURES_AT_ONCE = 4_000_000   # feature values of a block of rows
+FEATURES_AT_ONCE = 500_000     # feature values of a block of rows
 CELLS = 4_000_000              # rows × leaves × features held at once while explaining
 SIDES = ("FEATURES", "LOW", "HIGH", "KEPT")
 
