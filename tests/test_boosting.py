@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from lodemark.operators import boosting
 from lodemark.operators import encode as E
 from lodemark.operators import learners as L
 from lodemark.operators.boosting import FEATURES, LABEL, MARGINS, VALIDATES, WEIGHT, Booster, BoosterSpec, _derivatives, _loss, best_round, leaf_value, probabilities
@@ -125,3 +127,57 @@ def test_class_chances_are_computed_once_a_row(spark):
     plan = str(probabilities(F.col(MARGINS), "multiclass")).lower()
     assert plan.count("exp(") == 1 and plan.count("array_max(") == 1
     assert not any("exp(" in str(d).lower() for k in range(3) for d in _derivatives("multiclass", k, 3))
+
+
+def blocks_of(booster):
+    """Margins of the blocks, by bins and label."""
+    out = {}
+    for block in boosting._blocks(booster.blocks.toArrow().combine_chunks().to_batches()[0], booster.classes):
+        for i in range(len(block.label)):
+            out.setdefault((tuple(block.bins[:, i].tolist()), block.label[i], block.held), []).append(block.margins[:, i])
+    return out
+
+
+@pytest.mark.parametrize("task,label,spec", [
+    ("binary", "Y", BoosterSpec(depth=3, reg_lambda=1.0)), ("multiclass", "M", BoosterSpec(depth=2, subsample=0.7, features="0.7")),
+    ("regression", "R", BoosterSpec(depth=7, min_rows=3, reg_alpha=0.1))])
+def test_blocks_hold_the_margins_that_the_models_say(rows, task, label, spec):
+    """Over rows of every kind, rows that neither fit nor validate left out."""
+    data = booster_data(rows, label)
+    neither = data.limit(5).withColumn(VALIDATES, F.lit(None).cast("boolean"))
+    booster = Booster(data.unionByName(neither), task, 3, spec)
+    booster.grow(7)
+    kept = blocks_of(booster)
+    assert sum(map(len, kept.values())) == 1200
+    want = sorted(tuple(round(v, 9) for v in r[MARGINS]) for r in booster.rows.where(f"{VALIDATES} IS NOT NULL").select(MARGINS).collect())
+    assert sorted(tuple(round(v, 9) for v in m.tolist()) for each in kept.values() for m in each) == want
+
+
+def test_a_level_is_one_pass(rows, monkeypatch):
+    """A round of depth d with three classes reads the rows d times, not once per class and step."""
+    booster = Booster(booster_data(rows, "M"), "multiclass", 3, BoosterSpec(depth=3))
+    passes = []
+    monkeypatch.setattr(booster, "_sums", lambda *a, own=booster._sums: passes.append(len(a[2])) or own(*a))
+    booster.grow(2)
+    assert len(passes) <= 6 and passes[0] == 3
+
+
+def test_cuts_bins_and_splits_against_plain_sums():
+    draw = np.random.default_rng(1)
+    values = np.round(draw.normal(size=5000), 2)
+    cuts = boosting.cuts_of(values, np.ones(5000))
+    assert 20 < len(cuts) < boosting.MAX_BINS and (np.diff(cuts) > 0).all()
+    bins = boosting.bin_of(np.append(values, np.nan), cuts)
+    assert all((values[bins[:-1] <= j] <= cuts[j]).all() and (values[bins[:-1] > j] > cuts[j]).all() for j in range(len(cuts))) and bins[-1] == len(cuts)
+    assert boosting.cuts_of(np.array([1.0, 1.0, np.nan]), np.ones(3)).size == 0 and boosting.cuts_of(np.array([3.0, 1.0]), np.ones(2)).tolist() == [2.0]
+    assert boosting.bin_of(np.array([1.0, 2.0, 3.0, np.nan]), np.array([2.0])).tolist() == [0, 0, 1, 1]
+    g, h = draw.normal(size=5000), draw.random(5000)
+    sums = np.array([[np.bincount(bins[:-1], v, 32)] for v in (g, h, np.ones(5000))])
+    f, j, gain, left, right = boosting.best_split(sums, np.array([len(cuts) + 1]), 5, None)
+    step, best = -g / h, -1
+    for c in range(len(cuts)):
+        side = bins[:-1] <= c
+        around = lambda m: (h[m] * (step[m] - (h[m] * step[m]).sum() / h[m].sum()) ** 2).sum()
+        if min(side.sum(), (~side).sum()) >= 5:
+            best = max(best, (around(side | True) - around(side) - around(~side)) / h.sum())
+    assert gain == pytest.approx(best, rel=1e-9) and left[2] + right[2] == 5000
