@@ -2,19 +2,23 @@
 
 Linear models and the importance fallback are plain column arithmetic. Tree ensembles use path-dependent Shapley
 values (Lundberg et al., "Consistent Individualized Feature Attribution for Tree Ensembles"): root-to-leaf paths are
-joined level by level into a table in the shared folder, blocks of rows meet blocks of leaves, and the parts are summed.
+joined level by level into a table in the shared folder; rows stream past few leaves, and blocks of them meet blocks of
+many leaves, whose parts are summed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, DoubleType, NumericType, StringType, StructType, TimestampNTZType,
+                               TimestampType)
 
 from lodemark.functions.columns import causes_from, col
 from lodemark.operators.encode import Contract
@@ -91,6 +95,9 @@ def causes_of_array(phi: Column, sources: Sequence[str], top: int) -> Column:
 LEAVES_AT_ONCE = 20_000        # leaves of a block
 FEATURES_AT_ONCE = 500_000     # feature values of a block of rows
 CELLS = 4_000_000              # rows × leaves × features held at once while explaining
+FEW_LEAVES = 2_000             # leaf values of all ensembles up to which every task holds them all
+COMPARISONS = 10               # comparisons whose outcomes are tabled together
+PLAIN = NumericType, StringType, BooleanType, DateType, TimestampType, TimestampNTZType, BinaryType   # columns that stream through Python
 SIDES = ("FEATURES", "LOW", "HIGH", "KEPT")
 
 
@@ -104,6 +111,7 @@ class Leaves:
 
     table: DataFrame
     blocks: list[int]
+    values: int   # in the leaves of all ensembles
 
     def base(self) -> list[float]:
         """What the ensembles say of a row of which nothing is known, per position of VALUES."""
@@ -136,7 +144,8 @@ def read_trees(learners: Sequence, weights: Sequence[Sequence[float]], classes:
     found = {r["ENSEMBLE"]: r["count"] for r in paths.groupBy("ENSEMBLE").count().collect()}
     blocks = [max(1, math.ceil(found[k] / LEAVES_AT_ONCE)) for k in range(len(found))]
     of = F.get(F.array(*[F.lit(b) for b in blocks]), F.col("ENSEMBLE"))
-    return Leaves(scratch.write(paths.withColumn("BLOCK", F.pmod(F.xxhash64("TREE", "LEAF"), of).cast("int"))), blocks)
+    table = scratch.write(paths.withColumn("BLOCK", F.pmod(F.xxhash64("TREE", "LEAF"), of).cast("int")))
+    return Leaves(table, blocks, table.agg(F.sum(F.size("VALUES"))).first()[0])
 
 
 def _nodes(spark: SparkSession, scratch: Scratch, learners: Sequence, weights: Sequence[Sequence[float]], classes: bool) -> DataFrame:
@@ -184,6 +193,9 @@ class Paths:
     kept: np.ndarray
     value: np.ndarray
 
+    def some(self, leaves: Sequence[int]) -> Paths:
+        return Paths(*[c[leaves] for c in (self.features, self.low, self.high, self.kept, self.value)])
+
 
 def paths_of(leaves: pa.Table) -> list[Paths]:
     """Rows of a leaf table by the length of their paths; paths without a feature explain nothing and are left out."""
@@ -202,43 +214,117 @@ def shapley_values(x: np.ndarray, paths: Sequence[Paths], pick: np.ndarray | Non
 
     For a leaf with features F on its path, a subset S of them reaches it with weight Π_S reached · Π_{F\\S} kept. The
     subsets are summed by size as coefficients of Π (kept_j + reached_j · t); dividing one factor out gives the sum over
-    the subsets without that feature. All leaves with paths of one length are computed together, for a slice of rows.
+    the subsets without that feature. All of it depends on the outcomes of a few comparisons, so it is done once per outcome for
+    a run of leaves and looked up by the rows; leaves with more comparisons than pay for these rows are done row by row.
     """
-    out = np.zeros(x.shape)
-    for same in paths:
-        leaves, d = same.features.shape
-        step = max(1, CELLS // (leaves * (d + 1)))
-        runs = []
-        for j in range(d):
-            order = np.argsort(same.features[:, j], kind="stable")
-            runs.append((order, *np.unique(same.features[order, j], return_index=True)))
-        for at in range(0, len(x), step):
-            rows = slice(at, at + step)
-            value = same.value[:, pick[rows]].T if pick is not None and same.value.shape[1] > 1 else same.value[:, -1]
-            for (order, features, starts), total in zip(runs, _shares(x[rows], same, d)):
-                out[rows][:, features] += np.add.reduceat((value * total)[:, order], starts, axis=1)
-    return out
+    return Prepared.of(paths, min(COMPARISONS, max(len(x) // 4, 1).bit_length() - 1), keep=False).explain(x, pick)
+
 
+@dataclass
+class Table:
+    """What a run of leaves adds to the Shapley values of its features, by class, feature and the outcomes of the comparisons
+    `x <= at` on their paths, read as bits."""
+
+    on: list[tuple[int, float]]
+    features: np.ndarray
+    values: np.ndarray
 
-def _shares(x: np.ndarray, paths: Paths, d: int) -> list[np.ndarray]:
+
+@dataclass
+class Prepared:
+    """Leaves as tables, and those left whose paths have too many comparisons."""
+
+    tables: Iterator[Table] | list[Table]
+    rest: list[Paths]
+
+    @classmethod
+    def of(cls, paths: Sequence[Paths], most: int, keep: bool = True) -> Prepared:
+        runs, rest = [], []
+        for same in paths:
+            known, wide, mine = set(), [], []
+            for i, sides in enumerate(zip(same.features.tolist(), same.low.tolist(), same.high.tolist())):
+                on = {(f, at) for f, low, high in zip(*sides) for at in (low, high) if not math.isinf(at)}
+                if len(on) > most:
+                    wide.append(i)
+                    continue
+                if len(known | on) > most:
+                    runs.append((same, mine, sorted(known)))
+                    known, mine = set(), []
+                mine.append(i)
+                known |= on
+            if mine:
+                runs.append((same, mine, sorted(known)))
+            if wide:
+                rest.append(same.some(wide))
+        tables = (_table(same.some(run), on) for same, run, on in runs)
+        return cls(list(tables) if keep else tables, rest)
+
+    def explain(self, x: np.ndarray, pick: np.ndarray | None) -> np.ndarray:
+        columns, out = np.ascontiguousarray(x.T), np.zeros(x.shape[::-1])
+        for table in self.tables:
+            code = np.zeros(len(x), np.intp)
+            for i, (f, at) in enumerate(table.on):
+                code |= (columns[f] <= at).astype(np.intp) << i
+            for i, f in enumerate(table.features):
+                out[f] += table.values[pick, i, code] if pick is not None and len(table.values) > 1 else table.values[-1, i][code]
+        out = np.ascontiguousarray(out.T)
+        for same in self.rest:
+            _add_directly(out, x, same, pick)
+        return out
+
+
+def _table(same: Paths, on: list[tuple[int, float]]) -> Table:
+    codes, bit = np.arange(1 << len(on)), {c: i for i, c in enumerate(on)}
+    reached = np.ones((len(codes), *same.features.shape), bool)
+    for leaf, j in np.ndindex(*same.features.shape):
+        f, low, high = int(same.features[leaf, j]), float(same.low[leaf, j]), float(same.high[leaf, j])
+        if not math.isinf(low):
+            reached[:, leaf, j] &= (codes >> bit[f, low] & 1) == 0
+        if not math.isinf(high):
+            reached[:, leaf, j] &= (codes >> bit[f, high] & 1) == 1
+    met = np.unique(same.features)
+    values = np.zeros((same.value.shape[1], len(met), len(codes)))
+    for j, total in enumerate(_shares(reached, same.kept)):
+        for c in range(len(values)):
+            np.add.at(values[c], np.searchsorted(met, same.features[:, j]), (total * same.value[:, c]).T)
+    return Table(on, met, values)
+
+
+def _add_directly(out: np.ndarray, x: np.ndarray, same: Paths, pick: np.ndarray | None) -> None:
+    """Adds what leaves with paths of one length say, all of them for a slice of rows after the other."""
+    leaves, d = same.features.shape
+    step = max(1, CELLS // (leaves * (d + 1)))
+    runs = []
+    for j in range(d):
+        order = np.argsort(same.features[:, j], kind="stable")
+        runs.append((order, *np.unique(same.features[order, j], return_index=True)))
+    for at in range(0, len(x), step):
+        rows = slice(at, at + step)
+        value = same.value[:, pick[rows]].T if pick is not None and same.value.shape[1] > 1 else same.value[:, -1]
+        seen = x[rows][:, same.features]
+        reached = ((same.low == -math.inf) | ~(seen <= same.low)) & ((same.high == math.inf) | (seen <= same.high))
+        for (order, features, starts), total in zip(runs, _shares(reached, same.kept)):
+            out[rows][:, features] += np.add.reduceat((value * total)[:, order], starts, axis=1)
+
+
+def _shares(reached: np.ndarray, kept: np.ndarray) -> list[np.ndarray]:
     """Per position on the path: rows × leaves, the feature's share of a leaf value of one."""
-    seen = x[:, paths.features]
-    reached = ((paths.low == -math.inf) | ~(seen <= paths.low)) & ((paths.high == math.inf) | (seen <= paths.high))
-    coef = np.zeros((d + 1, len(x), len(paths.features)))
+    rows, leaves, d = reached.shape
+    coef = np.zeros((d + 1, rows, leaves))
     coef[0] = 1.0
     for j in range(d):
         shifted = np.where(reached[:, :, j], coef[:-1], 0.0)
-        coef = coef * paths.kept[:, j]
+        coef = coef * kept[:, j]
         coef[1:] += shifted
     size_weight = [math.factorial(s) * math.factorial(d - 1 - s) / math.factorial(d) for s in range(d)]
     out = []
     for j in range(d):
-        kept, hit = paths.kept[:, j], reached[:, :, j]
+        own, hit = kept[:, j], reached[:, :, j]
         total, carry = np.zeros(hit.shape), coef[d]
         for s in range(d - 1, -1, -1):
-            total += size_weight[s] * np.where(hit, carry, coef[s] / kept)
-            carry = coef[s] - kept * carry
-        out.append((hit - kept) * total)
+            total += size_weight[s] * np.where(hit, carry, coef[s] / own)
+            carry = coef[s] - own * carry
+        out.append((hit - own) * total)
     return out
 
 
@@ -246,9 +332,10 @@ def tree_contributions(df: DataFrame, leaves: Leaves, contract: Contract, predic
     """(the rows with PHI, an array of contributions per source feature, and the source names in order).
 
     One ensemble: its values, for the class in `predicted` when leaves hold class shares. Several: one per class, and the one of
-    the predicted class answers; a row without such a class has zeros. Rows are written once under a number of their own. Every
-    block of rows meets every block of leaves of its ensemble in a task of its own, so neither the rows nor the trees need
-    fit into one; the parts of a row are added in the order of their blocks.
+    the predicted class answers; a row without such a class has zeros. Past few leaves the rows stream, each task with all of
+    them. Else rows are written once under a number of their own and every block of rows meets every block of leaves of its
+    ensemble in a task of its own, so neither the rows nor the trees need fit into one; the parts of a row are added in the
+    order of their blocks.
     """
     encoded, sources = contract.encoded, list(dict.fromkeys(f.source for f in contract.features))
     position = {s: i for i, s in enumerate(sources)}
@@ -265,6 +352,8 @@ def tree_contributions(df: DataFrame, leaves: Leaves, contract: Contract, predic
         offsets = pa.array(np.arange(0, phi.size + 1, len(sources)), pa.int32())
         return pa.table({"_ROW": rows["_ROW"], "_BLOCK": rows["_BLOCK"], "PHI": pa.ListArray.from_arrays(offsets, pa.array(phi.ravel()))})
 
+    if leaves.values <= FEW_LEAVES and max(leaves.blocks) == 1 and all(isinstance(f.dataType, PLAIN) for f in df.drop("PHI").schema):
+        return _streamed(df.drop("PHI"), leaves, encoded, fold, predicted), sources
     held = staged(df.drop("PHI").withColumn("_ROW", F.monotonically_increasing_id()))
     n = held.count()
     parts = max(1, min(n, df.sparkSession.sparkContext.defaultParallelism), math.ceil(n * wide / FEATURES_AT_ONCE))
@@ -287,5 +376,28 @@ def tree_contributions(df: DataFrame, leaves: Leaves, contract: Contract, predic
     return out.select(*[col(c) for c in held.columns if c != "_ROW"], F.coalesce("PHI", zeros(sources)).alias("PHI")), sources
 
 
+def _streamed(df: DataFrame, leaves: Leaves, encoded: Sequence[str], fold: np.ndarray, predicted: str | None) -> DataFrame:
+    """The rows with PHI, where every task holds all leaves: nothing is shuffled, and a task holds one batch of rows."""
+    columns = df.columns
+    table, several = leaves.table.toArrow(), len(leaves.blocks)
+    extra = [F.array(*[col(c).cast("double") for c in encoded]).alias("_X"), (col(predicted).cast("int") if predicted else F.lit(0)).alias("_CLASS")]
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = [Prepared.of(paths_of(table.filter(pa.compute.equal(table["ENSEMBLE"], k))), COMPARISONS) for k in range(several)]
+        for batch in batches:
+            x = batch.column(len(columns)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(batch.num_rows, len(encoded))
+            kind = pa.compute.fill_null(batch.column(len(columns) + 1), -1).to_numpy(zero_copy_only=False)
+            phi = np.zeros((batch.num_rows, fold.shape[1]))
+            for k in range(several):
+                rows = np.flatnonzero(kind == k if several > 1 else kind >= 0)
+                if len(rows):
+                    phi[rows] = ready[k].explain(x[rows], kind[rows] if predicted else None) @ fold
+            ends = pa.array(np.arange(0, phi.size + 1, phi.shape[1]), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.ListArray.from_arrays(ends, pa.array(phi.ravel()))], names=[*columns, "PHI"])
+
+    told = StructType(list(df.schema.fields)).add("PHI", ArrayType(DoubleType()))
+    return df.select(*[col(c) for c in columns], *extra).mapInArrow(explain, told)
+
+
 def zeros(sources: Sequence[str]) -> Column:
     return F.array_repeat(F.lit(0.0), len(sources))

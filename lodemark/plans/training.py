@@ -67,7 +67,8 @@ def train(store: Store, source: DataFrame, version: str, now: datetime | str) ->
         metrics.update(base_rate=final.agg(F.avg(col(data.target))).first()[0], threshold=cut["high"])
 
     means = learners.training_means(train_rows, contract)
-    with_phi, sources = learners.contributions(model, learners.score(model, train_rows, task), contract, means, task)
+    explained = learners.score(model, train_rows.select(*[col(c) for c in contract.encoded]), task)
+    with_phi, sources = learners.contributions(model, explained, contract, means, task)
     explained = staged(with_phi.select("PHI"))
     by_source = {s: F.get("PHI", F.lit(i)) for i, s in enumerate(sources)}
     importance = staged(feature_importance(explained, by_source, use_case.scoring.top_features))

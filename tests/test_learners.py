@@ -134,3 +134,40 @@ def test_balanced_weights_and_early_stopping(rows):
     assert weights == {float(y): pytest.approx(600 / (2 * n)) for y, n in counts.items()}
     model = L.fit(rows, "Y", CONTRACT, "xgboost", {"n_estimators": 15, "max_depth": 2}, 1, "binary", 400, F.col("id") >= 400)
     assert 1 <= L.rounds_used(model) <= 15
+
+
+@pytest.mark.parametrize("algorithm,task,params", [("xgboost", "multiclass", {"n_estimators": 3, "max_depth": 3}),
+                                                   ("random_forest", "multiclass", {"n_estimators": 4, "max_depth": 4}),
+                                                   ("lightgbm", "regression", {"n_estimators": 3, "num_leaves": 15})])
+def test_rows_stream_past_few_leaves(rows, monkeypatch, algorithm, task, params):
+    """Without an exchange or a join, every row is told what blocks of rows and leaves tell; a row without a class has zeros."""
+    model = L.fit(rows, "M", CONTRACT, algorithm, params, 1, task, 600)
+    scored = L.score(model, rows, task).withColumn("YHAT", F.when(F.col("id") % 50 > 0, F.col("YHAT")))
+    streamed, _ = L.contributions(model, scored, CONTRACT, {}, task)
+    plan = streamed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "CoGroup" not in plan and streamed.columns == [*scored.columns, "PHI"]
+    monkeypatch.setattr(explain, "FEW_LEAVES", 0)
+    blocks, _ = L.contributions(model, scored, CONTRACT, {}, task)
+    want = {r["id"]: r["PHI"] for r in blocks.select("id", "PHI").collect()}
+    got = {r["id"]: r["PHI"] for r in streamed.select("id", "PHI").collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_tabled_leaves_say_what_single_rows_say():
+    """Leaves in tables of any number of comparisons, down to none, against the sums row by row; NaN goes right."""
+    draw = np.random.default_rng(5)
+    n, d = 30, 3
+    features = np.sort(np.array([draw.choice(6, d, replace=False) for _ in range(n)]), axis=1)
+    edge = draw.normal(size=(n, d)).round(1)
+    low = np.where(draw.random((n, d)) < 0.5, -math.inf, edge)
+    high = np.where((draw.random((n, d)) < 0.5) & (low > -math.inf), math.inf, edge + 0.3)
+    paths = [explain.Paths(features, low, high, draw.random((n, d)) * 0.8 + 0.1, draw.normal(size=(n, 2)))]
+    x = draw.normal(size=(400, 6)).round(1)
+    x[3, 2] = math.nan
+    pick = draw.integers(0, 2, 400)
+    for p in (None, pick):
+        want = explain.Prepared.of(paths, 0).explain(x, p)
+        for most in (3, 6, 10):
+            prepared = explain.Prepared.of(paths, most)
+            assert prepared.tables and np.allclose(prepared.explain(x, p), want, atol=1e-12)
+        assert np.allclose(shapley_values(x, paths, p), want, atol=1e-12)
