@@ -181,3 +181,19 @@ def test_cuts_bins_and_splits_against_plain_sums():
         if min(side.sum(), (~side).sum()) >= 5:
             best = max(best, (around(side | True) - around(side) - around(~side)) / h.sum())
     assert gain == pytest.approx(best, rel=1e-9) and left[2] + right[2] == 5000
+
+
+def test_rows_to_fit_on_are_complete(rows):
+    """As Spark's own trees do, a fit refuses features, labels and weights that are no numbers; rows that validate may hold them."""
+    data = booster_data(rows, "R")
+    for name, value in ((LABEL, math.nan), (WEIGHT, -1.0)):
+        with pytest.raises(Exception, match="must be finite"):
+            Booster(data.withColumn(name, F.when(~F.col(VALIDATES), value).otherwise(F.col(name))), "regression", 1, BoosterSpec())
+    spoilt = VectorAssembler(inputCols=["A", "X"], outputCol=FEATURES, handleInvalid="keep")
+    wide = lambda held: spoilt.transform(rows.withColumn("X", F.when(F.col("HELD") == held, math.nan).otherwise(F.col("B")))).select(
+        FEATURES, F.col("R").alias(LABEL), F.col("HELD").alias(VALIDATES))
+    with pytest.raises(Exception, match="must be finite"):
+        Booster(wide(False), "regression", 1, BoosterSpec())
+    booster = Booster(wide(True), "regression", 1, BoosterSpec(depth=2))
+    booster.grow(1)
+    assert math.isfinite(booster.losses[0])
