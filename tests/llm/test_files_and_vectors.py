@@ -251,3 +251,15 @@ def test_recall_within_a_tight_group(spark):
 def test_effort_grows_with_the_nodes():
     small, large = (neighbours.Settings().grown(n) for n in (10_000, 300_000))
     assert small == neighbours.Settings() and small.degree < large.degree and small.trees < large.trees and small.beam < large.beam
+
+
+def test_vectors_that_met_are_not_compared_again():
+    """Each vector's nearest among those that one of the two is new to; without a new one there is no pair."""
+    draw = np.random.default_rng(2)
+    unit = draw.normal(size=(9, 4)).astype(np.float32)
+    ids, fresh = np.arange(9), np.arange(9) % 4 == 0
+    a, b, _ = neighbours._within(ids, unit, 8, None, fresh)
+    assert {*zip(a.tolist(), b.tolist())} == {(x, y) for x in range(9) for y in range(9) if x != y and (fresh[x] or fresh[y])}
+    assert len(neighbours._within(ids, unit, 8, None, np.zeros(9, bool))[0]) == 0
+    whole = neighbours._within(ids, unit, 3)
+    assert all(np.array_equal(p, q) for p, q in zip(whole, neighbours._within(ids, unit, 3, None, np.ones(9, bool))))
